@@ -8,13 +8,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, url_filter, wu_manber
+from . import byte_bpe, language_id, toxicity, url_filter, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out():
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+
+def _learnable():
+    """Rows that may teach; a null id has no remainder and teaches nothing."""
+    return F.crc32(F.col("doc_id").cast("string")) % 5 != 0
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.fit(docs.where(_learnable()), _table(spark, sf_dir, "labels").where(_learnable()))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir), "score")
+    return scored.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.predict(docs, language_id.fit(docs.where(_learnable())))
+    return found.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
@@ -42,8 +68,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
 }
 
