@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, toxicity, url_filter, wu_manber
+from . import byte_bpe, language_id, pii, toxicity, url_filter, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,13 @@ def _learnable():
     return F.crc32(F.col("doc_id").cast("string")) % 5 != 0
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs)).select("doc_id", "pii", F.filter("pii", lambda x: x["base"]).alias("base"))
+    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}") for k in range(4)]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.fit(docs.where(_learnable()), _table(spark, sf_dir, "labels").where(_learnable()))
@@ -68,6 +75,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_pii": op4_pii,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_byte_bpe": op8_byte_bpe,
