@@ -10,7 +10,7 @@ least pairs are the other disjoint occurrences of the same pair, and all are con
 Decoding is an ordered aggregation: rows (text, position, token) join the vocabulary and their bytes
 are concatenated by position.
 
-A Python worker keeps the pieces it has encoded, up to ``CACHE_PIECES``, from task to task. Nothing
+A Python worker keeps the pieces it has encoded, a bounded number, from task to task. Nothing
 is shuffled, and the vocabulary, a file of known size, is all that is sent to executors.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -29,8 +30,8 @@ from pyspark.sql import DataFrame
 
 from . import kernel
 
-#: Distinct pieces that a worker remembers (about 150 bytes each), and the longest that it remembers.
-CACHE_PIECES, CACHE_BYTES = 400_000, 256
+#: Distinct pieces that a worker remembers (about 200 bytes each) in each of two generations, and the longest of them.
+CACHE_PIECES, CACHE_BYTES = 300_000, 256
 #: Memory of a worker's DuckDB, beyond which it writes to its own temporary folder.
 DUCKDB_MEMORY = "300MB"
 #: Rows (bytes of new pieces; tokens) that one query takes; a longer piece or text is a query of its own.
@@ -46,26 +47,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
 #: Pieces of up to this many bytes contract one pair a step.
 SHORT = 64
 
-# A row's pair is it and its follower; the least pair of a piece is that of least (rank, position).
+# A piece's state is the list of its tokens. Each step unnests the lists to rows (piece, position,
+# token, follower), joins them with the merges, and contracts each piece's least (rank, position).
 _LEFTMOST = """
-    WITH RECURSIVE state(piece, pos, token, live) AS (
-        SELECT piece, pos, token, true FROM rows
+    WITH RECURSIVE state(piece, tokens, live) AS (
+        SELECT piece, tokens, true FROM pieces
         UNION ALL
-        SELECT piece, pos, CASE WHEN pair = least THEN made ELSE token END, least IS NOT NULL
-        FROM (
-            SELECT piece, pos, token, made, before, pair, min(pair) OVER (PARTITION BY piece) AS least
+        SELECT s.piece, CASE WHEN least IS NULL THEN tokens ELSE tokens[:(least & 16777215) - 1] || [(least >> 24)::INT] || tokens[(least & 16777215) + 2:] END,
+               least IS NOT NULL
+        FROM (SELECT * FROM state WHERE live) s LEFT JOIN (
+            SELECT piece, min(made::BIGINT << 24 | pos) AS least
             FROM (
-                SELECT s.*, made, made::BIGINT << 24 | pos AS pair
-                FROM (
-                    SELECT piece, pos, token, lead(token) OVER positions AS follower, lag(pos) OVER positions AS before
-                    FROM state WHERE live WINDOW positions AS (PARTITION BY piece ORDER BY pos)
-                ) s LEFT JOIN merges ON token = l AND follower = r
-            )
-        ) WHERE least IS NULL OR before IS NULL OR before <> (least & 16777215)
+                SELECT piece, unnest(range(1, len(tokens))) AS pos, unnest(tokens[:-2]) AS token, unnest(tokens[2:]) AS follower FROM state WHERE live
+            ) JOIN merges ON token = l AND follower = r
+            GROUP BY piece
+        ) USING (piece)
     )
-    SELECT piece, token FROM state WHERE NOT live ORDER BY piece, pos"""
+    SELECT tokens FROM state WHERE NOT live ORDER BY piece"""
 
-# The same, but all disjoint occurrences of the least pair are contracted in a step, from the left
+# For long pieces, the same with rows as state: all disjoint occurrences of the least pair are contracted in a step, from the left
 # (in a run of occurrences that overlap, every other one), where its token allows; a contracted
 # follower keeps its key with a null token, so that the state has one row a byte at any time.
 _EVERY = """
@@ -114,7 +114,9 @@ class Tokenizer:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
         self._load("vocab_rows", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
         self.db.execute("CREATE TABLE vocab AS SELECT * FROM vocab_rows")
+        #: Ids of pieces: those seen since the cache was last full, and those of the time before.
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _load(self, name: str, rows: pa.Table) -> None:
         self.db.register(name, rows)
@@ -122,21 +124,25 @@ class Tokenizer:
     def _merge(self, pieces: list[bytes], every: bool) -> list[bytes]:
         """The ids of each piece, as little-endian unsigned 32-bit integers."""
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        data = np.frombuffer(b"".join(pieces), np.uint8)
-        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
-        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self._load("rows", pa.table({"piece": piece, "pos": (np.arange(len(data)) - first).astype(np.int32), "token": self.byte_ids[data]}))
-        result = self.db.execute(_EVERY if every else _LEFTMOST).fetchnumpy()
-        ids = result["token"].astype("<u4")
-        ends = np.searchsorted(result["piece"], np.arange(len(pieces)), side="right").tolist()
-        raw, out, at = ids.tobytes(), [], 0
-        for end in ends:
-            out.append(raw[4 * at : 4 * end])
-            at = end
-        return out
-
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of new pieces, which are put in the cache too if they are short."""
+        ends = np.cumsum(sizes)
+        tokens = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
+        piece = np.arange(len(pieces), dtype=np.int32)
+        if every:
+            pos = np.arange(len(tokens)) - np.repeat(ends - sizes, sizes)
+            self._load("rows", pa.table({"piece": np.repeat(piece, sizes), "pos": pos.astype(np.int32), "token": tokens}))
+            result = self.db.execute(_EVERY).fetchnumpy()
+            raw = result["token"].astype("<u4").tobytes()
+            bounds = np.searchsorted(result["piece"], np.arange(len(pieces) + 1))
+        else:
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(tokens))
+            self._load("pieces", pa.table({"piece": piece, "tokens": lists}))
+            result = self.db.sql(_LEFTMOST).to_arrow_table().column(0).combine_chunks()
+            raw = result.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+            bounds = np.concatenate([[0], np.cumsum(result.value_lengths().to_numpy())])
+        return [raw[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of new pieces."""
         found: dict[str, bytes] = {}
         todo: dict[bool, list[tuple[str, bytes]]] = {False: [], True: []}
         held = {False: 0, True: 0}
@@ -158,26 +164,24 @@ class Tokenizer:
             held[every] += len(raw)
         encode(False)
         encode(True)
-        if len(self.cache) + len(found) > CACHE_PIECES:
-            self.cache.clear()
-        self.cache.update((p, ids) for p, ids in found.items() if len(p) <= CACHE_BYTES)
         return found
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers; no special tokens."""
         split = [self.split(t) for t in texts]
-        cache = self.cache
-        new: set[str] = set()
-        for pieces in split:
-            new.update(pieces)
-        new = {p for p in new if p not in cache}
-        if new:
-            known = {p: cache[p] for pieces in split for p in pieces if p in cache} if len(cache) + len(new) > CACHE_PIECES else cache
-            found = self._learn(new)
-            # After a clear, or for long pieces, what this batch needs stands in a map of its own.
-            cache = found | known if known is not cache else self.cache if all(len(p) <= CACHE_BYTES for p in new) else self.cache | found
-        get = cache.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in split]
+        unseen = set(itertools.chain.from_iterable(split)).difference(self.cache)
+        again = {p: self.older[p] for p in unseen if p in self.older}
+        new = again | self._learn([p for p in unseen if p not in again])
+        if len(self.cache) + len(new) > CACHE_PIECES:
+            # Pieces that turn up again later move back from the older ones.
+            needed = set(itertools.chain.from_iterable(split)).difference(new)
+            self.older, self.cache = self.cache, {p: self.cache[p] for p in needed}
+        self.cache.update(new)
+        get = self.cache.__getitem__
+        out = [b"".join(map(get, pieces)) for pieces in split]
+        for p in [p for p in new if len(p) > CACHE_BYTES]:
+            del self.cache[p]
+        return out
 
     def decode_batch(self, encoded: list[bytes]) -> list[bytes]:
         """The bytes of each text's ids."""
