@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, pii, toxicity, url_filter, wu_manber
+from . import byte_bpe, language_id, near_dedup, pii, toxicity, url_filter, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def _learnable():
     return F.crc32(F.col("doc_id").cast("string")) % 5 != 0
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.fit(docs)).select("doc_id", "pii", F.filter("pii", lambda x: x["base"]).alias("base"))
@@ -75,6 +79,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op4_pii": op4_pii,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
@@ -86,6 +91,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_near_dedup": f"""
+        WITH RECURSIVE words AS (
+            SELECT row_number() OVER () AS n, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT n, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS s
+            FROM (SELECT n, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+        ), sizes AS (SELECT n, count(*) AS size FROM shingles GROUP BY n),
+        links AS (
+            SELECT a.n AS a, b.n AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.n <> b.n
+            JOIN sizes x ON x.n = a.n JOIN sizes y ON y.n = b.n
+            GROUP BY a.n, b.n, x.size, y.size HAVING 100 * count(*) >= 80 * (x.size + y.size - count(*))
+        ), reach(n, m) AS (
+            SELECT n, n FROM words UNION SELECT reach.n, links.b FROM reach JOIN links ON reach.m = links.a
+        ), least AS (SELECT reach.n AS n, min(words.doc_id) AS component_id FROM reach JOIN words ON reach.m = words.n GROUP BY reach.n)
+        SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+        FROM words JOIN least USING (n) LEFT JOIN sizes USING (n)""",
     "op7_url_filter": f"""
         WITH rest AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
