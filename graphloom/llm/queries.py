@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, near_dedup, pii, toxicity, url_filter, wu_manber
+from . import byte_bpe, html_text, language_id, near_dedup, pii, toxicity, url_filter, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.fit(docs.where(_learnable()), _table(spark, sf_dir, "labels").where(_learnable()))
@@ -81,6 +85,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op4_pii": op4_pii,
+    "op5_html_text": op5_html_text,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_byte_bpe": op8_byte_bpe,
