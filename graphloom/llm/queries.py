@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_text, language_id, near_dedup, pii, toxicity, url_filter, wu_manber
+from . import byte_bpe, html_text, language_id, near_dedup, pii, pivot_index, toxicity, url_filter, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.classes(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.fit(docs)).select("doc_id", "pii", F.filter("pii", lambda x: x["base"]).alias("base"))
@@ -84,6 +88,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_pii": op4_pii,
     "op5_html_text": op5_html_text,
     "op6_toxicity": op6_toxicity,
@@ -112,6 +117,20 @@ ORACLE_SQL: dict[str, str] = {
         ), least AS (SELECT reach.n AS n, min(words.doc_id) AS component_id FROM reach JOIN words ON reach.m = words.n GROUP BY reach.n)
         SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, component_id = doc_id AS kept
         FROM words JOIN least USING (n) LEFT JOIN sizes USING (n)""",
+    "op3_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT row_number() OVER () AS n, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        ), good AS (
+            SELECT n, vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+            WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.n AS a, b.n AS b FROM good a JOIN good b ON a.n <> b.n AND len(a.e) = len(b.e)
+            WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95
+        ), reach(n, m) AS (SELECT n, n FROM v UNION SELECT reach.n, links.b FROM reach JOIN links ON reach.m = links.a),
+        least AS (SELECT reach.n AS n, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.m = v.n GROUP BY reach.n),
+        counts AS (SELECT a AS n, count(*) AS n_links FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, component_id = vec_id AS kept
+        FROM v JOIN least USING (n) LEFT JOIN counts USING (n)""",
     "op7_url_filter": f"""
         WITH rest AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
