@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_text, language_id, near_dedup, pii, pivot_index, toxicity, url_filter, wu_manber
+from . import byte_bpe, html_text, language_id, near_dedup, pii, pivot_index, substring_dedup, toxicity, url_filter, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.cut(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_index.classes(_table(spark, sf_dir, "embeddings"), cosine=0.95)
 
@@ -88,6 +93,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_pii": op4_pii,
     "op5_html_text": op5_html_text,
@@ -117,6 +123,26 @@ ORACLE_SQL: dict[str, str] = {
         ), least AS (SELECT reach.n AS n, min(words.doc_id) AS component_id FROM reach JOIN words ON reach.m = words.n GROUP BY reach.n)
         SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, component_id = doc_id AS kept
         FROM words JOIN least USING (n) LEFT JOIN sizes USING (n)""",
+    "op2_substring_dedup": """
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), windows AS (
+            SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS w FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)
+        ), firsts AS (SELECT w, min(doc_id * 1000000000 + i) AS first FROM windows GROUP BY w),
+        again AS (
+            SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS fresh
+            FROM windows JOIN firsts USING (w) WHERE doc_id * 1000000000 + i > first
+        ), islands AS (
+            SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM again) GROUP BY doc_id, island
+        ), gaps AS (
+            SELECT doc_id, b AS x, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a), 1000000000) AS y FROM islands
+            UNION ALL SELECT doc_id, 0, min(a) FROM islands GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, string_agg(substr(h, 2 * x + 1, 2 * (least(y, len(h) // 2) - x)), '' ORDER BY x) AS k FROM gaps JOIN d USING (doc_id) WHERE x < len(h) // 2 GROUP BY doc_id
+        ), counts AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM islands GROUP BY doc_id)
+        SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(CASE WHEN n_removed IS NULL THEN h ELSE coalesce(k, '') END)) AS kept_sha256
+        FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op3_embedding_dedup": """
         WITH RECURSIVE v AS (
             SELECT row_number() OVER () AS n, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
