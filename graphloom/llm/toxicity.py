@@ -1,11 +1,12 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
 Features of a whole text are rates: words and word beginnings from a lexicon, how near they stand to
-second-person words, capitals, punctuation and obfuscation. The lexicon is induced from one half of
-a bounded sample of labelled texts (by smoothed log odds of the words and beginnings that toxic and
-clean texts hold); trees are grown on most of the other half and calibrated on the rest, so no text
-teaches two of them. The executors compute counts and features; the driver sees a bounded lexicon
-and one short row a sampled text. Texts are scored where they are read, without a shuffle.
+second-person words, capitals, punctuation and obfuscation. The lexicon is induced from a bounded
+sample of labelled texts, by smoothed log odds of the words and beginnings that toxic and clean texts
+hold. For learning, the sample is in two halves and each text's features come from the other half's
+lexicon; likewise the calibration is fitted to scores by trees that have not seen the text. The
+executors compute counts and features; the driver sees bounded lexicons and one short row a sampled
+text. Texts are scored where they are read, without a shuffle.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from . import kernel
 SAMPLE = 24_000
 #: Entries of the lexicon at most, the best by log odds.
 LEXICON = 4000
-#: An entry stands in so many toxic texts of the lexicon's half at least, with such log odds.
-LEAST_TEXTS, LEAST_ODDS = 4, 2.5
+#: An entry stands in so many toxic texts at least, with such log odds.
+LEAST_TEXTS, LEAST_ODDS = 3, 2.5
+#: Parts of the sample that are scored in turn by trees grown on the others.
+FOLDS = 3
 #: Lengths in bytes of the word beginnings that can be entries.
 BEGINNINGS = (4, 5, 6)
 #: Words between an entry and a second-person word that count as near.
@@ -129,7 +132,7 @@ def features(data: np.ndarray, offs: np.ndarray, lexicon: Lexicon) -> np.ndarray
 class Trees:
     """Boosted regression trees for a binary label: logistic loss, Newton leaves, splits at quantiles."""
 
-    def __init__(self, rounds: int = 80, depth: int = 3, rate: float = 0.15, bins: int = 48, least: int = 15):
+    def __init__(self, rounds: int = 80, depth: int = 3, rate: float = 0.15, bins: int = 48, least: int = 12):
         self.rounds, self.depth, self.rate, self.bins, self.least = rounds, depth, rate, bins, least
         self.trees: list[list[tuple]] = []
         self.base = 0.0
@@ -137,6 +140,7 @@ class Trees:
     def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
         cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) for j in range(x.shape[1])]
         codes = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1)
+        self.least = int(max(2, min(self.least, y.sum() // 4, (1 - y).sum() // 4)))  # rare labels get small leaves
         p = min(max(y.mean(), 1e-4), 1 - 1e-4)
         self.base = float(np.log(p / (1 - p)))
         raw = np.full(len(y), self.base)
@@ -237,26 +241,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     some = labels.where(part < int(share * 1_000_000)).withColumn("half", F.pmod(F.xxhash64("label_id", F.lit(8)), F.lit(100)))
     texts = docs.select("doc_id", "text").join(F.broadcast(some), F.col("doc_id") == F.col("label_id")).select("text", "toxic", "half").persist()
     try:
-        lexicon = _induce(texts.where("half < 50"))
-        sent = spark.sparkContext.broadcast(lexicon)
+        lexicon, *halves = (_induce(texts.where(w)) for w in ("true", "half < 50", "half >= 50"))
+        sent = spark.sparkContext.broadcast(halves)
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = [features(data, offs, sent.value) for _, _, data, offs in kernel.chunks(batch.column(0))]
-                x = np.concatenate(x) if x else np.zeros((0, len(NAMES)))
+                half = np.array(batch.column(2).to_pylist(), np.int64)
+                other = [[features(data, offs, x) for _, _, data, offs in kernel.chunks(batch.column(0))] for x in sent.value]
+                low, high = (np.concatenate(x) if x else np.zeros((0, len(NAMES))) for x in other)
+                x = np.where((half < 50)[:, None], high, low)
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), batch.column(1), batch.column(2)], names=[*NAMES, "toxic", "half"])
 
         schema = ", ".join(f"{c} double" for c in NAMES) + ", toxic int, half bigint"
-        got = texts.where("half >= 50").mapInArrow(rows, schema).toPandas().sort_values(list(NAMES), kind="stable")
+        got = texts.mapInArrow(rows, schema).toPandas().sort_values(["half", "toxic", *NAMES], kind="stable")
     finally:
         texts.unpersist()
-    x, y, half = got[list(NAMES)].to_numpy(), got["toxic"].to_numpy().astype(float), got["half"].to_numpy()
+    x, y, fold = got[list(NAMES)].to_numpy(), (got["toxic"].to_numpy() > 0).astype(float), got["half"].to_numpy() % FOLDS
     prior = float(y.mean()) if len(y) else 0.0
-    grow, tune = half < 85, half >= 85
-    if len(set(y[grow].tolist())) < 2 or len(set(y[tune].tolist())) < 2:
+    if any(len(set(y[fold != f].tolist())) < 2 for f in range(FOLDS)):
         return Model(_EMPTY, None, (np.zeros(1), np.zeros(1)), prior)
-    trees = Trees().fit(x[grow], y[grow])
-    return Model(lexicon, trees, isotonic(trees.raw(x[tune]), y[tune]), prior)
+    raw = np.zeros(len(y))
+    for f in range(FOLDS):
+        raw[fold == f] = Trees().fit(x[fold != f], y[fold != f]).raw(x[fold == f])
+    return Model(lexicon, Trees().fit(x, y), isotonic(raw, y), prior)
 
 
 def _induce(texts: DataFrame) -> Lexicon:
