@@ -247,6 +247,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     return map_texts(docs, ranks, pattern, "ids binary", make, ["doc_id"])
 
 
+def tokenized(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[str]) -> DataFrame:
+    """``keep`` columns, n_tokens, ids (binary, as in :func:`encode`) and decoded_sha256, which tells that decoding gives the text back."""
+
+    def make(tok: Tokenizer, texts: list[str]) -> list[pa.Array]:
+        ids = tok.encode_batch(texts)
+        back = [hashlib.sha256(b).hexdigest() for b in tok.decode_batch(ids)]
+        return [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(back, pa.string())]
+
+    return map_texts(docs, ranks, pattern, "n_tokens bigint, ids binary, decoded_sha256 string", make, keep)
+
+
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every whole text, encoded and decoded again; cases as in :func:`encode`."""
 

@@ -269,3 +269,15 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     out = rows.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each class of near duplicates of ``docs``, that of the smallest doc_id, with all its columns; see :func:`classes`.
+
+    Texts with an empty set are alike to none and stay. Of rows that share the kept doc_id one stays,
+    and of rows with a null doc_id one for each text.
+    """
+    kept = classes(docs, k, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    nameless = docs.where("doc_id is null")
+    return named.unionByName(nameless.dropDuplicates(["text"]))
