@@ -1 +1 @@
-"""See the module docstrings."""
+"""SPARQL expressions and functions as Spark columns."""

@@ -1 +1 @@
-"""See the module docstrings."""
+"""Operators beyond the algebra: paths, rules, native graph queries and updates."""

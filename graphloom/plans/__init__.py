@@ -1 +1 @@
-"""See the module docstrings."""
+"""Algebra to DataFrames."""
