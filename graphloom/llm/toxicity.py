@@ -272,7 +272,7 @@ def _induce(texts: DataFrame) -> Lexicon:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = np.array(batch.column(1).to_pylist(), np.int64)
-            for lo, hi, data, offs in kernel.chunks(batch.column(0), 8 << 20):
+            for lo, hi, data, offs in kernel.chunks(batch.column(0), 2 << 20):
                 data = kernel.lower_ascii(data)
                 starts, ends, of = kernel.word_bounds(data, offs, kernel.ALNUM)
                 sums = kernel.prefix_sums(data)
