@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from . import kernel
 
 #: Distinct pieces that a worker remembers (about 200 bytes each) in each of two generations, and the longest of them.
-CACHE_PIECES, CACHE_BYTES = 300_000, 256
+CACHE_PIECES, CACHE_BYTES = 200_000, 256
 #: Memory of a worker's DuckDB, beyond which it writes to its own temporary folder.
-DUCKDB_MEMORY = "300MB"
+DUCKDB_MEMORY = "160MB"
 #: Rows (bytes of new pieces; tokens) that one query takes; a longer piece or text is a query of its own.
-QUERY_ROWS = 400_000
+QUERY_ROWS = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
