@@ -213,11 +213,12 @@ def _confirmed(percent: int):
             return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in found], pa.binary()), pa.array([nodes[j] for _, j in found], pa.binary())], names=["a", "b"])
 
         for batch in batches:
-            for task, node, shingles in zip(*(batch.column(c).to_pylist() for c in ("task", "node", "shingles")), strict=True):
-                if task != key:
-                    yield links()
-                    key, held = task, {}
-                held[node] = np.frombuffer(shingles, np.uint64)
+            for lo in range(0, batch.num_rows, 64):  # sets are copied a few at a time
+                for task, node, shingles in zip(*(c.to_pylist() for c in batch.slice(lo, 64).columns), strict=True):
+                    if task != key:
+                        yield links()
+                        key, held = task, {}
+                    held[node] = np.frombuffer(shingles, np.uint64)
         yield links()
 
     return run
