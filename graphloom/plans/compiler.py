@@ -21,7 +21,7 @@ from ..terms import (
     BOX_KIND, BOOLEAN, DOUBLE, INTEGER, IRI, LITERAL, NODE_KIND, NUMERIC, SPARK_TYPES, STRING, XSD, BNode, Kind, Literal, Var, box, box_constant, is_numeric, lexical, literal_kind, number,
     spark_literal,
 )
-from . import joins
+from . import joins, rewrite
 
 
 class Compiler:
@@ -43,17 +43,18 @@ class Compiler:
         for t in triples:
             derived = isinstance(t.p, IRI) and t.p.value in self.rules and t.p.value not in self.expanding
             (basic if isinstance(t.p, IRI | Var) and not derived else rest).append(t)
-        parts = self._basic(basic)
+        parts = self._basic(basic, node.columns)
         parts += [self._derived(t) if isinstance(t.p, IRI) else paths.compile_path(self, t) for t in rest]
         return self._connected(parts)
 
-    def _basic(self, triples: list[A.Triple]) -> list[Solutions]:
+    def _basic(self, triples: list[A.Triple], columns: list[A.Triple] = ()) -> list[Solutions]:
         known = self.source.predicates()
         for t in triples:
             if known is not None and isinstance(t.p, IRI) and t.p.value not in known:
                 self.trace.append(f"no triples with {t.p.value}: the pattern is empty")
-                return [empty(self.spark, {x.name: NODE_KIND for t in triples for x in (t.s, t.p, t.o) if isinstance(x, Var)})]
-        kept = [t for t in triples if not self.source.implied(t, triples)]
+                return [empty(self.spark, {x.name: NODE_KIND for t in [*triples, *columns] for x in (t.s, t.p, t.o) if isinstance(x, Var)})]
+        wanted = {t.s for t in columns}
+        kept = [t for t in triples if t.s in wanted or not self.source.implied(t, triples)]
         if len(kept) < len(triples):
             self.trace.append(f"{len(triples) - len(kept)} type pattern(s) implied by a foreign key")
         if isinstance(self.source, TripleSource):
@@ -64,7 +65,7 @@ class Compiler:
         for s, own in stars.items():
             if len(own) > 1:
                 self.trace.append(f"{len(own)} patterns of {A.text(s)} in one scan")
-        return [self.source.star(s, own) for s, own in stars.items()]
+        return [self.source.star(s, own, [t for t in columns if t.s == s]) for s, own in stars.items()]
 
     def _connected(self, parts: list[Solutions]) -> Solutions:
         """Joins parts so that each shares a variable with those before it where possible."""
@@ -92,7 +93,20 @@ class Compiler:
             return self.compile(node.right)
         return joins.join(self.compile(node.left), self.compile(node.right))
 
+    def optional_column(self, left: Any, right: Any, condition: Any = None) -> Any | None:
+        """The left side with an optional pattern as a column of its scan, if a table can give it."""
+        t = rewrite.single(right)
+        if t is None or isinstance(self.source, TripleSource) or t.p.value in self.rules:
+            return None
+        merged = rewrite.as_column(left, right, condition)
+        if merged is not None:
+            self.trace.append(f"optional {t.p.value} read as a column")
+        return merged
+
     def c_leftjoin(self, node: A.LeftJoin) -> Solutions:
+        merged = self.optional_column(node.left, node.right, node.condition)
+        if merged is not None:
+            return self.compile(merged)
         condition = None
         if node.condition is not None:
             condition = lambda columns: self.scope(columns).truth(node.condition)

@@ -98,13 +98,22 @@ class MappedSource:
     def _class_of(self, prefix: str | None) -> str | None:
         return next((t.cls for t in self.tables if t.prefix == prefix), None)
 
-    def star(self, subject: A.Term, triples: list[A.Triple]) -> Solutions:
-        """Solutions of patterns that share a subject: one scan of each table that can answer them all."""
-        parts = [s for t in self.tables if (s := self._scan(t, subject, triples)) is not None]
-        names = {x.name: BOX_KIND for t in triples for x in (subject, t.p, t.o) if isinstance(x, Var)}
-        return union(parts) if parts else empty(self.spark, names)
+    def star(self, subject: A.Term, triples: list[A.Triple], columns: list[A.Triple] = ()) -> Solutions:
+        """Solutions of patterns that share a subject: one scan of each table that can answer them all.
 
-    def _scan(self, table: Table, subject: A.Term, triples: list[A.Triple]) -> Solutions | None:
+        ``columns`` are patterns of the subject that need not match; a row is a subject, so they add no rows.
+        """
+        parts = [s for t in self.tables if (s := self._scan(t, subject, triples, columns)) is not None]
+        names = {x.name: BOX_KIND for t in [*triples, *columns] for x in (subject, t.p, t.o) if isinstance(x, Var)}
+        if not parts:
+            return empty(self.spark, names)
+        out = union(parts)
+        for t in columns:
+            if t.o.name not in out.kinds:  # no table has it
+                out = out.extend(t.o.name, (F.lit(None).cast("string"), Kind("node", maybe=True)))
+        return out
+
+    def _scan(self, table: Table, subject: A.Term, triples: list[A.Triple], columns: list[A.Triple] = ()) -> Solutions | None:
         own, kind = table.subject()
         conditions: list[Column] = []
         bound: dict[str, Typed] = {}
@@ -158,6 +167,10 @@ class MappedSource:
                 if prop is None or not match(t.o, (prop.column, prop.kind)):
                     return None
                 conditions.append(prop.column.isNotNull())
+        for t in columns:
+            prop = table.properties.get(t.p.value)
+            if prop:
+                bound[t.o.name] = (prop.column, prop.kind.may_lack())
         df = table.df
         if conditions:
             condition = conditions[0]

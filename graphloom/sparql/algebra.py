@@ -91,6 +91,8 @@ class Triple:
 @dataclass
 class BGP:
     triples: list[Triple] = field(default_factory=list)
+    #: Patterns (variable, predicate, fresh variable) that the planner reads as columns that may be null.
+    columns: list[Triple] = field(default_factory=list)
 
 
 @dataclass
@@ -219,7 +221,7 @@ def show(node: Any, depth: int = 0) -> str:
     """The algebra as an indented tree."""
     pad = "  " * depth
     if isinstance(node, BGP):
-        return pad + "BGP" + "".join(f"\n{pad}  {text(t.s)} {text(t.p)} {text(t.o)}" for t in node.triples)
+        return pad + "BGP" + "".join(f"\n{pad}  {text(t.s)} {text(t.p)} {text(t.o)}" for t in node.triples) + "".join(f"\n{pad}  ({text(t.s)} {text(t.p)} {text(t.o)})" for t in node.columns)
     rest = {k: v for k, v in vars(node).items() if k not in ("child", "left", "right")}
     line = pad + type(node).__name__ + (" " + ", ".join(f"{k}={text(v)}" for k, v in rest.items()) if rest else "")
     return "\n".join([line, *(show(c, depth + 1) for c in children(node))])
