@@ -85,7 +85,7 @@ def _runs(doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndar
     start = np.ones(len(doc), bool)
     start[1:] = (doc[1:] != doc[:-1]) | (first[1:] != last[:-1] + 1)
     at = np.flatnonzero(start)
-    return doc[at], first[at], last[np.append(at[1:], len(doc)) - 1]
+    return doc[at], first[at], last[np.append(at[1:], len(doc))[: len(at)] - 1]
 
 
 def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
