@@ -81,6 +81,13 @@ _VALID = {
     "card": f"(char_length({_DIGITS}) between 14 and 19 and luhn_check({_DIGITS}))",
     "phone": f"char_length({_DIGITS}) between 10 and 15",
 }
+#: Whether a match that fails the checks is near enough to be a candidate.
+_PLAUSIBLE = {
+    "email": "true",
+    "ip": "char_length(x.m) <= 23",
+    "card": f"char_length({_DIGITS}) between 13 and 19",
+    "phone": f"char_length({_DIGITS}) between 7 and 15",
+}
 _GAZETTEER = {
     "email": f"if(x.m rlike '(?i)(?:[.]|dot[\\\\])]\\\\x20?)(?:{DOMAINS})$', 1, -1)",
     "ip": f"if(x.m rlike '^(?:{RESERVED})\\\\.', -1, 1)".replace("169\\.254", "169\\\\.254").replace("192\\.168", "192\\\\.168"),
@@ -107,7 +114,8 @@ def candidates(text: str = "text") -> Column:
     arrays = []
     for kind, pattern in PATTERNS.items():
         p = "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        some = f"transform({_matches(pattern)}, x -> {_candidate(kind, _VALID[kind], _VALID[kind])})"
+        near = f"filter({_matches(pattern)}, x -> {_VALID[kind]} or {_PLAUSIBLE[kind]})"
+        some = f"transform({near}, x -> {_candidate(kind, _VALID[kind], _VALID[kind])})"
         arrays.append(f"if({_NEEDS[kind]} and t rlike {p}, {some}, {_EMPTY})")
     p = "'" + WIDE.replace("\\", "\\\\").replace("'", "\\'") + "'"
     by_kind = f"""case when x.m rlike '[A-Za-z]{{2}}[0-9]{{2}}' and not x.m rlike '[\\\\[(]' then {_candidate("iban", "false", "true")}
