@@ -3,6 +3,9 @@
 Each half round is an aggregation (a minimum, combined before the shuffle), a join and a distinct;
 after about log(n) rounds every node is linked to the least node of its component. Links are written
 to the shared folder between rounds; only their count and a checksum come to the driver.
+
+The root of a large component has a link to every member. Minima are therefore written before they
+are joined with the links: between plain tables, Spark broadcasts a small side or splits a hot node.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from . import shared
 
 def _large(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = shared.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
