@@ -44,7 +44,7 @@ def parse_rules(text: str) -> list[Rule]:
         prefixes[name] = iri
     for wanted in re.findall(r"@include\s+<([^>]*)>", bare):
         rules += INCLUDED.get(wanted.lower(), lambda: [])()
-    bare = re.sub(r"@(?:prefix[^\n]*|include\s+<[^>]*>\s*\.?)", "", bare)
+    bare = re.sub(r"@(?:prefix\s+[\w-]*:|include)\s*<[^>]*>\s*\.?", "", bare)
     for body in re.findall(r"\[((?:[^\[\]\"]|\"[^\"]*\")*)\]", bare):
         name, _, rest = body.partition(":") if re.match(r"\s*[\w-]+\s*:(?!\S*//)", body) else ("", "", body)
         arrow = "->" if "->" in rest else "<-"

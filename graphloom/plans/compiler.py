@@ -32,6 +32,8 @@ class Compiler:
         self.trace = trace if trace is not None else []
         self.raw = raw or source  # what native graph queries see
         self.expanding: frozenset[str] = frozenset()
+        #: Templates that variables can have only, as far as the sides that are joined tell.
+        self.hints: dict[str, set[str]] = {}
 
     def compile(self, node: Any) -> Solutions:
         return getattr(self, "c_" + type(node).__name__.lower())(node)
@@ -65,7 +67,32 @@ class Compiler:
         for s, own in stars.items():
             if len(own) > 1:
                 self.trace.append(f"{len(own)} patterns of {A.text(s)} in one scan")
-        return [self.source.star(s, own, [t for t in columns if t.s == s]) for s, own in stars.items()]
+        return [self.source.star(s, own, [t for t in columns if t.s == s], self._prefixes(s, kept)) for s, own in stars.items()]
+
+    def _prefixes(self, subject: A.Term, triples: list[A.Triple]) -> set[str] | None:
+        """The templates that a subject can have, from edges into it and from what its side is joined with."""
+        if not isinstance(subject, Var):
+            return None
+        known = [self.hints[subject.name]] if subject.name in self.hints else []
+        for t in triples:
+            if t.o == subject and isinstance(t.p, IRI) and (found := self.source.targets(t.p.value)) is not None:
+                known.append(found)
+        return set.intersection(*known) if known else None
+
+    def beside(self, left: Solutions, node: Any, optional: bool = False) -> Solutions:
+        """Compiles what is joined with ``left``: tables that can't match it need no scan.
+
+        What is known further out does not hold inside an optional side: a row that fails there may
+        leave a variable unbound, which joins where the row would not.
+        """
+        outer, self.hints = self.hints, {} if optional else self.hints
+        base = self.hints
+        sure = {v: {k.prefix} for v, k in left.kinds.items() if k.form == "node" and k.prefix is not None and not k.maybe}
+        self.hints = {**base, **{v: base[v] & p if v in base else p for v, p in sure.items()}}
+        try:
+            return self.compile(node)
+        finally:
+            self.hints = outer
 
     def _connected(self, parts: list[Solutions]) -> Solutions:
         """Joins parts so that each shares a variable with those before it where possible."""
@@ -91,7 +118,8 @@ class Compiler:
     def c_join(self, node: A.Join) -> Solutions:
         if isinstance(node.left, A.BGP) and not node.left.triples:
             return self.compile(node.right)
-        return joins.join(self.compile(node.left), self.compile(node.right))
+        left = self.compile(node.left)
+        return joins.join(left, self.beside(left, node.right))
 
     def optional_column(self, left: Any, right: Any, condition: Any = None) -> Any | None:
         """The left side with an optional pattern as a column of its scan, if a table can give it."""
@@ -110,14 +138,16 @@ class Compiler:
         condition = None
         if node.condition is not None:
             condition = lambda columns: self.scope(columns).truth(node.condition)
-        return joins.left_join(self.compile(node.left), self.compile(node.right), condition)
+        left = self.compile(node.left)
+        return joins.left_join(left, self.beside(left, node.right, True), condition)
 
     def c_union(self, node: A.Union) -> Solutions:
         out = union([self.compile(node.left), self.compile(node.right)])
         return Solutions(out.df.distinct(), out.kinds) if node.distinct else out
 
     def c_minus(self, node: A.Minus) -> Solutions:
-        return joins.minus(self.compile(node.left), self.compile(node.right))
+        left = self.compile(node.left)
+        return joins.minus(left, self.beside(left, node.right, True))
 
     def c_filter(self, node: A.Filter) -> Solutions:
         out = self.compile(node.child)
@@ -135,14 +165,14 @@ class Compiler:
             out = out.select(out.columns()) if marks else out
         return out
 
-    def _inner(self, pattern: Any) -> tuple[Solutions, Any]:
+    def _inner(self, out: Solutions, pattern: Any) -> tuple[Solutions, Any]:
         """A pattern of EXISTS, and its outermost filter, which may use variables from outside."""
         if isinstance(pattern, A.Filter):
-            return self.compile(pattern.child), pattern.condition
-        return self.compile(pattern), None
+            return self.beside(out, pattern.child, True), pattern.condition
+        return self.beside(out, pattern, True), None
 
     def _exists(self, out: Solutions, pattern: Any, negated: bool) -> Solutions:
-        inner, condition = self._inner(pattern)
+        inner, condition = self._inner(out, pattern)
         use = None if condition is None else lambda columns: self.scope(columns).truth(condition)
         return joins.semi_join(out, inner, negated, use)
 
@@ -211,8 +241,16 @@ class Compiler:
         wanted = by_name or {v.name: n for v, n in zip(node.vars, names, strict=False)}
         return found.select({v: url_as_node(found.typed(n)) for v, n in wanted.items()})
 
+    def _inside(self, node: Any, names: set[str]) -> Solutions:
+        """Compiles a subquery, of whose variables only some are those outside."""
+        outer, self.hints = self.hints, {v: p for v, p in self.hints.items() if v in names}
+        try:
+            return self.compile(node)
+        finally:
+            self.hints = outer
+
     def c_group(self, node: A.Group) -> Solutions:
-        child = self.compile(node.child)
+        child = self._inside(node.child, {v.name for v, e in node.keys if v == e})
         scope = Scope(child.columns())
         columns = {v.name: scope.value(e) for v, e in node.keys}
         df = child.df
@@ -234,7 +272,7 @@ class Compiler:
         return Solutions(out, kinds)
 
     def c_project(self, node: A.Project) -> Solutions:
-        child = self.compile(node.child)
+        child = self._inside(node.child, {v.name for v in node.vars}) if node.vars is not None else self.compile(node.child)
         names = [v.name for v in node.vars] if node.vars is not None else [v for v in child.kinds if not v.startswith("_")]
         null = (F.lit(None).cast("string"), STRING.may_lack())
         return child.select({v: child.typed(v) if v in child.kinds else null for v in names})
@@ -256,7 +294,7 @@ class Compiler:
         return Solutions(out.df.orderBy(*keys), out.kinds)
 
     def c_slice(self, node: A.Slice) -> Solutions:
-        out = self.compile(node.child)
+        out = self._inside(node.child, set())  # which rows are cut off must not depend on what is outside
         df = out.df.offset(node.offset) if node.offset else out.df
         return Solutions(df.limit(node.limit) if node.limit is not None else df, out.kinds)
 

@@ -98,12 +98,18 @@ class MappedSource:
     def _class_of(self, prefix: str | None) -> str | None:
         return next((t.cls for t in self.tables if t.prefix == prefix), None)
 
-    def star(self, subject: A.Term, triples: list[A.Triple], columns: list[A.Triple] = ()) -> Solutions:
+    def targets(self, predicate: str) -> set[str] | None:
+        """The templates that a predicate's objects can have; None if they can be other nodes too."""
+        kinds = [t.properties[predicate].kind for t in self.tables if predicate in t.properties]
+        return {k.prefix for k in kinds} if all(k.form == "node" and k.prefix is not None for k in kinds) else None
+
+    def star(self, subject: A.Term, triples: list[A.Triple], columns: list[A.Triple] = (), prefixes: set[str] | None = None) -> Solutions:
         """Solutions of patterns that share a subject: one scan of each table that can answer them all.
 
-        ``columns`` are patterns of the subject that need not match; a row is a subject, so they add no rows.
+        ``prefixes`` are the only templates that the subject can have, if that is known. ``columns`` are patterns of the subject that need not match; a row is a subject, so they add no rows.
         """
-        parts = [s for t in self.tables if (s := self._scan(t, subject, triples, columns)) is not None]
+        own = [t for t in self.tables if prefixes is None or t.prefix in prefixes]
+        parts = [s for t in own if (s := self._scan(t, subject, triples, columns)) is not None]
         names = {x.name: BOX_KIND for t in [*triples, *columns] for x in (subject, t.p, t.o) if isinstance(x, Var)}
         if not parts:
             return empty(self.spark, names)
