@@ -62,7 +62,7 @@ def centre(g: Column) -> Column:
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Metres between two points on the sphere."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * RADIUS * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return 2 * RADIUS * let(a, lambda x: F.asin(F.sqrt(F.when(x > 1, F.lit(1.0)).otherwise(x))))
 
 
 def distance(a: Column, b: Column, unit: str = "metre") -> Column:

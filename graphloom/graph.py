@@ -36,13 +36,15 @@ class Graph:
 
     def __init__(self, spark: SparkSession, rules: str | list[R.Rule] = "", prefixes: dict[str, str] | None = None):
         self.spark, self.prefixes = spark, dict(prefixes or {})
+        #: Whether the planner merges patterns to scans; without, each pattern is a scan and joined.
+        self.rewrites = True
         self.rules = R.parse_rules(rules) if isinstance(rules, str) else list(rules)
 
     def source(self) -> Any:
         raise NotImplementedError
 
     def compiler(self, trace: list[str] | None = None) -> Compiler:
-        return Compiler(self.spark, self.source(), R.by_predicate(self.rules), trace)
+        return Compiler(self.spark, self.source(), R.by_predicate(self.rules), trace, rewrites=self.rewrites)
 
     def solutions(self, query: A.Query, trace: list[str] | None = None) -> Solutions:
         return self.compiler(trace).compile(query.pattern)
@@ -217,6 +219,19 @@ class TripleGraph(Graph):
         more = frame(self.spark, [(graph, t) for t in triples])
         self.apply(lambda df: df.unionByName(more))
 
+    def extend(self, triples: DataFrame) -> None:
+        """Adds a frame of (g, s, p, o) at once, and derives only what follows from what is new in it."""
+        if self._staged is not None:
+            self.add_all(triples)
+            return
+        new = checkpoint(triples.select("g", "s", "p", "o").distinct().join(self.base, ["g", "s", "p", "o"], "left_anti") if not self.base.isEmpty() else triples.select("g", "s", "p", "o").distinct())
+        self.base = checkpoint(self.base.unionByName(new).distinct())
+        if any(r.forward for r in self.rules):
+            known = self.base.where("g is null").select("s", "p", "o").unionByName(self.derived)
+            more = R.forward(known, self.rules, newest=new.where("g is null").select("s", "p", "o"))
+            self.derived = checkpoint(self.derived.unionByName(more).distinct())
+        self._cached = None
+
     def add_all(self, triples: DataFrame) -> None:
         """Adds a frame of (g, s, p, o)."""
         self.apply(lambda df: df.unionByName(triples.select("g", "s", "p", "o")))

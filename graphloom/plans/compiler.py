@@ -27,7 +27,8 @@ from . import joins, rewrite
 class Compiler:
     """source: where triples come from. rules: backward rules, by the predicate of their heads."""
 
-    def __init__(self, spark: SparkSession, source: Any, rules: dict[str, list] | None = None, trace: list[str] | None = None, raw: Any = None):
+    def __init__(self, spark: SparkSession, source: Any, rules: dict[str, list] | None = None, trace: list[str] | None = None, raw: Any = None, rewrites: bool = True):
+        self.rewrites = rewrites
         self.spark, self.source, self.rules = spark, source, rules or {}
         self.trace = trace if trace is not None else []
         self.raw = raw or source  # what native graph queries see
@@ -55,6 +56,8 @@ class Compiler:
             if known is not None and isinstance(t.p, IRI) and t.p.value not in known:
                 self.trace.append(f"no triples with {t.p.value}: the pattern is empty")
                 return [empty(self.spark, {x.name: NODE_KIND for t in [*triples, *columns] for x in (t.s, t.p, t.o) if isinstance(x, Var)})]
+        if not self.rewrites and not isinstance(self.source, TripleSource):
+            return [self.source.star(t.s, [t]) for t in triples]
         wanted = {t.s for t in columns}
         kept = [t for t in triples if t.s in wanted or not self.source.implied(t, triples)]
         if len(kept) < len(triples):
@@ -124,7 +127,7 @@ class Compiler:
     def optional_column(self, left: Any, right: Any, condition: Any = None) -> Any | None:
         """The left side with an optional pattern as a column of its scan, if a table can give it."""
         t = rewrite.single(right)
-        if t is None or isinstance(self.source, TripleSource) or t.p.value in self.rules:
+        if t is None or not self.rewrites or isinstance(self.source, TripleSource) or t.p.value in self.rules:
             return None
         merged = rewrite.as_column(left, right, condition)
         if merged is not None:

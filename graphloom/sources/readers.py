@@ -25,7 +25,12 @@ _LINE = r'^\s*(<[^>]*>|_:\S+)\s+(<[^>]*>)\s+(<[^>]*>|_:[^\s]+|"(?:[^"\\]|\\.)*"(
 
 def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
     """N-Triples or N-Quads as (g, s, p, o); lines that are neither, but for comments, fail the read."""
-    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(#.*)?$"))
+    return parse_lines(spark.read.text(path)).distinct()
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Lines (column ``value``, of a table or a stream) of N-Triples or N-Quads as (g, s, p, o)."""
+    lines = lines.where(~F.col("value").rlike(r"^\s*(#.*)?$"))
     part = lambda n: F.regexp_extract("value", _LINE, n)
 
     def unescaped(c):
@@ -54,7 +59,7 @@ def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
         F.when(kind == 3, F.coalesce(dt, F.when(lang.isNotNull(), LANG_STRING), F.lit(XSD + "string"))).alias("dt"),
         F.when(kind == 3, lang).alias("lang"),
     ).cast(BOX)
-    return raw.select(F.nullif(node(F.col("g")), F.lit("")).alias("g"), node(F.col("s")).alias("s"), node(F.col("p")).alias("p"), term.alias("o")).distinct()
+    return raw.select(F.nullif(node(F.col("g")), F.lit("")).alias("g"), node(F.col("s")).alias("s"), node(F.col("p")).alias("p"), term.alias("o"))
 
 
 def write_ntriples(df: DataFrame, path: str) -> None:

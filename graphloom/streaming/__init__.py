@@ -1 +1 @@
-"""See the module docstrings."""
+"""Graphs that grow: triples from a stream."""
