@@ -182,11 +182,20 @@ class Compiler:
     def _marked(self, out: Solutions, e: A.Exists) -> tuple[Solutions, str]:
         """Adds a column that tells whether the pattern has a match, for use inside an expression."""
         name = f"_exists{id(e)}"
-        numbered = Solutions(out.df.withColumn("_row", F.monotonically_increasing_id()), out.kinds)
-        numbered = Solutions(numbered.df.persist(), out.kinds)
-        hit = self._exists(numbered, e.pattern, False).df.select("_row", F.lit(True).alias(name))
-        df = numbered.df.join(hit, "_row", "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)) != F.lit(e.negated))
-        return Solutions(df.drop("_row"), out.kinds), name
+        inside = rewrite.variables(e.pattern)
+        names = [v for v in out.kinds if v in inside]
+        columns = [column_name(v) for v in names]
+        # Of the variables that the pattern mentions, each combination is tested once and joined back.
+        keys = Solutions(out.df.select(*columns).distinct(), {v: out.kinds[v] for v in names})
+        hit = self._exists(keys, e.pattern, False).df
+        if not names:
+            hit = hit.limit(1)
+        hit = hit.select(*[F.col(c).alias(c + "__k") for c in columns], F.lit(True).alias(name))
+        on = F.lit(True)
+        for c in columns:
+            on = on & F.col(c).eqNullSafe(F.col(c + "__k"))
+        df = out.df.join(hit, on, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)) != F.lit(e.negated))
+        return Solutions(df.drop(*[c + "__k" for c in columns]), out.kinds), name
 
     def scope(self, columns: dict[str, Typed]) -> Scope:
         return Scope(columns)

@@ -103,14 +103,14 @@ def left_join(a: Solutions, b: Solutions, condition=None) -> Solutions:
     """``condition`` maps the merged columns to a further join condition."""
     on = compatible(a, b)
     if condition is not None:
-        on = on & F.coalesce(condition(merged(a, b)), F.lit(False))
+        on = on & condition(merged(a, b))  # a condition that is null matches nothing, as one that is false
     return Solutions(a.df.join(renamed(b).df, on, "left"), {}).select(merged(a, b, outer=True))
 
 
 def semi_join(a: Solutions, b: Solutions, negated: bool, condition=None) -> Solutions:
     on = compatible(a, b)
     if condition is not None:
-        on = on & F.coalesce(condition(merged(a, b)), F.lit(False))
+        on = on & condition(merged(a, b))  # a condition that is null matches nothing, as one that is false
     return Solutions(a.df.join(renamed(b).df, on, "left_anti" if negated else "left_semi"), a.kinds)
 
 
