@@ -233,7 +233,7 @@ def map_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, schema: st
 
     names = [x.strip().split()[0] for x in schema.split(",")]
     types = [x.strip().split()[1] for x in schema.split(",")]
-    out = docs.mapInArrow(run, ", ".join([*fields, *(f"made{i} {t}" for i, t in enumerate(types))]))
+    out = kernel.map_arrow(docs, run, ", ".join([*fields, *(f"made{i} {t}" for i, t in enumerate(types))]))
     return out.select(*keep, *(out[f"made{i}"].alias(n) for i, n in enumerate(names)))
 
 

@@ -55,6 +55,20 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return data + (((data >= 65) & (data <= 90)).astype(np.uint8) << 5)
 
 
+#: Bytes in an Arrow batch that goes to a Python worker. Batches are held by the JVM and by Python at
+#: once, so with long texts Spark's own limit would be most of an executor's memory.
+BATCH_BYTES = 8 << 20
+
+
+def map_arrow(df, function, schema: str):
+    """``df.mapInArrow``, with the session's batches limited to ``BATCH_BYTES`` (a session that has a lower limit keeps it)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = df.sparkSession.conf.get(name).strip().lower().removesuffix("b")
+    if not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:
+        df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def byte_table(separators: bytes) -> np.ndarray:
     """For each byte, whether it belongs to a word."""
     table = np.ones(256, bool)

@@ -111,7 +111,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(lang * BINS + at), pa.array(total[lang, at])], names=["cell", "n"])
 
     # One row a language and bin at most comes to the driver.
-    cells = sample.mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    cells = kernel.map_arrow(sample, count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(len(langs) * BINS)
     counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     counts = counts.reshape(len(langs), BINS) + ALPHA
@@ -138,4 +138,4 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 score.append(b)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(np.concatenate(score))], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return kernel.map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, lang_pred string, score double")

@@ -182,7 +182,7 @@ def _described(docs: DataFrame, k: int) -> DataFrame:
                 names=["doc_id", "n_shingles", "node", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, node binary, bands array<bigint>")
+    return kernel.map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_shingles bigint, node binary, bands array<bigint>")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -199,7 +199,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                     [*(batch.column(c).take(rows) for c in (1, 2, 3)), pa.array([sets[i].tobytes() for i in own], pa.binary())], names=["node", "group", "blocks", "shingles"]
                 )
 
-    return docs.select("text", "node", "group", "blocks").mapInArrow(run, "node binary, group binary, blocks int, shingles binary")
+    return kernel.map_arrow(docs.select("text", "node", "group", "blocks"), run, "node binary, group binary, blocks int, shingles binary")
 
 
 def _confirmed(percent: int):
@@ -261,7 +261,7 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     tasks = sets.withColumn("mine", mine).withColumn("other", F.explode(others))
     tasks = tasks.select(F.struct("group", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).alias("at"), "node", "shingles")
     tasks = tasks.withColumn("task", F.xxhash64("at")).select("task", "node", "shingles")
-    confirmed = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_confirmed(percent), "a binary, b binary")
+    confirmed = kernel.map_arrow(tasks.repartition("task").sortWithinPartitions("task"), _confirmed(percent), "a binary, b binary")
     roots = components.connect(shared.table(confirmed, "confirmed"))
 
     # Back to documents, by node; both sides are plain tables, so hot nodes are split when they are joined.

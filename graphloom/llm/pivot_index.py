@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import components, shared
+from . import components, kernel, shared
 
 #: Vectors that pivots are chosen from, at most about.
 SAMPLE = 20_000
@@ -170,7 +170,7 @@ def classes(vectors: DataFrame, cosine: float = 0.95, k: int = NEAREST, shared_l
             lists = pa.FixedSizeListArray.from_arrays(pa.array(near.reshape(-1)), near.shape[1]).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["node", "many", "vector", "near"])
 
-    described = nodes.select("node", "many", "vector").mapInArrow(describe, "node bigint, many bigint, vector array<double>, near array<int>")
+    described = kernel.map_arrow(nodes.select("node", "many", "vector"), describe, "node bigint, many bigint, vector array<double>, near array<int>")
     described = shared.table(described, "described")
     # At most MOST_PIVOTS rows of (pivot, blocks) are broadcast.
     lists = described.select(F.explode("near").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -178,7 +178,7 @@ def classes(vectors: DataFrame, cosine: float = 0.95, k: int = NEAREST, shared_l
     posted = posted.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     task = F.xxhash64("pivot", F.least("mine", "other"), F.greatest("mine", "other")).alias("task")
     posted = posted.select(task, "pivot", "mine", "node", "many", F.col("vector").cast("array<float>").alias("vector") if _is_float(vectors) else "vector", "near")
-    found = shared.table(posted.repartition("task").sortWithinPartitions("task").mapInArrow(_search(cosine, shared_least), "a bigint, b bigint, n bigint"), "vector-links")
+    found = shared.table(kernel.map_arrow(posted.repartition("task").sortWithinPartitions("task"), _search(cosine, shared_least), "a bigint, b bigint, n bigint"), "vector-links")
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = components.connect(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "linked")
     named = nodes.join(counts, "node", "left").join(roots, F.col("node") == F.col("linked"), "left")

@@ -37,6 +37,8 @@ LENGTH = 100
 GRAM = 32
 #: Bytes of differing segments that are sorted together (whole grams; a larger gram is sorted alone).
 SORTED = 1 << 20
+#: Segments (40 bytes each) that a map combines before it sends them.
+COMBINED = 600_000
 #: Distinct segments of a gram beyond which it is dealt by window.
 HOT = 50_000
 
@@ -90,34 +92,43 @@ def _runs(doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndar
 
 def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 1 for (doc_id, text): rows of kind 0 are segments, of kind 1 runs of repeated windows."""
+    parts: list[tuple[np.ndarray, ...]] = []
+    held = 0
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        parts = []
         for lo, _, data, offs in kernel.chunks(batch.column(1)):
             text, first, last, gram, hashed = segments(data, offs)
             parts.append((ids[lo + text], first, last, gram, hashed))
-        if not parts:
-            continue
-        doc, first, last, gram, hashed = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((first, doc, hashed, gram))
-        doc, first, last, gram, hashed = doc[order], first[order], last[order], gram[order], hashed[order]
-        head = np.ones(len(doc), bool)
-        head[1:] = (gram[1:] != gram[:-1]) | (hashed[1:] != hashed[:-1])
-        least = np.flatnonzero(head)[np.cumsum(head) - 1] if len(doc) else np.zeros(0, np.int64)
-        again = (doc != doc[least]) | (first != first[least])
-        r_doc, r_first, r_last = _runs(doc[again], first[again], last[again])
-        n = np.concatenate([np.zeros(head.sum(), np.int8), np.ones(len(r_doc), np.int8)])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(n),
-                pa.array(np.concatenate([gram[head].view(np.int64), kernel.mix(r_doc.astype(np.uint64)).view(np.int64)])),
-                pa.array(np.concatenate([hashed[head].view(np.int64), np.zeros(len(r_doc), np.int64)])),
-                pa.array(np.concatenate([doc[head], r_doc]).astype(np.int64)),
-                pa.array(np.concatenate([first[head], r_first]).astype(np.int32)),
-                pa.array(np.concatenate([last[head], r_last]).astype(np.int32)),
-            ],
-            names=["kind", "gram", "hashed", "doc", "first", "last"],
-        )
+            held += len(text)
+        if held >= COMBINED:
+            yield _combined(parts)
+            parts, held = [], 0
+    if parts:
+        yield _combined(parts)
+
+
+def _combined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """The first of each class of equal segments, and runs of the windows of the others."""
+    doc, first, last, gram, hashed = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((first, doc, hashed, gram))
+    doc, first, last, gram, hashed = doc[order], first[order], last[order], gram[order], hashed[order]
+    head = np.ones(len(doc), bool)
+    head[1:] = (gram[1:] != gram[:-1]) | (hashed[1:] != hashed[:-1])
+    least = np.flatnonzero(head)[np.cumsum(head) - 1] if len(doc) else np.zeros(0, np.int64)
+    again = (doc != doc[least]) | (first != first[least])
+    r_doc, r_first, r_last = _runs(doc[again], first[again], last[again])
+    n = np.concatenate([np.zeros(head.sum(), np.int8), np.ones(len(r_doc), np.int8)])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(n),
+            pa.array(np.concatenate([gram[head].view(np.int64), kernel.mix(r_doc.astype(np.uint64)).view(np.int64)])),
+            pa.array(np.concatenate([hashed[head].view(np.int64), np.zeros(len(r_doc), np.int64)])),
+            pa.array(np.concatenate([doc[head], r_doc]).astype(np.int64)),
+            pa.array(np.concatenate([first[head], r_first]).astype(np.int32)),
+            pa.array(np.concatenate([last[head], r_last]).astype(np.int32)),
+        ],
+        names=["kind", "gram", "hashed", "doc", "first", "last"],
+    )
 
 
 _SENT = "kind tinyint, gram bigint, hashed bigint, doc bigint, first int, last int"
@@ -297,16 +308,16 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
-    met = docs.mapInArrow(_sent, _SENT).repartition("gram").sortWithinPartitions("kind", "gram", "hashed", "doc", "first")
-    met = shared.table(met.mapInArrow(_met, "kind tinyint, gram bigint, doc bigint, first int, last int"), "segments")
+    met = kernel.map_arrow(docs, _sent, _SENT).repartition("gram").sortWithinPartitions("kind", "gram", "hashed", "doc", "first")
+    met = shared.table(kernel.map_arrow(met, _met, "kind tinyint, gram bigint, doc bigint, first int, last int"), "segments")
     open_ = met.where("kind = 2")
     # Grams with over `hot` segments are fewer than all segments / hot.
     grams = {r["gram"] for r in open_.groupBy("gram").count().where(F.col("count") > hot).select("gram").toLocalIterator()}
     sent = spark.sparkContext.broadcast(frozenset(grams))
     wanted = open_.groupBy("doc").agg(F.collect_list(F.struct("gram", "first", "last")).alias("wanted"))
     raw = docs.join(wanted, docs["doc_id"] == wanted["doc"]).select("text", "doc", "wanted")
-    raw = raw.mapInArrow(_bytes_of(sent), "key bigint, doc bigint, first int, raw binary")
-    more = raw.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted, "doc bigint, first int, last int")
+    raw = kernel.map_arrow(raw, _bytes_of(sent), "key bigint, doc bigint, first int, raw binary")
+    more = kernel.map_arrow(raw.repartition("key").sortWithinPartitions("key"), _sorted, "doc bigint, first int, last int")
     return met.where("kind = 1").select("doc", "first", "last").unionByName(more)
 
 
@@ -343,4 +354,4 @@ def cut(docs: DataFrame, hot: int = HOT) -> DataFrame:
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
                 )
 
-    return joined.mapInArrow(apply, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return kernel.map_arrow(joined, apply, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")

@@ -253,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), batch.column(1), batch.column(2)], names=[*NAMES, "toxic", "half"])
 
         schema = ", ".join(f"{c} double" for c in NAMES) + ", toxic int, half bigint"
-        got = texts.mapInArrow(rows, schema).toPandas().sort_values(["half", "toxic", *NAMES], kind="stable")
+        got = kernel.map_arrow(texts, rows, schema).toPandas().sort_values(["half", "toxic", *NAMES], kind="stable")
     finally:
         texts.unpersist()
     x, y, fold = got[list(NAMES)].to_numpy(), (got["toxic"].to_numpy() > 0).astype(float), got["half"].to_numpy() % FOLDS
@@ -292,7 +292,7 @@ def _induce(texts: DataFrame) -> Lexicon:
     good = float(sizes["n"]) - bad
     odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
     best = (
-        texts.mapInArrow(count, "term bigint, bad bigint, good bigint")
+        kernel.map_arrow(texts, count, "term bigint, bad bigint, good bigint")
         .groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         .where(F.col("bad") >= LEAST_TEXTS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
         .orderBy(F.desc("odds"), "term").limit(LEXICON).select("term", "odds").toPandas()
@@ -318,4 +318,4 @@ def score(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sent.value.score(batch.column(at)))], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, f"{fields}, `{name}` double")
+    return kernel.map_arrow(docs, run, f"{fields}, `{name}` double")

@@ -167,7 +167,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_bytes: int =
     blocks = list(_blocks(benchmark, block_bytes)) or [[]]
     for i, block in enumerate(blocks):
         sent = spark.sparkContext.broadcast(Block(block, n))
-        found = found.mapInArrow(_pass(sent, columns, i == len(blocks) - 1), f"{fields}, wm {state}")
+        found = kernel.map_arrow(found, _pass(sent, columns, i == len(blocks) - 1), f"{fields}, wm {state}")
     return found.withColumn("wm", F.col("wm").dropFields("bits"))
 
 
