@@ -40,8 +40,8 @@ BASE = 1.1
 BLOCK = 1 << 18
 #: Standard deviations below the threshold at which an estimate rules a pair out.
 DEVIATIONS = 4.5
-#: Candidate nodes (24 bytes each) up to which the list of them is broadcast.
-BROADCAST_NODES = 1_000_000
+#: Candidate nodes (about 90 bytes each) up to which the list of them is broadcast.
+BROADCAST_NODES = 250_000
 SALTS = 32
 
 _rng = np.random.default_rng(20240229)

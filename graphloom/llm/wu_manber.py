@@ -164,10 +164,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_bytes: int =
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     state = "struct<n_words: bigint, n_hit: bigint, items: array<string>, bits: binary>"
     found = docs
-    blocks = list(_blocks(benchmark, block_bytes)) or [[]]
-    for i, block in enumerate(blocks):
-        sent = spark.sparkContext.broadcast(Block(block, n))
-        found = kernel.map_arrow(found, _pass(sent, columns, i == len(blocks) - 1), f"{fields}, wm {state}")
+    blocks = _blocks(benchmark, block_bytes)  # one at a time is held here
+    block = next(blocks, [])
+    while block is not None:
+        sent, block = spark.sparkContext.broadcast(Block(block, n)), next(blocks, None)
+        found = kernel.map_arrow(found, _pass(sent, columns, block is None), f"{fields}, wm {state}")
     return found.withColumn("wm", F.col("wm").dropFields("bits"))
 
 
