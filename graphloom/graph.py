@@ -23,7 +23,7 @@ from .sources.solutions import Solutions, column_name
 from .sources.triples import SCHEMA, TripleSource, frame, same_value
 from .sparql import algebra as A
 from .sparql.parser import parse_query, parse_update
-from .storage import checkpoint
+from .storage import snapshot
 from .terms import IRI, LITERAL, NODE_KIND, BNode, Kind, Literal, Var, box, box_constant, lexical, plain
 
 
@@ -177,7 +177,7 @@ class TripleGraph(Graph):
         df = self.base
         for c in changes:
             df = c(df)
-        self.base = checkpoint(df.select("g", "s", "p", "o").distinct())
+        self.base = snapshot(df.select("g", "s", "p", "o").distinct(), "p", "s")
         self._cached = None
         if any(r.forward for r in self.rules):
             self._infer()
@@ -224,12 +224,12 @@ class TripleGraph(Graph):
         if self._staged is not None:
             self.add_all(triples)
             return
-        new = checkpoint(triples.select("g", "s", "p", "o").distinct().join(self.base, ["g", "s", "p", "o"], "left_anti") if not self.base.isEmpty() else triples.select("g", "s", "p", "o").distinct())
-        self.base = checkpoint(self.base.unionByName(new).distinct())
+        new = snapshot(triples.select("g", "s", "p", "o").distinct(), "p", "s")
+        self.base = snapshot(self.base.unionByName(new).distinct(), "p", "s")
         if any(r.forward for r in self.rules):
             known = self.base.where("g is null").select("s", "p", "o").unionByName(self.derived)
             more = R.forward(known, self.rules, newest=new.where("g is null").select("s", "p", "o"))
-            self.derived = checkpoint(self.derived.unionByName(more).distinct())
+            self.derived = snapshot(self.derived.unionByName(more).distinct(), "p", "s")
         self._cached = None
 
     def add_all(self, triples: DataFrame) -> None:

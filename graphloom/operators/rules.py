@@ -18,7 +18,7 @@ from ..sources.solutions import Solutions, column_name, union
 from ..sources.triples import TripleSource
 from ..sparql import algebra as A
 from ..sparql.parser import Reader, SyntaxProblem
-from ..storage import checkpoint
+from ..storage import snapshot
 from ..terms import IRI, OWL, RDFS, TYPE, Kind, Var, box, box_constant, lexical
 
 if TYPE_CHECKING:
@@ -213,7 +213,7 @@ def derive(rule: Rule, newest: DataFrame, known: DataFrame) -> DataFrame | None:
 def forward(known: DataFrame, rules: list[Rule], newest: DataFrame | None = None) -> DataFrame:
     """What rules derive from triples (s, p, o) and is not among them; with ``newest``, from those on."""
     rules = [r for r in rules if r.forward]
-    known = checkpoint(known.select("s", "p", "o").distinct())
+    known = snapshot(known.select("s", "p", "o").distinct(), "p", "s")
     newest = known if newest is None else newest.select("s", "p", "o").distinct()
     derived = known.limit(0)
     while rules:
@@ -221,7 +221,7 @@ def forward(known: DataFrame, rules: list[Rule], newest: DataFrame | None = None
         for r in rules:
             part = derive(r, newest, known)
             made = part if made is None else made.unionByName(part)
-        newest = checkpoint(made.where("s is not null and o is not null").distinct().join(known, ["s", "p", "o"], "left_anti").select("s", "p", "o"))
+        newest = snapshot(made.where("s is not null and o is not null").distinct().join(known, ["s", "p", "o"], "left_anti").select("s", "p", "o"), "p", "s")
         if newest.isEmpty():
             break
         known, derived = known.unionByName(newest), derived.unionByName(newest)
