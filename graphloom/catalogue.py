@@ -128,11 +128,11 @@ SPARQL: dict[str, tuple[str, str]] = {
     "filter_and": ("SELECT ?k WHERE { ?p :p_partkey ?k ; :p_size ?s ; :p_retailprice ?r FILTER(?s > 10 && ?r < 1500) }", "SELECT p_partkey AS k FROM part WHERE p_size > 10 AND p_retailprice < 1500"),
     "filter_or": ('SELECT ?k WHERE { ?c :c_custkey ?k ; :c_mktsegment ?m ; :c_acctbal ?b FILTER(?m = "BUILDING" || ?b < 0) }', "SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING' OR c_acctbal < 0"),
     "filter_not": ('SELECT ?k WHERE { ?c :c_custkey ?k ; :c_mktsegment ?m FILTER(!(?m = "BUILDING")) }', "SELECT c_custkey AS k FROM customer WHERE NOT c_mktsegment = 'BUILDING'"),
-    "filter_not_equal": ("SELECT ?a ?b WHERE { ?x :region ?r ; :n_nationkey ?a . ?y :region ?r ; :n_nationkey ?b FILTER(?x != ?y) }", "SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey <> b.n_nationkey"),
+    "filter_not_equal": ("SELECT ?a ?b WHERE { ?x :region ?r ; :n_nationkey ?a . ?y :region ?r ; :n_nationkey ?b FILTER(?x != ?y) }", "SELECT CAST(a.n_nationkey AS BIGINT) AS a, CAST(b.n_nationkey AS BIGINT) AS b FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey <> b.n_nationkey"),
     "filter_multi": ("SELECT ?k WHERE { ?c :c_custkey ?k ; :lat ?lat ; :lon ?lon FILTER(?lat > 0 && ?lat < 45) FILTER(?lon > -20 && ?lon < 60) }", "SELECT c_custkey AS k FROM customer WHERE c_custkey % 17 * 10 - 80 > 0 AND c_custkey % 17 * 10 - 80 < 45 AND c_custkey % 36 * 10 - 175 > -20 AND c_custkey % 36 * 10 - 175 < 60"),
     "filter_iri": ("SELECT ?k WHERE { ?c :c_custkey ?k ; :nation ?n FILTER(?n = <urn:d:nation/2>) }", "SELECT c_custkey AS k FROM customer WHERE c_nationkey = 2"),
-    "filter_in": ("SELECT ?k WHERE { ?n :n_nationkey ?k ; :region ?r FILTER(?r IN (<urn:d:region/0>, <urn:d:region/2>)) }", "SELECT n_nationkey AS k FROM nation WHERE n_regionkey IN (0, 2)"),
-    "filter_not_in": ("SELECT ?k WHERE { ?n :n_nationkey ?k ; :n_regionkey ?r FILTER(?r NOT IN (1, 3)) }", "SELECT n_nationkey AS k FROM nation WHERE n_regionkey NOT IN (1, 3)"),
+    "filter_in": ("SELECT ?k WHERE { ?n :n_nationkey ?k ; :region ?r FILTER(?r IN (<urn:d:region/0>, <urn:d:region/2>)) }", "SELECT CAST(n_nationkey AS BIGINT) AS k FROM nation WHERE n_regionkey IN (0, 2)"),
+    "filter_not_in": ("SELECT ?k WHERE { ?n :n_nationkey ?k ; :n_regionkey ?r FILTER(?r NOT IN (1, 3)) }", "SELECT CAST(n_nationkey AS BIGINT) AS k FROM nation WHERE n_regionkey NOT IN (1, 3)"),
     "filter_date": (
         'PREFIX xsd: <http://www.w3.org/2001/XMLSchema#> SELECT ?k ?d WHERE { ?o :o_orderkey ?k ; :o_orderdate ?d FILTER(?d >= "1995-01-01T00:00:00"^^xsd:dateTime && ?d < "1996-01-01T00:00:00"^^xsd:dateTime) }',
         "SELECT o_orderkey AS k, o_orderdate AS d FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1996-01-01'",
