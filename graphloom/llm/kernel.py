@@ -10,6 +10,8 @@ Nulls count as empty texts.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,13 +62,31 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 BATCH_BYTES = 8 << 20
 
 
+def release() -> None:
+    """Gives memory that Arrow and malloc hold for later back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def _releasing(function):
+    def run(batches):
+        release()
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run
+
+
 def map_arrow(df, function, schema: str):
     """``df.mapInArrow``, with the session's batches limited to ``BATCH_BYTES`` (a session that has a lower limit keeps it)."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     held = df.sparkSession.conf.get(name).strip().lower().removesuffix("b")
     if not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:
         df.sparkSession.conf.set(name, str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_releasing(function), schema)
 
 
 def byte_table(separators: bytes) -> np.ndarray:
