@@ -46,8 +46,15 @@ class Graph:
     def compiler(self, trace: list[str] | None = None) -> Compiler:
         return Compiler(self.spark, self.source(), R.by_predicate(self.rules), trace, rewrites=self.rewrites)
 
+    def dataset(self, default: list[str], named: list[str]) -> Any:
+        """A source whose default graph is the union of some graphs, with some named graphs."""
+        raise ValueError("tables have no graphs that FROM could name")
+
     def solutions(self, query: A.Query, trace: list[str] | None = None) -> Solutions:
-        return self.compiler(trace).compile(query.pattern)
+        compiler = self.compiler(trace)
+        if query.default or query.named:
+            compiler.source = self.dataset(query.default, query.named)
+        return compiler.compile(query.pattern)
 
     def query(self, text: str) -> DataFrame:
         """SELECT: a column a variable, native or as strings. ASK: a row with a boolean ``result``.
@@ -160,6 +167,10 @@ class TripleGraph(Graph):
         raw = TripleSource(self.spark, self.base) if self.derived is not None else None
         return Compiler(self.spark, self.source(), R.by_predicate(self.rules), trace, raw=raw)
 
+    def dataset(self, default: list[str], named: list[str]) -> TripleSource:
+        merged = self.base.where(F.col("g").isin(default)).withColumn("g", F.lit(None).cast("string")).distinct()
+        return TripleSource(self.spark, merged.unionByName(self.base.where(F.col("g").isin(named))))
+
     def _infer(self) -> None:
         own = self.base.where("g is null").select("s", "p", "o")
         self.derived = R.forward(own, self.rules)

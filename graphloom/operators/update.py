@@ -89,7 +89,8 @@ def run(graph: TripleGraph, u: A.Update) -> None:
         more = frame(spark, [(g.value if g else None, _ground(t)) for g, t in u.insert])
         graph.apply(lambda df: (_without(df, gone) if u.delete else df).unionByName(more))
     elif u.kind == "MODIFY":
-        found = Compiler(spark, graph.source()).compile(u.pattern)
+        source = graph.dataset(u.default, u.named) if u.default or u.named else graph.source()
+        found = Compiler(spark, source).compile(u.pattern)
         gone, more = instantiate(found, u.delete), instantiate(found, u.insert)
         # Deletions come first, and both are instantiated from the state before.
         graph.apply(lambda df: _without(df, gone).unionByName(more))

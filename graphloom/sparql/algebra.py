@@ -199,6 +199,9 @@ class Query:
     pattern: Any
     template: list[Triple] = field(default_factory=list)
     describe: list[Term] = field(default_factory=list)
+    #: Graphs that make up the default graph, and the named graphs; both empty: all as stored.
+    default: list[str] = field(default_factory=list)
+    named: list[str] = field(default_factory=list)
 
 
 @dataclass
@@ -211,6 +214,8 @@ class Update:
     pattern: Any = None
     source: str | None = None
     target: str | None = None
+    default: list[str] = field(default_factory=list)
+    named: list[str] = field(default_factory=list)
 
 
 def children(node: Any) -> list[Any]:

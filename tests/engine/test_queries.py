@@ -141,6 +141,16 @@ def test_updates(spark):
     assert g.is_empty()
 
 
+def test_datasets(spark):
+    g = TripleGraph(spark, prefixes=PREFIX)
+    g.update("INSERT DATA { :a :p 0 . GRAPH <urn:g:1> { :a :p 1 } GRAPH <urn:g:2> { :a :p 2 } }")
+    assert bag(g.query("SELECT ?x WHERE { :a :p ?x }")) == [("0",)]
+    assert bag(g.query("SELECT ?x FROM <urn:g:1> FROM <urn:g:2> WHERE { :a :p ?x }")) == [("1",), ("2",)]
+    assert bag(g.query("SELECT ?x FROM NAMED <urn:g:2> WHERE { GRAPH ?g { :a :p ?x } }")) == [("2",)]
+    g.update("INSERT { :b :p ?x } USING <urn:g:1> WHERE { :a :p ?x }")
+    assert bag(g.query("SELECT ?x WHERE { :b :p ?x }")) == [("1",)]
+
+
 def test_rules(spark):
     chain = "@prefix : <urn:e:> . :abraham :father :isaac . :isaac :father :jacob . :jacob :father :joseph ."
     want = [("urn:e:abraham", "urn:e:jacob"), ("urn:e:isaac", "urn:e:joseph")]
