@@ -31,6 +31,10 @@ class TransactionProblem(RuntimeError):
     """A transaction was begun twice, or ended without being begun."""
 
 
+#: Extensions after which a graph's parts are written as one.
+MOST_PARTS = 12
+
+
 class Graph:
     """Base: queries over a source, with backward rules."""
 
@@ -146,6 +150,7 @@ class TripleGraph(Graph):
         self.derived: DataFrame | None = None
         self._staged: list[Callable[[DataFrame], DataFrame]] | None = None
         self._cached: TripleSource | None = None
+        self._parts = 0
         if any(r.forward for r in self.rules):
             self._infer()
 
@@ -235,12 +240,17 @@ class TripleGraph(Graph):
         if self._staged is not None:
             self.add_all(triples)
             return
-        new = snapshot(triples.select("g", "s", "p", "o").distinct(), "p", "s")
-        self.base = snapshot(self.base.unionByName(new).distinct(), "p", "s")
+        new = snapshot(U.without(triples.select("g", "s", "p", "o").distinct(), self.base), "p", "s")
+        self.base = self.base.unionByName(new)
         if any(r.forward for r in self.rules):
             known = self.base.where("g is null").select("s", "p", "o").unionByName(self.derived)
             more = R.forward(known, self.rules, newest=new.where("g is null").select("s", "p", "o"))
-            self.derived = snapshot(self.derived.unionByName(more).distinct(), "p", "s")
+            self.derived = self.derived.unionByName(more)
+        self._parts += 1
+        if self._parts >= MOST_PARTS:
+            self._parts = 0
+            self.base = snapshot(self.base, "p", "s")
+            self.derived = None if self.derived is None else snapshot(self.derived, "p", "s")
         self._cached = None
 
     def add_all(self, triples: DataFrame) -> None:

@@ -77,7 +77,8 @@ def all_triples(c: Compiler) -> DataFrame:
     return found.df.select(lexical(*found.typed("s")).alias("s"), lexical(*found.typed("p")).alias("p"), box(*found.typed("o")).alias("o"))
 
 
-def _without(df: DataFrame, gone: DataFrame) -> DataFrame:
+def without(df: DataFrame, gone: DataFrame) -> DataFrame:
+    """Triples (g, s, p, o) that are not among others, as whole terms."""
     same = F.col("a.g").eqNullSafe(F.col("b.g")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.p") == F.col("b.p")) & F.col("a.o").eqNullSafe(F.col("b.o"))
     return df.alias("a").join(gone.alias("b"), same, "left_anti")
 
@@ -87,13 +88,13 @@ def run(graph: TripleGraph, u: A.Update) -> None:
     if u.kind == "DATA":
         gone = frame(spark, [(g.value if g else None, _ground(t)) for g, t in u.delete])
         more = frame(spark, [(g.value if g else None, _ground(t)) for g, t in u.insert])
-        graph.apply(lambda df: (_without(df, gone) if u.delete else df).unionByName(more))
+        graph.apply(lambda df: (without(df, gone) if u.delete else df).unionByName(more))
     elif u.kind == "MODIFY":
         source = graph.dataset(u.default, u.named) if u.default or u.named else graph.source()
         found = Compiler(spark, source).compile(u.pattern)
         gone, more = instantiate(found, u.delete), instantiate(found, u.insert)
         # Deletions come first, and both are instantiated from the state before.
-        graph.apply(lambda df: _without(df, gone).unionByName(more))
+        graph.apply(lambda df: without(df, gone).unionByName(more))
     elif u.kind == "CLEAR":
         if u.target == "ALL":
             graph.clear()
