@@ -24,6 +24,8 @@ if TYPE_CHECKING:
     from ..plans.compiler import Compiler
 
 _fresh = itertools.count()
+#: Newest pairs (about 100 bytes each) up to which they are broadcast to the edges.
+BROADCAST_PAIRS = 100_000
 
 
 def _var(hint: str) -> Var:
@@ -65,7 +67,7 @@ def compile_path(c: Compiler, t: A.Triple) -> Solutions:
 
 
 def pairs(c: Compiler, path: Any) -> DataFrame:
-    """Distinct (a, b) of nodes as strings that a path connects; literals are no ends of further steps and are left out."""
+    """(a, b) of nodes as strings that a path connects; literals are no ends of further steps and are left out."""
     s, o = _var("s"), _var("o")
     found = c.compile(A.BGP([A.Triple(s, path, o)]))
     a, b = found.typed(s.name), found.typed(o.name)
@@ -74,7 +76,7 @@ def pairs(c: Compiler, path: Any) -> DataFrame:
         df = df.where(b[0]["kind"] != 3)
     elif b[1].form == "literal":
         df = df.where(F.lit(False))
-    return df.select(lexical(*a).alias("a"), lexical(*b).alias("b")).distinct()
+    return df.select(lexical(*a).alias("a"), lexical(*b).alias("b"))
 
 
 def _name(term: A.Term) -> str | None:
@@ -84,11 +86,11 @@ def _name(term: A.Term) -> str | None:
 def closure(c: Compiler, p: A.Closure, s: A.Term, o: A.Term) -> DataFrame:
     edges = pairs(c, p.path)
     start, end = _name(s), _name(o)
-    if not p.bound:
-        edges = checkpoint(edges)
-        reached = reach(edges, start=start, end=end)
+    if p.bound:
+        reached = edges.distinct()
     else:
-        reached = edges
+        # From a known end only few edges are read, a scan a round; else all are, so they are kept.
+        reached = reach(edges if start or end else checkpoint(edges.distinct()), start=start, end=end)
     if p.least == 0:
         known = start or end
         zero = c.spark.range(1).select(F.lit(known).alias("a"), F.lit(known).alias("b")) if known else c.source.nodes().select(F.col("node").alias("a"), F.col("node").alias("b"))
@@ -102,10 +104,11 @@ def reach(edges: DataFrame, start: str | None = None, end: str | None = None) ->
     if backwards:
         edges = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
     step = edges.select(F.col("a").alias("via"), F.col("b").alias("next"))
-    newest = checkpoint(edges.where(F.col("a") == (end if backwards else start)) if start or end else edges)
+    newest = checkpoint(edges.where(F.col("a") == (end if backwards else start)).distinct()) if start or end else edges
     known = newest
-    while not newest.isEmpty():
-        further = newest.join(step, newest["b"] == step["via"]).select("a", F.col("next").alias("b")).distinct()
+    while n := newest.count():
+        near = F.broadcast(newest) if n <= BROADCAST_PAIRS else newest
+        further = step.join(near, newest["b"] == step["via"]).select("a", F.col("next").alias("b")).distinct()
         newest = checkpoint(further.join(known, ["a", "b"], "left_anti"))
         known = known.union(newest)
     return known.select(F.col("b").alias("a"), F.col("a").alias("b")) if backwards else known
