@@ -49,12 +49,12 @@ MAPPING = {
     },
 }
 
-_graphs: dict[tuple[int, str, str], TableGraph] = {}
+_graphs: dict[tuple[str, int, str, str], TableGraph] = {}
 
 
 def graph(spark: SparkSession, sf_dir: str, rules: str = "") -> TableGraph:
     """The tables of a folder as a graph; schemas are read once a session and folder."""
-    key = (id(spark), sf_dir, rules)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, rules)
     if key not in _graphs:
         if len(_graphs) > 64:
             _graphs.clear()
