@@ -13,8 +13,8 @@
 4. Each node's full set goes once to the task of its group. Groups with more than ``BLOCK`` shingles
    are dealt to blocks, and every two blocks meet in a task. There the similarity of two nodes is
    estimated from both sketches and sizes by maximum likelihood, and confirmed on the full sets
-   unless the estimate is far too low. One node is compared with all others first; then only nodes
-   outside the largest component so far need to be, against nodes of other components.
+   unless the estimate is far too low. One node is compared with all others first; then nodes are
+   compared with those of other components until all that were not are in one component.
 5. The confirmed links (a spanning forest of each task's) give the components.
 
 Chance that a pair at the threshold shares no band: (1 - 0.8 ** 6) ** 32, under 0.0001.
@@ -140,9 +140,11 @@ def confirm(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     sizes = np.array([len(s) for s in sets])
     registers = np.stack([sketch(s) for s in sets])
     forest = Forest(n)
+    left = np.ones(n, bool)  # not yet compared with all nodes of other components
     least = percent / 100 - DEVIATIONS * np.sqrt(0.25 / REGISTERS)
 
     def compare(x: int) -> None:
+        left[x] = False
         rest = np.flatnonzero(forest.root != forest.root[x])
         rest = rest[100 * np.minimum(sizes[rest], sizes[x]) >= percent * np.maximum(sizes[rest], sizes[x])]
         if len(rest):
@@ -159,9 +161,14 @@ def confirm(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     # The node nearest to each register's commonest value is likely what the others are copies of.
     common = np.array([np.bincount(c, minlength=256).argmax() for c in registers.T])
     compare(int((registers == common).sum(axis=1).argmax()))
-    for x in range(n):
-        if forest.size[forest.root[x]] < forest.size.max() or forest.root[x] != forest.size.argmax():
-            compare(x)
+    # A pair needs no test if one of it was compared or both are in one component. So nodes that were not
+    # compared may stay in one component only: that with most of them, as it is at the end.
+    while left.any():
+        roots = forest.root[left]
+        others = np.flatnonzero(left)[roots != np.bincount(roots).argmax()]
+        if not len(others):
+            break
+        compare(int(others[0]))
     return forest.links
 
 

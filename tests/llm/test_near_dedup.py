@@ -118,3 +118,37 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components.connect(spark.createDataFrame(links, "x bigint, y bigint")).collect()}
     assert got == {i: 0 for i in range(1, 61)} | {101: 100, 102: 100}
     assert components.connect(spark.createDataFrame([], "x bigint, y bigint")).count() == 0
+
+
+def _components(sets, links):
+    root = list(range(len(sets)))
+    for a, b in links:
+        root = [root[b] if x == root[a] else x for x in root]
+    return {tuple(i for i, x in enumerate(root) if x == c) for c in set(root)}
+
+
+def _all_pairs(sets):
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a)]
+    return [(a, b) for a, b in pairs if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))]
+
+
+def test_chains_in_any_order():
+    for seed in range(60):
+        r = np.random.default_rng(seed)
+        pool = kernel.mix(r.integers(0, 1 << 63, 190, dtype=np.uint64))
+        chain = [np.sort(pool[10 * i : 10 * i + 100]) for i in r.permutation(10)]  # only neighbours reach 80 %
+        assert len(_all_pairs(chain)) == 9
+        assert _components(chain, near_dedup.confirm(chain, 80)) == {tuple(range(10))}
+
+
+def test_bridged_stars_in_any_order():
+    for seed in range(60):
+        r = np.random.default_rng(seed)
+        pool = kernel.mix(r.integers(0, 1 << 63, 320, dtype=np.uint64))
+        # Two hubs that are far apart, leaves that lack shingles of their hub, and a leaf of each that bridges.
+        hubs = [pool[:100], pool[30:130]]
+        stars = [np.delete(h, r.permutation(60)[:18] + o) for h, o in zip(hubs, (0, 40), strict=True) for _ in range(6)]
+        bridge = [pool[10:110], pool[20:120]]
+        sets = [np.sort(s) for s in [*hubs, *stars, *bridge, pool[200:300]]]
+        sets = [sets[i] for i in r.permutation(len(sets))]
+        assert _components(sets, near_dedup.confirm(sets, 80)) == _components(sets, _all_pairs(sets))
