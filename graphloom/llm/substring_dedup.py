@@ -15,7 +15,8 @@ suffixes of a corpus would move many times its size, so sorting is confined to w
    divisible by three are sorted and named, the order of names is found by recursion, the remaining
    suffixes are sorted by one symbol and the rank that follows, and both are merged. Adjacent
    suffixes whose first ``LENGTH`` bytes agree are one class, of which the first window stays.
-   Grams with very many distinct segments are dealt to tasks by window instead.
+   Grams whose distinct segments are very many, or too long to sort together, are dealt to tasks by
+   window instead, where equal windows stand together and the first stays.
 4. Repeated windows, as runs, meet their document, where covered bytes are cut out.
 
 Steps 1 to 3 are exact for every window; nothing is sampled, and no limit on repeats holds.
@@ -37,6 +38,8 @@ LENGTH = 100
 GRAM = 32
 #: Bytes of differing segments that are sorted together (whole grams; a larger gram is sorted alone).
 SORTED = 1 << 20
+#: Symbols (bytes, and a divider a segment) of a gram beyond which it is dealt by window.
+MOST = 1 << 21
 #: Segments (40 bytes each) that a map combines before it sends them.
 COMBINED = 600_000
 #: Distinct segments of a gram beyond which it is dealt by window.
@@ -173,12 +176,18 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suffix_ranks(symbols: np.ndarray, depth: int) -> np.ndarray:
     """The rank of each suffix in the order of suffixes by their first ``depth`` symbols at least.
 
-    Symbols are positive and fewer than 2**21, as are suffixes; what follows the end is less than all.
+    Symbols are positive and less than 2**31, and suffixes fewer; what follows the end is less than all.
     Suffixes that agree so far stand together, in any order.
     """
     n = len(symbols)
+    top = max(n, int(symbols.max(initial=0)))
+    assert top < 1 << 31, "too many suffixes or symbols to pack"
     s = np.concatenate([symbols, np.zeros(6, symbols.dtype)]).astype(np.uint64)
-    triple = (s[: n + 3] << np.uint64(42)) | (s[1 : n + 4] << np.uint64(21)) | s[2 : n + 5]
+    # Two symbols as one number below 2**42, with 22 bits left for a third or a rank; or, where that is too few, as their place.
+    two, bits = (s[:-1] << np.uint64(21)) | s[1:], np.uint64(22)
+    if top >= 1 << 21:
+        two, bits = np.unique((s[:-1] << np.uint64(32)) | s[1:], return_inverse=True)[1].astype(np.uint64), np.uint64(32)
+    triple = (two[: n + 3] << bits) | s[2 : n + 5]
     ranks = np.empty(n, np.int64)
     if depth <= 3 or n < 8:
         if n < 8:  # few suffixes: compared outright
@@ -189,17 +198,17 @@ def suffix_ranks(symbols: np.ndarray, depth: int) -> np.ndarray:
         return ranks
     # Sample: sort triples at positions 1 and 2 modulo 3 and name them; recurse on the names. Position
     # n stands for an empty suffix where that ends the first half, so that halves do not run together.
-    one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
-    sample = np.concatenate([one, two])
+    ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
+    sample = np.concatenate([ones, twos])
     order = np.argsort(triple[sample], kind="stable")
     ordered = triple[sample][order]
     names = np.empty(len(sample), np.int64)
     names[order] = np.concatenate([[1], 1 + np.cumsum(ordered[1:] != ordered[:-1])])
     # A divider that is less than all names ends the first half.
-    within = suffix_ranks(np.concatenate([names[: len(one)] + 1, [1], names[len(one) :] + 1]), -(-depth // 3) + 1)
+    within = suffix_ranks(np.concatenate([names[: len(ones)] + 1, [1], names[len(ones) :] + 1]), -(-depth // 3) + 1)
     rank = np.zeros(n + 3, np.uint64)
-    rank[one] = within[: len(one)] + 1
-    rank[two] = within[len(one) + 1 :] + 1
+    rank[ones] = within[: len(ones)] + 1
+    rank[twos] = within[len(ones) + 1 :] + 1
     sample = sample[sample < n]
     sample = sample[np.argsort(rank[sample], kind="stable")]
     # The others by one symbol and the rank after it.
@@ -207,7 +216,7 @@ def suffix_ranks(symbols: np.ndarray, depth: int) -> np.ndarray:
     by_one = (s[: n + 1] << np.uint64(32)) | rank[1 : n + 2]
     rest = rest[np.argsort(by_one[rest], kind="stable")]
     # Merge: against position 1 mod 3 by (symbol, rank), against 2 mod 3 by (two symbols, rank).
-    by_two = (s[:n] << np.uint64(43)) | (s[1 : n + 1] << np.uint64(22)) | rank[2 : n + 2]
+    by_two = (two[:n] << bits) | rank[2 : n + 2]
     first, second = sample[sample % 3 == 1], sample[sample % 3 == 2]
     ranks[rest] = np.arange(len(rest)) + np.searchsorted(by_one[first], by_one[rest]) + np.searchsorted(by_two[second], by_two[rest])
     place = np.empty(n, np.int64)
@@ -248,13 +257,13 @@ def repeated(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
 
 
 def _bytes_of(hot) -> object:
-    """Rows (text, doc, list of (gram, first, last)) as (key, doc, first, bytes); grams in ``hot`` by window."""
+    """Rows (text, doc, list of (gram, first, last)) as (window, key, doc, first, bytes); grams in ``hot`` by window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, wanted = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for lo, _, data, offs in kernel.chunks(batch.column(0)):
-                key, doc, first, raw = [], [], [], []
+                window, key, doc, first, raw = [], [], [], [], []
                 for i in range(len(offs) - 1):
                     own = data[offs[i] : offs[i + 1]].tobytes()
                     for w in wanted[lo + i]:
@@ -263,8 +272,8 @@ def _bytes_of(hot) -> object:
                             spans = [(_window_key(own[p : p + LENGTH]), p, p) for p in range(w["first"], w["last"] + 1)]
                         for k, a, b in spans:
                             if b + LENGTH <= len(own):
-                                key.append(k); doc.append(docs[lo + i]); first.append(a); raw.append(own[a : b + LENGTH])  # noqa: E702
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(first, pa.int32()), pa.array(raw, pa.binary())], names=["key", "doc", "first", "raw"])
+                                window.append(w["gram"] in hot.value); key.append(k); doc.append(docs[lo + i]); first.append(a); raw.append(own[a : b + LENGTH])  # noqa: E702
+                yield pa.RecordBatch.from_arrays([pa.array(window, pa.bool_()), pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(first, pa.int32()), pa.array(raw, pa.binary())], names=["window", "key", "doc", "first", "raw"])
 
     return run
 
@@ -274,9 +283,20 @@ def _window_key(window: bytes) -> int:
 
 
 def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3 for rows sorted by key: runs of repeated windows."""
+    """Step 3 for rows sorted by window, key, document and position: runs of repeated windows.
+
+    Whole grams are sorted together up to ``SORTED``; a larger one is sorted alone. Of single windows only
+    the first of each key's (several, if their hashes agree) is held.
+    """
     held: list[tuple[int, int, bytes]] = []
-    size, key = 0, None
+    gram: list[tuple[int, int, bytes]] = []  # the latest gram's rows, which are not in held yet
+    size = own = 0
+    at = None
+    least: dict[bytes, tuple[int, int]] = {}
+
+    def runs(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32())], names=["doc", "first", "last"])
 
     def done() -> pa.RecordBatch:
         rows = sorted(held, key=lambda r: r[:2])
@@ -285,17 +305,30 @@ def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for (doc, first, _), again in zip(rows, repeated([r[2] for r in rows]), strict=True):
                 edges = np.flatnonzero(np.diff(again, prepend=False, append=False))
                 out += [(doc, first + a, first + b - 1) for a, b in edges.reshape(-1, 2).tolist()]
-        columns = list(zip(*out, strict=True)) or [(), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32())], names=["doc", "first", "last"])
+        return runs(out)
 
     for batch in batches:
-        for k, doc, first, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if k != key and size >= SORTED:
-                yield done()
-                held, size = [], 0
-            key = k
-            held.append((doc, first, raw))
-            size += len(raw) + 1
+        out: list[tuple[int, int, int]] = []
+        for window, key, doc, first, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (window, key) != at:
+                if held and size + own > SORTED:
+                    yield done()
+                    held, size = [], 0
+                held += gram
+                size += own
+                gram, own, at, least = [], 0, (window, key), {}
+            if window:
+                if least.setdefault(raw, (doc, first)) != (doc, first):
+                    out.append((doc, first, first))
+            else:
+                gram.append((doc, first, raw))
+                own += len(raw) + 1
+        if out:
+            yield runs(out)
+    if held and size + own > SORTED:
+        yield done()
+        held = []
+    held += gram
     yield done()
 
 
@@ -311,13 +344,15 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     met = kernel.map_arrow(docs, _sent, _SENT).repartition("gram").sortWithinPartitions("kind", "gram", "hashed", "doc", "first")
     met = shared.table(kernel.map_arrow(met, _met, "kind tinyint, gram bigint, doc bigint, first int, last int"), "segments")
     open_ = met.where("kind = 2")
-    # Grams with over `hot` segments are fewer than all segments / hot.
-    grams = {r["gram"] for r in open_.groupBy("gram").count().where(F.col("count") > hot).select("gram").toLocalIterator()}
+    # Grams with over `hot` segments are fewer than all segments / hot, those with over MOST symbols fewer than all symbols / MOST.
+    symbols = F.sum(F.col("last") - F.col("first") + F.lit(LENGTH + 1))
+    sizes = open_.groupBy("gram").agg(F.count("*").alias("n"), symbols.alias("symbols"))
+    grams = {r["gram"] for r in sizes.where((F.col("n") > hot) | (F.col("symbols") > MOST)).select("gram").toLocalIterator()}
     sent = spark.sparkContext.broadcast(frozenset(grams))
     wanted = open_.groupBy("doc").agg(F.collect_list(F.struct("gram", "first", "last")).alias("wanted"))
     raw = docs.join(wanted, docs["doc_id"] == wanted["doc"]).select("text", "doc", "wanted")
-    raw = kernel.map_arrow(raw, _bytes_of(sent), "key bigint, doc bigint, first int, raw binary")
-    more = kernel.map_arrow(raw.repartition("key").sortWithinPartitions("key"), _sorted, "doc bigint, first int, last int")
+    raw = kernel.map_arrow(raw, _bytes_of(sent), "window boolean, key bigint, doc bigint, first int, raw binary")
+    more = kernel.map_arrow(raw.repartition("key").sortWithinPartitions("window", "key", "doc", "first"), _sorted, "doc bigint, first int, last int")
     return met.where("kind = 1").select("doc", "first", "last").unionByName(more)
 
 

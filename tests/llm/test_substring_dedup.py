@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from graphloom.llm import substring_dedup as S
@@ -69,3 +70,51 @@ def test_suffix_order(size, letters, depth):
     order = np.argsort(S.suffix_ranks(s, depth))
     keys = [tuple(s[i : i + depth].tolist()) for i in order]
     assert keys == sorted(keys)
+
+
+@pytest.mark.parametrize("size,letters", [(400, 1 << 22), (3000, 1 << 30), (2999, 1 << 30)])
+def test_suffix_order_of_wide_symbols(size, letters):
+    r = np.random.default_rng(size)
+    few = r.integers(1, letters, 12)
+    s = few[r.integers(0, 12, size)]
+    order = np.argsort(S.suffix_ranks(s, 100))
+    keys = [tuple(s[i : i + 100].tolist()) for i in order]
+    assert keys == sorted(keys)
+    with pytest.raises(AssertionError):
+        S.suffix_ranks(np.array([1 << 31] * 10), 100)
+
+
+def test_suffix_order_of_many_suffixes():
+    n = 6_500_000  # the ranks of two thirds of them take more than 22 bits
+    s = np.random.default_rng(1).integers(1, 5, n)
+    order = np.argsort(S.suffix_ranks(s, 100))
+    packed = np.zeros(n, np.uint64)  # the first 26 symbols; none after the end
+    for j in range(26):
+        packed = packed * np.uint64(5) + np.append(s[j:], np.zeros(j, np.int64)).astype(np.uint64)
+    assert np.array_equal(np.sort(order), np.arange(n))
+    assert (packed[order][1:] >= packed[order][:-1]).all()
+
+
+def test_long_grams_go_by_window(spark, monkeypatch):
+    monkeypatch.setattr(S, "MOST", 300)
+    rows = corpus(9)
+    got = S.cut(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got} == brute(rows)
+
+
+def test_what_is_sorted_together_is_bounded(monkeypatch):
+    sorted_, whole = [], S.repeated
+    monkeypatch.setattr(S, "SORTED", 1000)
+    monkeypatch.setattr(S, "repeated", lambda texts: sorted_.append(sum(len(t) + 1 for t in texts)) or whole(texts))
+    r = random.Random(3)
+    text = lambda n: bytes(r.choices(b"abcdef", k=n))
+    same, again = text(100), text(130)
+    rows = [(False, 1, d, 0, text(120)) for d in range(4)]
+    rows += [(False, 2, d, 0, text(120)) for d in range(15)]  # alone: 1815 symbols
+    rows += [(False, 3, d, 7, again) for d in (4, 9)]
+    rows += [(True, 1, d, p, same) for d in range(2000) for p in (3, 5)] + [(True, 1, 2000, 0, text(100))]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["window", "key", "doc", "first", "raw"])
+    found = [tuple(x.values()) for b in S._sorted(iter([batch.slice(i, 500) for i in range(0, len(rows), 500)])) for x in b.to_pylist()]
+    assert sorted_ == [4 * 121, 15 * 121, 2 * 131]
+    assert sorted(found) == sorted([(9, 7, 37), *((d, p, p) for d in range(2000) for p in (3, 5) if (d, p) != (0, 3))])
