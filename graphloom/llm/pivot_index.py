@@ -9,7 +9,7 @@ its first common pivot only, so counts of links are exact sums over tasks.
 
 Equal vectors are one node with a multiplicity, however many there are. The count of pivots grows with
 the square root of the count of vectors, so lists grow as the root too, but for vectors that are
-truly close together.
+truly close together. Vectors of each length have pivots, and so lists, of their own.
 """
 
 from __future__ import annotations
@@ -148,7 +148,7 @@ def classes(vectors: DataFrame, cosine: float = 0.95, k: int = NEAREST, shared_l
     ``cosine`` or more; rows with equal vectors always are. n_links counts the other rows linked
     directly; component_id is the smallest vec_id reachable, kept whether that is the row's own.
     Vectors that are null, empty, zero or hold a null or a non-finite component are linked with
-    nothing, nor are those of another length than most. A null vec_id names nothing: its row is kept,
+    nothing, and others with those of their length only. A null vec_id names nothing: its row is kept,
     with a null component, and is counted in no links. Repeated rows are rows with equal vectors. An
     empty table gives an empty result; other columns are left out.
     """
@@ -156,23 +156,31 @@ def classes(vectors: DataFrame, cosine: float = 0.95, k: int = NEAREST, shared_l
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     good = F.col("vector").isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists("vector", lambda x: x != 0)
-    length = vectors.where("embedding is not null").groupBy(F.size("embedding").alias("k")).count().orderBy(F.desc("count"), "k").first()
-    good = F.coalesce(good & (F.size("vector") == (length["k"] if length else 0)) & F.col("vec_id").isNotNull(), F.lit(False))
+    good = F.coalesce(good & F.col("vec_id").isNotNull(), F.lit(False))
     # -0.0 and 0.0 are one number.
     rows = rows.withColumn("key", F.when(good, F.sha2(F.array_join(F.transform("vector", lambda x: (x + F.lit(0.0)).cast("string")), ","), 256)))
     nodes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").cast("bigint").alias("node"), F.count("*").alias("many"), F.first("vector").alias("vector"))
     nodes = shared.table(nodes, "vectors")
-    pivots = spark.sparkContext.broadcast(fit(nodes, nodes.count()))
+    # By length: the number of its first pivot, and its pivots.
+    found, n_pivots = {}, 0
+    for size, n in sorted(nodes.groupBy(F.size("vector")).count().collect()):
+        found[size] = (n_pivots, fit(nodes.where(F.size("vector") == size), n))
+        n_pivots += len(found[size][1])
+    pivots = spark.sparkContext.broadcast(found)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = nearest(_unit(_matrix(batch.column(2))), pivots.value, k) if batch.num_rows else np.zeros((0, 1), np.int32)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(near.reshape(-1)), near.shape[1]).cast(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["node", "many", "vector", "near"])
+            length = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
+            for own in np.unique(length).tolist():
+                first, points = pivots.value[own]
+                some = batch.take(pa.array(np.flatnonzero(length == own)))
+                near = first + nearest(_unit(_matrix(some.column(2))), points, k)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(near.reshape(-1).astype(np.int32)), near.shape[1]).cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*some.columns, lists], names=["node", "many", "vector", "near"])
 
     described = kernel.map_arrow(nodes.select("node", "many", "vector"), describe, "node bigint, many bigint, vector array<double>, near array<int>")
     described = shared.table(described, "described")
-    # At most MOST_PIVOTS rows of (pivot, blocks) are broadcast.
+    # At most MOST_PIVOTS rows of (pivot, blocks) for each length are broadcast.
     lists = described.select(F.explode("near").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     posted = described.withColumn("pivot", F.explode("near")).join(F.broadcast(lists), "pivot")
     posted = posted.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

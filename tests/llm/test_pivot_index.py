@@ -47,3 +47,17 @@ def test_bad_vectors_repeats_and_other_columns(spark):
     assert found == sorted([(0, 0, None, True), (1, 3, 1, True), (2, 3, 1, False), (2, 3, 1, False), (9, 3, 1, False), *alone], key=lambda r: r[0])
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert pivot_index.classes(empty).count() == 0
+
+
+def test_each_length_is_linked_within_itself(spark):
+    long = vectors()
+    r = np.random.default_rng(5)
+    short = [(2 * i + 1, (c + 0.1 * r.normal(size=8)).tolist()) for i, c in enumerate(np.repeat(r.normal(size=(6, 8)), 5, axis=0))]
+    pair = [(5001, [1.0, 2.0]), (5003, [2.0, 4.0]), (5005, [1.0]), (5007, [1.0, 2.0])]
+    rows = [*long, *short, *pair]
+    got = {r["vec_id"]: r["n_links"] for r in pivot_index.classes(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)).collect()}
+    for own in (short, pair[:2] + pair[3:], pair[2:3]):
+        truth = brute(own)
+        assert {i: got[i] for i in truth} == truth
+    truth = brute(long)
+    assert all(got[i] <= n for i, n in truth.items()) and sum(got[i] for i in truth) >= 0.98 * sum(truth.values())
