@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import components, kernel, shared
@@ -173,7 +173,7 @@ def confirm(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _described(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest; null for an empty set) and bands of every row."""
+    """doc_id, n_shingles, node (digest; null for an empty set), bands and copy (digest of the text) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,11 +185,16 @@ def _described(docs: DataFrame, k: int) -> DataFrame:
                     nodes.append(digest(s) if len(s) else None)
                     bands.append(band_keys(sketch(s)).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "node", "bands"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), batch.column(2)],
+                names=["doc_id", "n_shingles", "node", "bands", "copy"],
             )
 
-    return kernel.map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_shingles bigint, node binary, bands array<bigint>")
+    return kernel.map_arrow(docs.select("doc_id", "text", _copy().alias("copy")), run, f"doc_id {kind}, n_shingles bigint, node binary, bands array<bigint>, copy binary")
+
+
+def _copy() -> Column:
+    """128 bits that identify a text; null for null."""
+    return F.unhex(F.md5(F.col("text").cast("binary")))
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -242,6 +247,11 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     lends no id to others. Repeated rows each get a row; rows that share an id but not the text are
     linked by their own texts. An empty table gives an empty result; other columns are left out.
     """
+    return _labelled(docs, k, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _labelled(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """What :func:`classes` gives, with copy (digest of the text) and root (the component's least node; null for an empty set)."""
     rows = shared.table(_described(docs, k), "sketches")
     nodes = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
     nodes = shared.table(nodes, "nodes")
@@ -273,19 +283,23 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     # Back to documents, by node; both sides are plain tables, so hot nodes are split when they are joined.
     named = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "node", "least")
-    ids = shared.table(named.groupBy("root").agg(F.min("least").alias("component_id")).join(named, "root").select("node", "component_id"), "components")
-    out = rows.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
+    ids = shared.table(named.groupBy("root").agg(F.min("least").alias("component_id")).join(named, "root").select("node", "component_id", "root"), "components")
+    out = rows.select("doc_id", "n_shingles", "node", "copy").join(ids, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "copy", "root")
 
 
 def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row of each class of near duplicates of ``docs``, that of the smallest doc_id, with all its columns; see :func:`classes`.
 
-    Texts with an empty set are alike to none and stay. Of rows that share the kept doc_id one stays,
-    and of rows with a null doc_id one for each text.
+    Texts with an empty set are alike to none and stay. Rows that share a doc_id are judged by their own
+    texts: of a class's, that of the least digest stays; of rows that share the text too, and of rows with
+    a null doc_id and one text, one.
     """
-    kept = classes(docs, k, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    kept = _labelled(docs, k, percent).where("kept and doc_id is not null").select("doc_id", "copy", "root")
+    first = kept.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "copy")).alias("row")).select("row.*")
+    kept = first.union(kept.where("root is null").select("doc_id", "copy")).distinct().toDF("kept_id", "kept_copy")
+    same = (F.col("doc_id") == F.col("kept_id")) & _copy().eqNullSafe(F.col("kept_copy"))
+    named = docs.where("doc_id is not null").join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
     nameless = docs.where("doc_id is null")
     return named.unionByName(nameless.dropDuplicates(["text"]))

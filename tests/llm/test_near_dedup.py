@@ -152,3 +152,14 @@ def test_bridged_stars_in_any_order():
         sets = [np.sort(s) for s in [*hubs, *stars, *bridge, pool[200:300]]]
         sets = [sets[i] for i in r.permutation(len(sets))]
         assert _components(sets, near_dedup.confirm(sets, 80)) == _components(sets, _all_pairs(sets))
+
+
+def test_texts_that_share_an_id(spark):
+    a, b, c = ("a b c d e f g", "q r s t u v w", "h i j k l m n")
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, a), (5, b), (3, b), (5, a), (7, near), (7, near + " x"), (8, a), (9, ""), (9, None), (9, ""), (9, c), (None, c), (None, c), (2, "w1")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    left = [(r["doc_id"], r["text"]) for r in near_dedup.representatives(df, 4).collect()]
+    sevens = [x for x in left if x[0] == 7]
+    assert len(sevens) == 1 and sevens[0] in rows
+    assert sorted((x for x in left if x[0] != 7), key=str) == sorted([(5, a), (3, b), (9, ""), (9, None), (9, c), (None, c), (2, "w1")], key=str)
