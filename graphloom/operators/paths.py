@@ -152,6 +152,8 @@ def edges_of(c: Compiler, predicate: IRI | None, both: bool = False) -> DataFram
 def _hops(c: Compiler, t: A.Triple) -> Solutions:
     p: A.Hops = t.p
     edges = edges_of(c, p.predicate, p.both)
+    if p.high is None:
+        edges = checkpoint(edges)
     if p.reverse:
         edges = edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "e")
     step = edges.select(F.col("a").alias("via"), F.col("b").alias("next"), F.col("e").alias("used"))
@@ -162,11 +164,18 @@ def _hops(c: Compiler, t: A.Triple) -> Solutions:
     if p.low == 0:
         nodes = c.source.nodes()
         parts.append(nodes.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("n")))
-    for n in range(1, p.high + 1):
+    n = 0
+    while p.high is None or n < p.high:
+        n += 1
         if n > 1:
             walks = walks.join(step, (walks["b"] == step["via"]) & ~F.array_contains(walks["path"], step["used"])).select("a", F.col("next").alias("b"), F.concat("path", F.array("used")).alias("path"))
         if n >= p.low:
             parts.append(walks.select("a", "b", F.lit(n).cast("bigint").alias("n")))
+        if p.high is None:  # no edge repeats, so walks end
+            walks = checkpoint(walks)
+            if walks.isEmpty():
+                parts = parts or [walks.select("a", "b", F.lit(n).cast("bigint").alias("n"))]
+                break
     out = parts[0]
     for x in parts[1:]:
         out = out.union(x)
@@ -191,14 +200,14 @@ def _hops(c: Compiler, t: A.Triple) -> Solutions:
     return Solutions(df.select(*columns, F.col("n").alias(column_name(length.name))), kinds | {length.name: INTEGER})
 
 
-def shortest(c: Compiler, predicate: IRI | None, start: str | None, end: str | None, both: bool, most: int) -> DataFrame:
-    """(a, b, n): least counts of edges between distinct nodes, by breadth-first rounds, at most ``most`` of them."""
+def shortest(c: Compiler, predicate: IRI | None, start: str | None, end: str | None, both: bool, most: int | None) -> DataFrame:
+    """(a, b, n): least counts of edges between distinct nodes, by breadth-first rounds, at most ``most`` of them (None: until no pair is new)."""
     edges = checkpoint(edges_of(c, predicate, both).select("a", "b").distinct())
     step = edges.select(F.col("a").alias("via"), F.col("b").alias("next"))
     newest = edges.where("a <> b").where(F.col("a") == start) if start else edges.where("a <> b")
     newest = checkpoint(newest.withColumn("n", F.lit(1).cast("bigint")))
     known, n = newest, 1
-    while n < most and not newest.isEmpty():
+    while (most is None or n < most) and not newest.isEmpty():
         n += 1
         further = newest.join(step, newest["b"] == step["via"]).select("a", F.col("next").alias("b")).where("a <> b").distinct()
         newest = checkpoint(further.join(known, ["a", "b"], "left_anti").withColumn("n", F.lit(n).cast("bigint")))

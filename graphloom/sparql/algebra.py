@@ -39,11 +39,11 @@ class Closure:
 
 @dataclass(frozen=True)
 class Hops:
-    """Repetition of one relationship type (or any, if None) from low to high times, one row a path in which no edge repeats."""
+    """Repetition of one relationship type (or any, if None) from low to high times (None: without end), one row a path in which no edge repeats."""
 
     predicate: IRI | None
     low: int
-    high: int
+    high: int | None
     reverse: bool = False
     length: Var | None = None
     both: bool = False

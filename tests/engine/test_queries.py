@@ -205,3 +205,10 @@ def test_tables_and_triples_agree(spark):
         "SELECT ?s WHERE { ?s ?p 7 }",
     ):
         assert bag(table.query(q)) == bag(stored.query(q)), q
+
+
+def test_native_patterns_without_an_upper_end(spark):
+    chain = "".join(f'<urn:e:n{i:02}> <urn:e:next> <urn:e:n{i + 1:02}> .\n' for i in range(12))
+    g = TripleGraph.parse(spark, chain + '<urn:e:n00> <urn:e:name> "first" .')
+    found = bag(g.native("MATCH (a)-[:next*]->(b) WHERE a.name = 'first' RETURN b.uri AS u"))
+    assert found == [(f"urn:e:n{i:02}",) for i in range(1, 13)]
