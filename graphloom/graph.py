@@ -31,8 +31,15 @@ class TransactionProblem(RuntimeError):
     """A transaction was begun twice, or ended without being begun."""
 
 
-#: Extensions after which a graph's parts are written as one.
+#: Changes after which a graph's parts are written as one.
 MOST_PARTS = 12
+#: Triples (about 200 bytes each) of a change up to which it is broadcast to the stored ones.
+BROADCAST_TRIPLES = 100_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A written frame, marked for broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_TRIPLES else df
 
 
 class Graph:
@@ -150,13 +157,14 @@ class TripleGraph(Graph):
         self.derived: DataFrame | None = None
         self._staged: list[Callable[[DataFrame], DataFrame]] | None = None
         self._cached: TripleSource | None = None
-        self._parts = 0
+        self._parts = self._derived_parts = 0
         if any(r.forward for r in self.rules):
             self._infer()
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, form: str | None = None, **options: Any) -> TripleGraph:
-        return cls(spark, readers.read(spark, path, form), **options)
+        """Reads files of triples, whose parsed triples are written once."""
+        return cls(spark, snapshot(readers.read(spark, path, form).select("g", "s", "p", "o").distinct(), "p", "s"), **options)
 
     @classmethod
     def parse(cls, spark: SparkSession, text: str, form: str = "turtle", **options: Any) -> TripleGraph:
@@ -182,21 +190,49 @@ class TripleGraph(Graph):
         self._cached = None
 
     # Changes ----------------------------------------------------------------------------------------
-    def apply(self, change: Callable[[DataFrame], DataFrame]) -> None:
+    def apply(self, change: U.Change | Callable[[DataFrame], DataFrame]) -> None:
         """Changes the stored triples, now or at the end of the transaction."""
         if self._staged is not None:
             self._staged.append(change)
         else:
             self._commit([change])
 
-    def _commit(self, changes: list[Callable[[DataFrame], DataFrame]]) -> None:
-        df = self.base
+    def _commit(self, changes: list[U.Change | Callable[[DataFrame], DataFrame]]) -> None:
+        """Lays changes over the stored triples: only what goes and what comes is written.
+
+        What goes is taken out when triples are read. After ``MOST_PARTS`` such layers all are written as one.
+        """
+        changes = [x for c in changes for x in ([U.Change(gone=c.gone), U.Change(more=c.more)] if isinstance(c, U.Change) else [c])]
+        base, parts = self.base, self._parts
+        added: list[DataFrame] | None = []  # as long as changes only add
         for c in changes:
-            df = c(df)
-        self.base = snapshot(df.select("g", "s", "p", "o").distinct(), "p", "s")
-        self._cached = None
+            if not isinstance(c, U.Change):
+                added, base, parts = None, c(base), parts + 1
+            elif c.gone is not None:
+                gone = snapshot(c.gone.select("g", "s", "p", "o").distinct())
+                added, base, parts = None, U.without(base, _small(gone)), parts + 1
+            elif c.more is not None:
+                more = snapshot(c.more.select("g", "s", "p", "o").distinct())
+                # The stored triples are read once, to find those that come again; none is written.
+                new = snapshot(U.without(more, U.among(base, _small(more))), "p", "s")
+                if not new.isEmpty():
+                    base, parts = base.unionByName(new), parts + 1
+                    added = None if added is None else [*added, new]
+        self.base, self._parts, self._cached = (snapshot(base, "p", "s"), 0, None) if parts >= MOST_PARTS else (base, parts, None)
         if any(r.forward for r in self.rules):
-            self._infer()
+            if added is None or self.derived is None:
+                self._infer()
+            else:
+                for new in added:
+                    self._derive(new)
+
+    def _derive(self, new: DataFrame) -> None:
+        """Adds what follows from new triples."""
+        known = self.base.where("g is null").select("s", "p", "o").unionByName(self.derived)
+        self.derived = self.derived.unionByName(R.forward(known, self.rules, newest=new.where("g is null").select("s", "p", "o")))
+        self._derived_parts += 1
+        if self._derived_parts >= MOST_PARTS:
+            self.derived, self._derived_parts = snapshot(self.derived, "p", "s"), 0
 
     def begin(self) -> None:
         if self._staged is not None:
@@ -232,30 +268,15 @@ class TripleGraph(Graph):
             return action(self)
 
     def add(self, *triples: A.Triple, graph: str | None = None) -> None:
-        more = frame(self.spark, [(graph, t) for t in triples])
-        self.apply(lambda df: df.unionByName(more))
+        self.apply(U.Change(more=frame(self.spark, [(graph, t) for t in triples])))
 
     def extend(self, triples: DataFrame) -> None:
         """Adds a frame of (g, s, p, o) at once, and derives only what follows from what is new in it."""
-        if self._staged is not None:
-            self.add_all(triples)
-            return
-        new = snapshot(U.without(triples.select("g", "s", "p", "o").distinct(), self.base), "p", "s")
-        self.base = self.base.unionByName(new)
-        if any(r.forward for r in self.rules):
-            known = self.base.where("g is null").select("s", "p", "o").unionByName(self.derived)
-            more = R.forward(known, self.rules, newest=new.where("g is null").select("s", "p", "o"))
-            self.derived = self.derived.unionByName(more)
-        self._parts += 1
-        if self._parts >= MOST_PARTS:
-            self._parts = 0
-            self.base = snapshot(self.base, "p", "s")
-            self.derived = None if self.derived is None else snapshot(self.derived, "p", "s")
-        self._cached = None
+        self.add_all(triples)
 
     def add_all(self, triples: DataFrame) -> None:
         """Adds a frame of (g, s, p, o)."""
-        self.apply(lambda df: df.unionByName(triples.select("g", "s", "p", "o")))
+        self.apply(U.Change(more=triples))
 
     def remove(self, s: A.Term | None = None, p: IRI | None = None, o: A.Term | None = None, graph: str | None = None) -> None:
         """Removes the triples that match; a literal by its value and datatype, so that others of the subject stay."""

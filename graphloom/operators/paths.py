@@ -76,7 +76,8 @@ def pairs(c: Compiler, path: Any) -> DataFrame:
         df = df.where(b[0]["kind"] != 3)
     elif b[1].form == "literal":
         df = df.where(F.lit(False))
-    return df.select(lexical(*a).alias("a"), lexical(*b).alias("b"))
+    graph = [found.typed(c.graph_variable)[0].alias("g")] if c.graph_variable else []
+    return df.select(*graph, lexical(*a).alias("a"), lexical(*b).alias("b"))
 
 
 def _name(term: A.Term) -> str | None:
@@ -93,30 +94,36 @@ def closure(c: Compiler, p: A.Closure, s: A.Term, o: A.Term) -> DataFrame:
         reached = reach(edges if start or end else checkpoint(edges.distinct()), start=start, end=end)
     if p.least == 0:
         known = start or end
-        zero = c.spark.range(1).select(F.lit(known).alias("a"), F.lit(known).alias("b")) if known else c.source.nodes().select(F.col("node").alias("a"), F.col("node").alias("b"))
-        reached = reached.union(zero).distinct()
+        if known:
+            nodes = c.source.names().df.toDF("g") if c.graph_variable else c.spark.range(1).select()
+            nodes = nodes.withColumn("node", F.lit(known))
+        else:
+            nodes = c.source.nodes()
+        zero = nodes.select(*([F.col("g")] if c.graph_variable else []), F.col("node").alias("a"), F.col("node").alias("b"))
+        reached = reached.unionByName(zero).distinct()
     return reached
 
 
 def reach(edges: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """All (a, b) with a walk of one edge or more from a to b; from ``start`` or to ``end`` only, if given."""
+    """All (a, b) with a walk of one edge or more from a to b; from ``start`` or to ``end`` only, if given. Walks stay in a graph if edges name theirs (g)."""
+    graph = ["g"] if "g" in edges.columns else []
     backwards = start is None and end is not None
     if backwards:
-        edges = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    step = edges.select(F.col("a").alias("via"), F.col("b").alias("next"))
+        edges = edges.select(*graph, F.col("b").alias("a"), F.col("a").alias("b"))
+    step = edges.select(*graph, F.col("a").alias("via"), F.col("b").alias("next"))
     newest = checkpoint(edges.where(F.col("a") == (end if backwards else start)).distinct()) if start or end else edges
     known = newest
     while n := newest.count():
         near = F.broadcast(newest) if n <= BROADCAST_PAIRS else newest
-        further = step.join(near, newest["b"] == step["via"]).select("a", F.col("next").alias("b")).distinct()
-        newest = checkpoint(further.join(known, ["a", "b"], "left_anti"))
+        further = step.join(near.withColumnRenamed("b", "via"), ["via", *graph]).select(*graph, "a", F.col("next").alias("b")).distinct()
+        newest = checkpoint(further.join(known, [*graph, "a", "b"], "left_anti"))
         known = known.union(newest)
-    return known.select(F.col("b").alias("a"), F.col("a").alias("b")) if backwards else known
+    return known.select(*graph, F.col("b").alias("a"), F.col("a").alias("b")) if backwards else known
 
 
 def _ends(c: Compiler, t: A.Triple, found: DataFrame) -> Solutions:
     """Pairs as solutions of a triple's ends."""
-    bound: dict = {}
+    bound: dict = {c.graph_variable: (F.col("g"), NODE_KIND)} if c.graph_variable else {}
     for term, col in ((t.s, F.col("a")), (t.o, F.col("b"))):
         if isinstance(term, Var):
             if term.name in bound:
@@ -126,7 +133,7 @@ def _ends(c: Compiler, t: A.Triple, found: DataFrame) -> Solutions:
         elif isinstance(term, IRI):
             found = found.where(col == term.value)
         else:
-            return empty(c.spark, {x.name: NODE_KIND for x in (t.s, t.o) if isinstance(x, Var)})
+            return empty(c.spark, {**{v: k for v, (_, k) in bound.items()}, **{x.name: NODE_KIND for x in (t.s, t.o) if isinstance(x, Var)}})
     out = Solutions(found, {})
     return out.select(bound) if bound else Solutions(found.select(), {})
 
@@ -200,11 +207,19 @@ def _hops(c: Compiler, t: A.Triple) -> Solutions:
     return Solutions(df.select(*columns, F.col("n").alias(column_name(length.name))), kinds | {length.name: INTEGER})
 
 
-def shortest(c: Compiler, predicate: IRI | None, start: str | None, end: str | None, both: bool, most: int | None) -> DataFrame:
-    """(a, b, n): least counts of edges between distinct nodes, by breadth-first rounds, at most ``most`` of them (None: until no pair is new)."""
-    edges = checkpoint(edges_of(c, predicate, both).select("a", "b").distinct())
+def shortest(c: Compiler, predicate: IRI | None, both: bool, most: int | None, starts: DataFrame | None = None, ends: DataFrame | None = None) -> DataFrame:
+    """(a, b, n): least counts of edges between distinct nodes, by breadth-first rounds, at most ``most`` of them (None: until no pair is new).
+
+    Only paths from nodes of ``starts``, or else to those of ``ends`` (one column each), are searched; without either, those between all pairs.
+    """
+    edges = edges_of(c, predicate, both).select("a", "b").where("a <> b").distinct()
+    backwards = starts is None and ends is not None
+    if backwards:
+        edges = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    edges = checkpoint(edges)
     step = edges.select(F.col("a").alias("via"), F.col("b").alias("next"))
-    newest = edges.where("a <> b").where(F.col("a") == start) if start else edges.where("a <> b")
+    given = ends if backwards else starts
+    newest = edges if given is None else edges.join(given.toDF("a").distinct(), "a", "left_semi")
     newest = checkpoint(newest.withColumn("n", F.lit(1).cast("bigint")))
     known, n = newest, 1
     while (most is None or n < most) and not newest.isEmpty():
@@ -212,7 +227,7 @@ def shortest(c: Compiler, predicate: IRI | None, start: str | None, end: str | N
         further = newest.join(step, newest["b"] == step["via"]).select("a", F.col("next").alias("b")).where("a <> b").distinct()
         newest = checkpoint(further.join(known, ["a", "b"], "left_anti").withColumn("n", F.lit(n).cast("bigint")))
         known = known.union(newest)
-    return known.where(F.col("b") == end) if end else known
+    return known.select(F.col("b").alias("a"), F.col("a").alias("b"), "n") if backwards else known
 
 
 __all__ = ["Literal", "box_constant", "closure", "compile_path", "inline", "reach", "shortest"]

@@ -213,8 +213,10 @@ def derive(rule: Rule, newest: DataFrame, known: DataFrame) -> DataFrame | None:
 def forward(known: DataFrame, rules: list[Rule], newest: DataFrame | None = None) -> DataFrame:
     """What rules derive from triples (s, p, o) and is not among them; with ``newest``, from those on."""
     rules = [r for r in rules if r.forward]
-    known = snapshot(known.select("s", "p", "o").distinct(), "p", "s")
-    newest = known if newest is None else newest.select("s", "p", "o").distinct()
+    if newest is None:
+        newest = known = snapshot(known.select("s", "p", "o").distinct(), "p", "s")
+    else:
+        newest = newest.select("s", "p", "o").distinct()
     derived = known.limit(0)
     while rules:
         made = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
@@ -13,8 +14,9 @@ from ..sources.solutions import Solutions
 from ..sources.triples import SCHEMA, frame
 from ..sparql import algebra as A
 from ..sparql.parser import ground
+from ..storage import snapshot
 from ..terms import BOX as BOXED
-from ..terms import IRI, LITERAL, BNode, Var, box, box_constant, lexical
+from ..terms import BNODE, IRI, LITERAL, BNode, Var, box, box_constant, lexical
 from ..terms import NODE_KIND as NODE
 
 if TYPE_CHECKING:
@@ -49,24 +51,35 @@ def instantiate(found: Solutions, template: list[tuple[A.Term | None, A.Triple]]
 
 
 
-
 def describe(c: Compiler, q: A.Query) -> DataFrame:
-    """Outgoing triples of the resources, and those of blank nodes that they lead to."""
-    spark = c.spark
-    starts = [spark.range(1).select(F.lit(t.value).alias("s")) for t in q.describe if isinstance(t, IRI)]
+    """Outgoing triples of the resources, and those of blank nodes that they lead to.
+
+    Each resource is a pattern of its own, with the resource as subject or joined with the query's
+    pattern, so that only tables that can hold it are read.
+    """
+    p, o = Var("_p"), Var("_o")
+
+    def outgoing(subject: A.Term, pattern: object | None) -> DataFrame:
+        triple = A.BGP([A.Triple(subject, p, o)])
+        found = c.compile(triple if pattern is None else A.Join(A.Distinct(A.Project(pattern, [subject])), triple))
+        s = F.lit(subject.value) if isinstance(subject, IRI) else lexical(*found.typed(subject.name))
+        return found.df.select(s.alias("s"), lexical(*found.typed(p.name)).alias("p"), box(*found.typed(o.name)).alias("o"))
+
+    parts = [outgoing(t, None) for t in q.describe if isinstance(t, IRI)]
     if q.pattern is not None:
-        found = c.compile(q.pattern)
-        names = [t.name for t in q.describe if isinstance(t, Var)] or [v for v in found.kinds if not v.startswith("_")]
-        starts += [found.df.select(lexical(*found.typed(v)).alias("s")) for v in names]
-    wanted = starts[0]
-    for s in starts[1:]:
-        wanted = wanted.union(s)
+        names = [t for t in q.describe if isinstance(t, Var)] or [Var(v) for v in c.compile(q.pattern).kinds if not v.startswith("_")]
+        parts += [outgoing(v, q.pattern) for v in names]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    out = out.distinct()
+    if not c.source.blank_objects():
+        return out
     triples = all_triples(c)
-    newest = triples.join(wanted.distinct(), "s", "left_semi")
-    out = newest
+    newest = out = snapshot(out)
     while True:
-        blanks = newest.where(F.col("o.kind") == 1).select(F.col("o.lex").alias("s")).distinct().join(out.select("s").distinct(), "s", "left_anti")
-        newest = triples.join(blanks, "s", "left_semi")
+        blanks = newest.where(F.col("o.kind") == BNODE).select(F.col("o.lex").alias("s")).distinct().join(out.select("s").distinct(), "s", "left_anti")
+        newest = snapshot(triples.join(blanks, "s", "left_semi"))
         if newest.isEmpty():
             return out.distinct()
         out = out.unionByName(newest)
@@ -77,24 +90,40 @@ def all_triples(c: Compiler) -> DataFrame:
     return found.df.select(lexical(*found.typed("s")).alias("s"), lexical(*found.typed("p")).alias("p"), box(*found.typed("o")).alias("o"))
 
 
+@dataclass
+class Change:
+    """Triples (g, s, p, o) that go, and then such that come."""
+
+    gone: DataFrame | None = None
+    more: DataFrame | None = None
+
+
+def _same(df: DataFrame, others: DataFrame, how: str) -> DataFrame:
+    same = F.col("a.g").eqNullSafe(F.col("b.g")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.p") == F.col("b.p")) & F.col("a.o").eqNullSafe(F.col("b.o"))
+    return df.alias("a").join(others.alias("b"), same, how)
+
+
 def without(df: DataFrame, gone: DataFrame) -> DataFrame:
     """Triples (g, s, p, o) that are not among others, as whole terms."""
-    same = F.col("a.g").eqNullSafe(F.col("b.g")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.p") == F.col("b.p")) & F.col("a.o").eqNullSafe(F.col("b.o"))
-    return df.alias("a").join(gone.alias("b"), same, "left_anti")
+    return _same(df, gone, "left_anti")
+
+
+def among(df: DataFrame, others: DataFrame) -> DataFrame:
+    """Triples (g, s, p, o) that are among others, as whole terms."""
+    return _same(df, others, "left_semi")
 
 
 def run(graph: TripleGraph, u: A.Update) -> None:
     spark = graph.spark
     if u.kind == "DATA":
-        gone = frame(spark, [(g.value if g else None, _ground(t)) for g, t in u.delete])
-        more = frame(spark, [(g.value if g else None, _ground(t)) for g, t in u.insert])
-        graph.apply(lambda df: (without(df, gone) if u.delete else df).unionByName(more))
+        gone = frame(spark, [(g.value if g else None, _ground(t)) for g, t in u.delete]) if u.delete else None
+        more = frame(spark, [(g.value if g else None, _ground(t)) for g, t in u.insert]) if u.insert else None
+        graph.apply(Change(gone, more))
     elif u.kind == "MODIFY":
         source = graph.dataset(u.default, u.named) if u.default or u.named else graph.source()
         found = Compiler(spark, source).compile(u.pattern)
-        gone, more = instantiate(found, u.delete), instantiate(found, u.insert)
         # Deletions come first, and both are instantiated from the state before.
-        graph.apply(lambda df: without(df, gone).unionByName(more))
+        graph.apply(Change(instantiate(found, u.delete) if u.delete else None, instantiate(found, u.insert) if u.insert else None))
     elif u.kind == "CLEAR":
         if u.target == "ALL":
             graph.clear()
@@ -106,12 +135,12 @@ def run(graph: TripleGraph, u: A.Update) -> None:
 
         def copied(df: DataFrame) -> DataFrame:
             moved = df.where(_in(u.source)).withColumn("g", F.lit(u.target).cast("string"))
-            rest = df if u.kind == "ADD" else df.where(~_in(u.target))
+            rest = df.where(~_in(u.target))
             rest = rest.where(~_in(u.source)) if u.kind == "MOVE" else rest
             return rest.unionByName(moved)
 
         if u.source != u.target:
-            graph.apply(copied)
+            graph.apply(Change(more=graph.base.where(_in(u.source)).withColumn("g", F.lit(u.target).cast("string"))) if u.kind == "ADD" else copied)
     elif u.kind == "LOAD":
         more = readers.read(spark, u.source.removeprefix("file://") if u.source.startswith("file://") else u.source)
         graph.add_all(more.withColumn("g", F.lit(u.target).cast("string")) if u.target else more)
@@ -128,4 +157,4 @@ def _ground(t: A.Triple) -> A.Triple:
     return t
 
 
-__all__ = ["BNode", "describe", "instantiate", "run"]
+__all__ = ["BNode", "Change", "among", "describe", "instantiate", "run", "without"]

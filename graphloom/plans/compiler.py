@@ -7,6 +7,8 @@ Join order and strategy, pushdown into scans and pruning are Catalyst's and adap
 
 from __future__ import annotations
 
+import itertools
+from dataclasses import fields, is_dataclass
 from typing import Any
 
 from pyspark.sql import Column, SparkSession
@@ -23,6 +25,10 @@ from ..terms import (
 )
 from . import joins, rewrite
 
+_fresh = itertools.count()
+#: Named graphs that a pattern may be planned for one by one; it is refused beyond them.
+MOST_GRAPHS = 1000
+
 
 class Compiler:
     """source: where triples come from. rules: backward rules, by the predicate of their heads."""
@@ -39,6 +45,15 @@ class Compiler:
     def compile(self, node: Any) -> Solutions:
         return getattr(self, "c_" + type(node).__name__.lower())(node)
 
+    @property
+    def graph_variable(self) -> str | None:
+        """The variable that every solution binds to its graph's name, inside GRAPH with a variable."""
+        return getattr(self.source, "variable", None)
+
+    def _in_graphs(self, s: Solutions) -> Solutions:
+        """Solutions that say nothing of graphs hold in each."""
+        return s if self.graph_variable is None or self.graph_variable in s.kinds else joins.join(self.source.names(), s)
+
     # Basic graph patterns ---------------------------------------------------------------------------
     def c_bgp(self, node: A.BGP) -> Solutions:
         triples = paths.inline(node.triples)
@@ -48,7 +63,7 @@ class Compiler:
             (basic if isinstance(t.p, IRI | Var) and not derived else rest).append(t)
         parts = self._basic(basic, node.columns)
         parts += [self._derived(t) if isinstance(t.p, IRI) else paths.compile_path(self, t) for t in rest]
-        return self._connected(parts)
+        return self._in_graphs(self._connected(parts))
 
     def _basic(self, triples: list[A.Triple], columns: list[A.Triple] = ()) -> list[Solutions]:
         known = self.source.predicates()
@@ -150,7 +165,7 @@ class Compiler:
 
     def c_minus(self, node: A.Minus) -> Solutions:
         left = self.compile(node.left)
-        return joins.minus(left, self.beside(left, node.right, True))
+        return joins.minus(left, self.beside(left, node.right, True), self.graph_variable)
 
     def c_filter(self, node: A.Filter) -> Solutions:
         out = self.compile(node.child)
@@ -224,8 +239,8 @@ class Compiler:
             for row, t in zip(cells, terms, strict=True):
                 row.append(constant(t, kind).alias(column_name(v.name)))
         if not node.vars:
-            return Solutions(self.spark.range(len(node.rows)).select(), {})
-        return Solutions(self.spark.range(1).select(F.inline(F.array(*[F.struct(*row) for row in cells]))), kinds)
+            return self._in_graphs(Solutions(self.spark.range(len(node.rows)).select(), {}))
+        return self._in_graphs(Solutions(self.spark.range(1).select(F.inline(F.array(*[F.struct(*row) for row in cells]))), kinds))
 
     def c_unwind(self, node: A.Unwind) -> Solutions:
         out = self.compile(node.child)
@@ -235,15 +250,32 @@ class Compiler:
         return Solutions(made, out.kinds | {node.var.name: kind})
 
     def c_graph(self, node: A.Graph) -> Solutions:
-        def inside(name: str) -> Solutions:
-            return Compiler(self.spark, self.source.graph(name), trace=self.trace, raw=self.raw).compile(node.child)
+        def inside(source: Any, child: Any) -> Solutions:
+            return Compiler(self.spark, source, trace=self.trace, raw=self.raw).compile(child)
 
         if not isinstance(node.name, Var):
-            return inside(node.name.value)
-        parts = [inside(n).extend(node.name.name, (F.lit(n), NODE_KIND)) for n in self.source.graph_names()]
-        if not parts:
-            return empty(self.spark, {node.name.name: NODE_KIND})
-        return union(parts)
+            return self._in_graphs(inside(self.source.graph(node.name.value), node.child))
+        name, own = node.name.name, f"_graph{next(_fresh)}"
+        source = self.source.graphs(own)
+        if source is None:
+            return empty(self.spark, {name: NODE_KIND})
+        if not within_graphs(node.child):
+            return self._in_graphs(self._each_graph(source, name, node.child, inside))
+        found = inside(source, node.child)
+        if name in found.kinds:  # the pattern binds the variable too
+            given = source.names().df.select(*[F.col(column_name(own)).alias(column_name(v)) for v in (own, name)])
+            found = joins.join(found, Solutions(given, {own: NODE_KIND, name: NODE_KIND}))
+            return self._in_graphs(found.select({v: c for v, c in found.columns().items() if v != own}))
+        return self._in_graphs(found.select({name if v == own else v: c for v, c in found.columns().items()}))
+
+    def _each_graph(self, source: Any, name: str, child: Any, inside: Any) -> Solutions:
+        """Graph by graph, where a subquery cuts off or aggregates all of a graph's solutions."""
+        names = [r[0] for r in source.names().df.limit(MOST_GRAPHS + 1).collect()]
+        if len(names) > MOST_GRAPHS:
+            raise ValueError(f"a subquery with LIMIT, OFFSET or an aggregate without GROUP BY runs in at most {MOST_GRAPHS} graphs of a variable; name the graph")
+        given = {n: Solutions(self.spark.range(1).select(F.lit(n).alias(column_name(name))), {name: NODE_KIND}) for n in names}
+        parts = [joins.join(inside(self.source.graph(n), child), given[n]) for n in sorted(names)]
+        return union(parts) if parts else empty(self.spark, {name: NODE_KIND})
 
     def c_native(self, node: A.Native) -> Solutions:
         from ..operators import cypher
@@ -251,7 +283,7 @@ class Compiler:
         found, names = cypher.run(Compiler(self.spark, self.raw, trace=self.trace), node.text)
         by_name = {v.name: v.name for v in node.vars if v.name in names}
         wanted = by_name or {v.name: n for v, n in zip(node.vars, names, strict=False)}
-        return found.select({v: url_as_node(found.typed(n)) for v, n in wanted.items()})
+        return self._in_graphs(found.select({v: url_as_node(found.typed(n)) for v, n in wanted.items()}))
 
     def _inside(self, node: Any, names: set[str]) -> Solutions:
         """Compiles a subquery, of whose variables only some are those outside."""
@@ -265,6 +297,8 @@ class Compiler:
         child = self._inside(node.child, {v.name for v, e in node.keys if v == e})
         scope = Scope(child.columns())
         columns = {v.name: scope.value(e) for v, e in node.keys}
+        if self.graph_variable is not None:
+            columns[self.graph_variable] = child.typed(self.graph_variable)
         df = child.df
         args: dict[str, Typed] = {}
         for v, a in node.aggregates:
@@ -286,6 +320,8 @@ class Compiler:
     def c_project(self, node: A.Project) -> Solutions:
         child = self._inside(node.child, {v.name for v in node.vars}) if node.vars is not None else self.compile(node.child)
         names = [v.name for v in node.vars] if node.vars is not None else [v for v in child.kinds if not v.startswith("_")]
+        if self.graph_variable is not None:
+            names.append(self.graph_variable)
         null = (F.lit(None).cast("string"), STRING.may_lack())
         return child.select({v: child.typed(v) if v in child.kinds else null for v in names})
 
@@ -311,6 +347,15 @@ class Compiler:
         return Solutions(df.limit(node.limit) if node.limit is not None else df, out.kinds)
 
 
+def within_graphs(node: Any) -> bool:
+    """Whether a pattern's solutions in all graphs at once are those in each: no part cuts off or aggregates across graphs."""
+    if isinstance(node, A.Slice) or (isinstance(node, A.Group) and not node.keys):
+        return False
+    if isinstance(node, tuple | list):
+        return all(map(within_graphs, node))
+    return not is_dataclass(node) or all(within_graphs(getattr(node, f.name)) for f in fields(node))
+
+
 def conjuncts(e: Any) -> list[Any]:
     return conjuncts(e.args[0]) + conjuncts(e.args[1]) if isinstance(e, A.Call) and e.name == "&&" else [e]
 

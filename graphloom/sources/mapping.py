@@ -8,6 +8,7 @@ joined raw, and IRIs are made only for output, so filters and columns reach the
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,10 @@ from ..terms import BOX_KIND, INTEGER, IRI, TYPE, Kind, Literal, Var, box, kind_
 from .solutions import Solutions, column_name, empty, union
 
 
+#: Bits of the magnitude of Spark's integers.
+BITS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+
+
 class NotStable(ValueError):
     """Rows without a key were to be matched across scans."""
 
@@ -211,8 +216,8 @@ class MappedSource:
         if table.key is None or not iri.startswith(table.prefix):
             return None
         text, name = iri[len(table.prefix) :], table.df.schema[table.key].dataType.simpleString()
-        if name in ("int", "bigint", "smallint", "tinyint"):
-            return F.lit(int(text)) if text.lstrip("-").isdigit() else None
+        if name in BITS:  # only the key's own spelling is the IRI that the template makes
+            return F.lit(int(text)).cast(name) if re.fullmatch(r"0|-?[1-9][0-9]{0,18}", text, re.ASCII) and -(1 << BITS[name]) <= int(text) < 1 << BITS[name] else None
         return F.lit(text)
 
     def nodes(self) -> DataFrame:
@@ -230,8 +235,13 @@ class MappedSource:
     def graph(self, name: str) -> MappedSource:
         return MappedSource(self.spark, [])
 
-    def graph_names(self) -> list[str]:
-        return []
+    def graphs(self, variable: str) -> None:
+        """Tables have no named graphs."""
+        return None
+
+    def blank_objects(self) -> bool:
+        """Objects of edges are under templates, so none is a blank node."""
+        return False
 
 
 def read_tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:

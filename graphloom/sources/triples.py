@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import equal
 from ..sparql import algebra as A
-from ..terms import BOX, BOX_KIND, INTEGERS, IRI, LITERAL, NODE_KIND, SPARK_TYPES, XSD, BNode, Kind, Literal, Var, box_constant, literal_kind, spark_literal
-from .solutions import Solutions, empty, union
+from ..terms import BNODE, BOX, BOX_KIND, INTEGERS, IRI, LITERAL, NODE_KIND, SPARK_TYPES, XSD, BNode, Kind, Literal, Var, box_constant, literal_kind, spark_literal
+from .solutions import Solutions, column_name, empty, union
 
 SCHEMA = f"g string, s string, p string, o {BOX}"
 #: Predicates that a catalogue lists; with more, object columns are boxed.
@@ -24,6 +24,9 @@ MOST_PREDICATES = 10_000
 class TripleSource:
     """The triples of one graph: the default graph (name None) or a named one."""
 
+    #: The variable that patterns bind to the graph's name.
+    variable: str | None = None
+
     def __init__(self, spark: SparkSession, df: DataFrame, name: str | None = None):
         self.spark, self.all, self.name = spark, df, name
         self.df = df.where(F.col("g").isNull() if name is None else F.col("g") == name).select("s", "p", "o")
@@ -68,7 +71,8 @@ class TripleSource:
 
     def pattern(self, t: A.Triple) -> Solutions:
         """Solutions of one triple pattern."""
-        names = {x.name: NODE_KIND for x in (t.s, t.p, t.o) if isinstance(x, Var)}
+        bound: dict = {} if self.variable is None else {self.variable: (F.col("g"), NODE_KIND)}
+        names = {**{v: NODE_KIND for v in bound}, **{x.name: NODE_KIND for x in (t.s, t.p, t.o) if isinstance(x, Var)}}
         if self.catalogue is not None and isinstance(t.p, IRI) and t.p.value not in self.catalogue:
             return empty(self.spark, names)
         df = self.df
@@ -83,7 +87,6 @@ class TripleSource:
             df = df.where(F.col("o.kind") == LITERAL).where(same_value(F.col("o"), t.o))
         elif not isinstance(t.o, Var):
             df = df.where(F.col("o") == box_constant(t.o))
-        bound: dict = {}
         for term, value in ((t.s, (F.col("s"), NODE_KIND)), (t.p, (F.col("p"), NODE_KIND)), (t.o, obj)):
             if isinstance(term, Var):
                 if term.name in bound:
@@ -100,8 +103,28 @@ class TripleSource:
     def graph(self, name: str) -> TripleSource:
         return TripleSource(self.spark, self.all, name)
 
-    def graph_names(self) -> list[str]:
-        return sorted(r["g"] for r in self.all.where("g is not null").select("g").distinct().limit(MOST_PREDICATES).collect())
+    def graphs(self, variable: str) -> NamedGraphs:
+        """All named graphs at once, with the graph's name in a variable."""
+        return NamedGraphs(self.spark, self.all, variable)
+
+    def blank_objects(self) -> bool:
+        """Whether objects can be blank nodes."""
+        return self.catalogue is None or any(kind == BNODE for kinds in self.catalogue.values() for kind, _, _ in kinds)
+
+
+class NamedGraphs(TripleSource):
+    """The triples of all named graphs. Every pattern binds ``variable`` to the graph's name, so that patterns join within a graph."""
+
+    def __init__(self, spark: SparkSession, df: DataFrame, variable: str):
+        self.spark, self.all, self.variable = spark, df, variable
+        self.df = df.where("g is not null").select("g", "s", "p", "o")
+
+    def names(self) -> Solutions:
+        return Solutions(self.df.select(F.col("g").alias(column_name(self.variable))).distinct(), {self.variable: NODE_KIND})
+
+    def nodes(self) -> DataFrame:
+        objects = self.df.where(F.col("o.kind") != LITERAL).select("g", F.col("o.lex").alias("node"))
+        return self.df.select("g", F.col("s").alias("node")).union(objects).distinct()
 
 
 def same_value(o: Column, term: Literal) -> Column:
@@ -124,4 +147,4 @@ def frame(spark: SparkSession, triples: list[tuple[str | None, A.Triple]]) -> Da
     return spark.createDataFrame(rows, SCHEMA)
 
 
-__all__ = ["SCHEMA", "TripleSource", "frame", "same_value", "union"]
+__all__ = ["NamedGraphs", "SCHEMA", "TripleSource", "frame", "same_value", "union"]
