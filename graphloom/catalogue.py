@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 
@@ -268,6 +269,97 @@ SPARQL: dict[str, tuple[str, str]] = {
     ),
 }
 
+_GEO = "PREFIX geof: <http://www.opengis.net/def/function/geosparql/> PREFIX geo: <http://www.opengis.net/ont/geosparql#> PREFIX uom: <http://www.opengis.net/def/uom/OGC/1.0/> "
+_LON, _LAT = "(c_custkey % 36 * 10 - 175)", "(c_custkey % 17 * 10 - 80)"
+_METRES = f"2 * 6371000.0 * asin(sqrt(least(1.0, pow(sin(radians(52.5 - {_LAT}) / 2), 2) + cos(radians({_LAT})) * cos(radians(52.5)) * pow(sin(radians(13.4 - {_LON}) / 2), 2))))"
+_SQUARE = "POLYGON((-30 -10, 45 -10, 45 50, -30 50, -30 -10))"
+
+
+def _spatial(relation: str, shape: str, test: str) -> tuple[str, str]:
+    """Customers whose place stands in a relation to a shape."""
+    return f'{_GEO} SELECT ?k WHERE {{ ?c :c_custkey ?k ; :wkt ?w FILTER(geof:{relation}(?w, "{shape}"^^geo:wktLiteral)) }}', f"SELECT c_custkey AS k FROM customer WHERE {test}"
+
+
+def _shapes(relation: str, wanted: tuple[str, ...]) -> tuple[str, str]:
+    """Which of given shapes stand in a relation to a square."""
+    values = " ".join(f'("{name}" "{wkt}"^^geo:wktLiteral)' for name, wkt in _SHAPES.items())
+    rows = ", ".join(f"('{name}')" for name in wanted)
+    return f'{_GEO} SELECT ?name WHERE {{ VALUES (?name ?w) {{ {values} }} FILTER(geof:{relation}("POLYGON((0 0, 10 0, 10 10, 0 10, 0 0))"^^geo:wktLiteral, ?w)) }}', f"SELECT * FROM (VALUES {rows}) AS t(name)"
+
+
+_SHAPES = {
+    "same": "POLYGON((10 0, 10 10, 0 10, 0 0, 10 0))", "overlapping": "POLYGON((5 5, 15 5, 15 15, 5 15, 5 5))", "beside": "POLYGON((10 0, 20 0, 20 10, 10 10, 10 0))",
+    "within": "POLYGON((2 2, 4 2, 4 4, 2 4, 2 2))", "far": "POLYGON((50 50, 60 50, 60 60, 50 60, 50 50))", "line through": "LINESTRING(-5 5, 15 5)", "point": "POINT(3 3)",
+}
+
+SPARQL |= {
+    # Functions on terms
+    "filter_is_blank": ("SELECT (COUNT(?l) AS ?n) WHERE { ?l :labels ?d FILTER(isBlank(?l) && !isBlank(?d)) }", "SELECT count(*) AS n FROM labels WHERE doc_id IS NOT NULL"),
+    "filter_same_term": ("SELECT ?a WHERE { ?x :n_nationkey ?a ; :n_regionkey ?b FILTER(sameTerm(?a, ?b)) }", "SELECT CAST(n_nationkey AS BIGINT) AS a FROM nation WHERE n_nationkey = n_regionkey"),
+    "bind_bnode": ('SELECT ?k ?b WHERE { ?r :r_regionkey ?k BIND(isBlank(BNODE(CONCAT("r", STR(?k)))) AS ?b) }', "SELECT CAST(r_regionkey AS BIGINT) AS k, true AS b FROM region"),
+    "bind_strdt": (
+        "PREFIX xsd: <http://www.w3.org/2001/XMLSchema#> SELECT ?k ?v ?t WHERE { ?n :n_nationkey ?k BIND(STRDT(STR(?k), xsd:integer) + 1 AS ?v) BIND(DATATYPE(STRDT(\"x\", <urn:t:x>)) AS ?t) }",
+        "SELECT CAST(n_nationkey AS BIGINT) AS k, CAST(n_nationkey + 1 AS BIGINT) AS v, 'urn:t:x' AS t FROM nation",
+    ),
+    "bind_strlang": ('SELECT ?k ?l ?s WHERE { ?r :r_regionkey ?k ; :r_name ?n BIND(STRLANG(?n, "EN") AS ?x) BIND(LANG(?x) AS ?l) BIND(STR(?x) AS ?s) }', "SELECT CAST(r_regionkey AS BIGINT) AS k, 'en' AS l, r_name AS s FROM region"),
+    "bind_strings_more": (
+        'SELECT ?k ?a ?b ?c ?d WHERE { ?n :n_nationkey ?k ; :n_name ?x BIND(STRENDS(?x, "A") AS ?a) BIND(STRAFTER(?x, "A") AS ?b) BIND(ENCODE_FOR_URI(CONCAT(?x, "/a b")) AS ?c) BIND(UCASE(LCASE(?x)) AS ?d) }',
+        "SELECT CAST(n_nationkey AS BIGINT) AS k, suffix(n_name, 'A') AS a, CASE WHEN contains(n_name, 'A') THEN substr(n_name, strpos(n_name, 'A') + 1) ELSE '' END AS b, url_encode(n_name || '/a b') AS c, n_name AS d FROM nation",
+    ),
+    "bind_times": (
+        "SELECT ?k ?m ?s WHERE { ?e :event_id ?k ; :ts ?t BIND(MINUTES(?t) AS ?m) BIND(FLOOR(SECONDS(?t)) AS ?s) }",
+        "SELECT event_id AS k, minute(ts) AS m, CAST(second(ts) AS DECIMAL(38, 18)) AS s FROM events",
+    ),
+    "bind_timezone": (
+        'PREFIX xsd: <http://www.w3.org/2001/XMLSchema#> SELECT ?x ?a ?z WHERE { VALUES ?x { "2020-01-01T10:00:00Z" "2020-01-01T10:00:00+02:00" "2020-01-01T10:00:00-05:30" } BIND(STRDT(?x, <urn:t:moment>) AS ?t) BIND(TZ(?t) AS ?a) BIND(STR(TIMEZONE(?t)) AS ?z) }',
+        "SELECT * FROM (VALUES ('2020-01-01T10:00:00Z', 'Z', 'PT0S'), ('2020-01-01T10:00:00+02:00', '+02:00', 'PT2H'), ('2020-01-01T10:00:00-05:30', '-05:30', '-PT5H30M')) AS t(x, a, z)",
+    ),
+    "bind_digests_more": (
+        'SELECT ?k ?a ?b ?c WHERE { ?r :r_regionkey ?k ; :r_name ?x BIND(SHA1(?x) AS ?a) BIND(SHA384("ASIA") AS ?b) BIND(SHA512("ASIA") AS ?c) }',
+        f"SELECT CAST(r_regionkey AS BIGINT) AS k, sha1(r_name) AS a, '{hashlib.sha384(b'ASIA').hexdigest()}' AS b, '{hashlib.sha512(b'ASIA').hexdigest()}' AS c FROM region",
+    ),
+    "bind_uuid": ('SELECT ?k ?a ?b WHERE { ?r :r_regionkey ?k BIND(STRSTARTS(STR(UUID()), "urn:uuid:") AS ?a) BIND(STRLEN(STRUUID()) AS ?b) }', "SELECT CAST(r_regionkey AS BIGINT) AS k, true AS a, 36::BIGINT AS b FROM region"),
+    "bind_casts_more": (
+        'PREFIX xsd: <http://www.w3.org/2001/XMLSchema#> SELECT ?k ?a ?b ?c ?d WHERE { ?s :s_suppkey ?k ; :s_acctbal ?x BIND(xsd:boolean(?x) AS ?a) BIND(YEAR(xsd:dateTime("2021-03-04T05:06:07")) AS ?b) BIND(xsd:double(STR(?k)) AS ?c) BIND(FLOOR(xsd:decimal("12.75") * 100) AS ?d) }',
+        "SELECT s_suppkey AS k, s_acctbal <> 0 AS a, 2021::BIGINT AS b, CAST(s_suppkey AS DOUBLE) AS c, CAST(1275 AS DECIMAL(38, 18)) AS d FROM supplier",
+    ),
+    # More joins with unbound variables
+    "optional_chain": (
+        "SELECT ?k ?n ?r WHERE { ?c :c_custkey ?k ; :c_acctbal ?b OPTIONAL { ?c :nation ?n ; :c_mktsegment \"BUILDING\" } OPTIONAL { ?n :region ?y . ?y :r_name ?r FILTER(?r = \"ASIA\" && ?b > 9900) } FILTER(?b > 9000) }",
+        """SELECT c_custkey AS k, CASE WHEN c_mktsegment = 'BUILDING' THEN 'urn:d:nation/' || c_nationkey WHEN x.nk IS NOT NULL THEN 'urn:d:nation/' || x.nk END AS n, x.r AS r
+           FROM customer LEFT JOIN (SELECT n_nationkey AS nk, r_name AS r FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA') x
+           ON c_acctbal > 9900 AND (c_mktsegment <> 'BUILDING' OR c_nationkey = x.nk) WHERE c_acctbal > 9000""",
+    ),
+    "minus_optional": (
+        "SELECT ?k ?n WHERE { ?c :c_custkey ?k OPTIONAL { ?c :nation ?n ; :c_acctbal ?b FILTER(?b > 5000) } MINUS { ?n :region <urn:d:region/2> } }",
+        "SELECT c_custkey AS k, CASE WHEN c_acctbal > 5000 THEN 'urn:d:nation/' || c_nationkey END AS n FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE NOT (c_acctbal > 5000 AND n_regionkey = 2)",
+    ),
+    "describe_where": (
+        "DESCRIBE ?n WHERE { ?n :region <urn:d:region/3> }",
+        """SELECT 'urn:d:nation/' || n_nationkey AS subject, unnest(['urn:d:n_nationkey', 'urn:d:n_name', 'urn:d:n_regionkey', 'urn:d:region', 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type']) AS predicate,
+           unnest([CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR), 'urn:d:region/' || n_regionkey, 'urn:d:Nation']) AS object FROM nation WHERE n_regionkey = 3""",
+    ),
+    # Geography
+    "geo_coordinates": (f"{_GEO} SELECT ?k ?a ?b WHERE {{ ?c :c_custkey ?k ; :wkt ?w BIND(geof:latitude(?w) AS ?a) BIND(geof:longitude(?w) AS ?b) }}", f"SELECT c_custkey AS k, CAST({_LAT} AS DOUBLE) AS a, CAST({_LON} AS DOUBLE) AS b FROM customer"),
+    "geo_distance_unit": (
+        f'{_GEO} SELECT ?k WHERE {{ ?c :c_custkey ?k ; :wkt ?w FILTER(geof:distance(?w, "POINT(13.4 52.5)"^^geo:wktLiteral, uom:kilometre) < 4500.5) }}',
+        f"SELECT c_custkey AS k FROM customer WHERE {_METRES} < 4500500",
+    ),
+    "geo_one_argument": (f"{_GEO} SELECT ?k ?x WHERE {{ ?r :r_regionkey ?k BIND(geof:distance(\"POINT(1 1)\"^^geo:wktLiteral) AS ?x) }}", "SELECT CAST(r_regionkey AS BIGINT) AS k, CAST(NULL AS DOUBLE) AS x FROM region"),
+    "geo_disjoint": _spatial("sfDisjoint", "POLYGON((-30 -12, 42 -12, 42 47, -30 47, -30 -12))", f"NOT ({_LON} BETWEEN -30 AND 42 AND {_LAT} BETWEEN -12 AND 47)"),
+    "geo_touches_border": _spatial("sfTouches", "POLYGON((-35 -10, 45 -10, 45 50, -35 50, -35 -10))", f"({_LON} IN (-35, 45) AND {_LAT} BETWEEN -10 AND 50) OR ({_LAT} IN (-10, 50) AND {_LON} BETWEEN -35 AND 45)"),
+    "geo_equals": _shapes("sfEquals", ("same",)),
+    "geo_overlaps": _shapes("sfOverlaps", ("overlapping",)),
+    "geo_touches": _shapes("sfTouches", ("beside",)),
+    "geo_crosses": _shapes("sfCrosses", ("line through",)),
+    "geo_contains_shapes": _shapes("sfContains", ("same", "within", "point")),
+    "geo_buffer": (
+        f'{_GEO} SELECT ?k WHERE {{ ?c :c_custkey ?k ; :wkt ?w FILTER(geof:sfWithin(?w, geof:buffer("POINT(5 0)"^^geo:wktLiteral, 1500, uom:kilometre))) }}',
+        f"SELECT c_custkey AS k FROM customer WHERE pow({_LON} - 5, 2) + pow({_LAT}, 2) < 169",
+    ),
+    "geo_envelope": (f'{_GEO} SELECT ?k WHERE {{ ?c :c_custkey ?k ; :wkt ?w FILTER(geof:sfWithin(?w, geof:envelope("LINESTRING(-30 -12, 42 47)"^^geo:wktLiteral))) }}', f"SELECT c_custkey AS k FROM customer WHERE {_LON} BETWEEN -30 AND 42 AND {_LAT} BETWEEN -12 AND 47"),
+}
+
 #: name: (native graph query, SQL).
 NATIVE: dict[str, tuple[str, str]] = {
     "native_match": ("MATCH (c:Customer)-[:nation]->(n:Nation) WHERE c.c_acctbal > 9000 RETURN c.c_name AS name, n.n_name AS nation", "SELECT c_name AS name, n_name AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9000"),
@@ -279,13 +371,25 @@ NATIVE: dict[str, tuple[str, str]] = {
     "native_union": ("MATCH (r:Region) RETURN r.r_name AS name UNION ALL MATCH (n:Nation) RETURN n.n_name AS name", "SELECT r_name AS name FROM region UNION ALL SELECT n_name FROM nation"),
     "native_unwind": ("UNWIND [1, 5, 9] AS k MATCH (n:Nation) WHERE n.n_nationkey = k RETURN k, n.n_name AS name", "SELECT CAST(n_nationkey AS BIGINT) AS k, n_name AS name FROM nation WHERE n_nationkey IN (1, 5, 9)"),
     "native_shortest": ("MATCH p = shortestPath((o:Order {o_orderkey: 7})-[*]->(r:Region)) RETURN r.r_name AS r, length(p) AS n", "SELECT r_name AS r, 3::BIGINT AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE o_orderkey = 7"),
+    "native_path_length": (
+        "MATCH p = (o:Order {o_orderkey: 7})-[:customer]->(c)-[:nation]->(n) RETURN length(p) AS k, n.n_name AS n",
+        "SELECT 2::BIGINT AS k, n_name AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey = 7",
+    ),
+    "native_unbounded": (
+        "MATCH (o:Order {o_orderkey: 7})-[*]->(x) RETURN x.uri AS x",
+        "SELECT unnest(['urn:d:customer/' || c_custkey, 'urn:d:nation/' || n_nationkey, 'urn:d:region/' || n_regionkey]) AS x FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey = 7",
+    ),
+    "native_shortest_to": (
+        "MATCH p = shortestPath((s:Supplier)-[*]->(r:Region {r_regionkey: 2})) RETURN s.s_suppkey AS s, length(p) AS n",
+        "SELECT s_suppkey AS s, 2::BIGINT AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey = 2",
+    ),
 }
 
 _RULE_BODY = f"(?c <{BASE}nation> ?n) (?n <{BASE}region> ?r)"
 _RULE_SQL = "SELECT 'urn:d:customer/' || c_custkey AS c, r_name AS r FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 
 
-def _stored(spark: SparkSession, sf_dir: str, predicates: list[str], rules: str = "") -> TripleGraph:
+def stored(spark: SparkSession, sf_dir: str, predicates: list[str], rules: str = "") -> TripleGraph:
     """Some predicates of the tables as stored triples."""
     c = Compiler(spark, graph(spark, sf_dir).source())
     triples = R.triples_of(c, [BASE + p for p in predicates]).withColumn("g", F.lit(None).cast("string"))
@@ -302,23 +406,23 @@ def rule_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored(spark, sf_dir, ["nation", "region", "c_custkey", "r_name"], f"[in: {_RULE_BODY} -> (?c <{BASE}inRegion> ?r)]")
-    return stored.query("SELECT ?c ?r WHERE { ?c :inRegion ?x ; :c_custkey ?k . ?x :r_name ?r }")
+    held = stored(spark, sf_dir, ["nation", "region", "c_custkey", "r_name"], f"[in: {_RULE_BODY} -> (?c <{BASE}inRegion> ?r)]")
+    return held.query("SELECT ?c ?r WHERE { ?c :inRegion ?x ; :c_custkey ?k . ?x :r_name ?r }")
 
 
 def rule_transitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = f"[a: (?x <{BASE}nation> ?y) -> (?x <{BASE}within> ?y)] [b: (?x <{BASE}region> ?y) -> (?x <{BASE}within> ?y)] [c: (?x <{BASE}within> ?y) (?y <{BASE}within> ?z) -> (?x <{BASE}within> ?z)]"
-    return _stored(spark, sf_dir, ["nation", "region"], rules).query("SELECT ?x ?y WHERE { ?x :within ?y }")
+    return stored(spark, sf_dir, ["nation", "region"], rules).query("SELECT ?x ?y WHERE { ?x :within ?y }")
 
 
 def update_insert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored(spark, sf_dir, ["n_name", "region", "r_name"])
-    stored.update(
+    held = stored(spark, sf_dir, ["n_name", "region", "r_name"])
+    held.update(
         'INSERT DATA { <urn:d:nation/99> :n_name "ATLANTIS" ; :region <urn:d:region/1> } ; DELETE DATA { <urn:d:nation/3> :n_name "CANADA" } ;'
         ' DELETE { ?n :n_name ?x } INSERT { ?n :n_name ?y ; :renamed true } WHERE { ?n :region <urn:d:region/2> ; :n_name ?x BIND(CONCAT("NEW ", ?x) AS ?y) } ;'
         " DELETE WHERE { ?n :region <urn:d:region/3> }"
     )
-    return stored.query("SELECT ?s ?p ?o WHERE { ?s ?p ?o }")
+    return held.query("SELECT ?s ?p ?o WHERE { ?s ?p ?o }")
 
 
 _UPDATE_SQL = """
@@ -330,21 +434,21 @@ _UPDATE_SQL = """
 
 
 def triples_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, ["c_name", "c_acctbal", "nation", "n_name"]).query('SELECT ?name ?bal ?n WHERE { ?c :c_name ?name ; :c_acctbal ?bal ; :nation ?x . ?x :n_name ?n FILTER(?bal > 5000) }')
+    return stored(spark, sf_dir, ["c_name", "c_acctbal", "nation", "n_name"]).query('SELECT ?name ?bal ?n WHERE { ?c :c_name ?name ; :c_acctbal ?bal ; :nation ?x . ?x :n_name ?n FILTER(?bal > 5000) }')
 
 
 def triples_find(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .terms import IRI
 
-    found = _stored(spark, sf_dir, ["n_name", "region"]).find(p=IRI(BASE + "region"))
+    found = stored(spark, sf_dir, ["n_name", "region"]).find(p=IRI(BASE + "region"))
     return found.select("s", "p", F.col("o.lex").alias("o"))
 
 
 def named_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored(spark, sf_dir, ["region"])
+    held = stored(spark, sf_dir, ["region"])
     names = R.triples_of(Compiler(spark, graph(spark, sf_dir).source()), [BASE + "r_name"]).withColumn("g", F.lit("urn:g:names"))
-    stored.add_all(names)
-    return stored.query("SELECT ?g ?n ?name WHERE { ?n :region ?r GRAPH ?g { ?r :r_name ?name } }")
+    held.add_all(names)
+    return held.query("SELECT ?g ?n ?name WHERE { ?n :region ?r GRAPH ?g { ?r :r_name ?name } }")
 
 
 def ntriples_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,7 +460,7 @@ def ntriples_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ensure_folder(spark)
     path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/nt-{uuid.uuid4().hex}"
-    _stored(spark, sf_dir, ["n_name", "region", "c_acctbal"]).dump(path)
+    stored(spark, sf_dir, ["n_name", "region", "c_acctbal"]).dump(path)
     again = TripleGraph(spark, readers.read_ntriples(spark, path), prefixes={"": BASE})
     return again.query("SELECT ?s ?b WHERE { ?s :c_acctbal ?b FILTER(?b < 0) }")
 

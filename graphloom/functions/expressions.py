@@ -148,7 +148,9 @@ class Scope:
             return geo.envelope(self.wkt(args[0])), Kind("literal", WKT)
         if name == "buffer":
             unit = args[2].value.rsplit("/", 1)[-1].lower() if len(args) > 2 else "metre"
-            return geo.buffer(self.wkt(args[0]), self.number(args[1])[0].cast("double") * geo.UNITS.get(unit, 1.0)), Kind("literal", WKT)
+            if unit not in geo.UNITS:
+                raise Unsupported(f"unknown unit {unit}")
+            return geo.buffer(self.wkt(args[0]), self.number(args[1])[0].cast("double") * geo.UNITS[unit]), Kind("literal", WKT)
         if name in ("latitude", "longitude"):
             return getattr(geo, name)(self.wkt(args[0])), DOUBLE
         raise Unsupported(f"unknown spatial function {name}")

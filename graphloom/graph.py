@@ -6,6 +6,8 @@ updates. ``query`` gives native columns; ``terms`` gives boxed terms.
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -110,6 +112,20 @@ class Graph:
         plan = found.df._jdf.queryExecution().explainString(self.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         return "\n".join(["== Algebra ==", A.show(q.pattern), "== Planner ==", *trace, "== Spark ==", plan])
 
+    def trace(self, text: str) -> dict[str, Any]:
+        """Runs a SELECT and tells of it: planner's notes, rows, seconds, scans, exchanges, and whether a filter reached a scan."""
+        q, notes = parse_query(text, self.prefixes), []
+        begun = time.monotonic()
+        found = self.solutions(q, notes).df
+        planned = time.monotonic()
+        rows = found.count()
+        done = time.monotonic()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        return {
+            "notes": notes, "rows": rows, "planning": planned - begun, "seconds": done - planned, "scans": plan.count("FileScan"), "exchanges": plan.count("Exchange "),
+            "pushed": bool(re.search(r"PushedFilters: \[[^\]]", plan)),
+        }
+
     # Triples ----------------------------------------------------------------------------------------
     def find(self, s: A.Term | None = None, p: IRI | None = None, o: A.Term | None = None) -> DataFrame:
         """Triples (s, p, o) that match; None matches all, literals match by value."""
@@ -298,8 +314,10 @@ class TripleGraph(Graph):
         for u in parse_update(text, self.prefixes):
             U.run(self, u)
 
-    def dump(self, path: str) -> None:
-        readers.write_ntriples(self.find(), path)
+    def dump(self, path: str, form: str = "nt") -> None:
+        """Writes the graph to a folder, as N-Triples (``nt``) or Turtle (``ttl``) files."""
+        writers = {"nt": readers.write_ntriples, "ttl": readers.write_turtle}
+        writers[form](self.find(), path)
 
     def turtle(self) -> str:
         """The graph as Turtle text, for graphs that fit the driver."""

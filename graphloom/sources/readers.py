@@ -1,23 +1,26 @@
 """Readers and writers of RDF files.
 
-N-Triples and N-Quads are read line by line on the executors. Turtle, RDF/XML and JSON-LD have state
-that runs through the file, so a file is parsed whole, on the driver.
+N-Triples and N-Quads are read line by line. Turtle, RDF/XML and JSON-LD have state that runs through
+the file, so a file is parsed whole, each in the task that reads it. Writers stream sorted partitions.
 """
 
 from __future__ import annotations
 
 import itertools
 import json
+import uuid
 import xml.etree.ElementTree as ElementTree
+from collections.abc import Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sparql import algebra as A
 from ..sparql.parser import Reader, SyntaxProblem
 from ..terms import BOX, IRI, LANG_STRING, RDF, TYPE, XSD, BNode, Literal
-from .triples import frame
+from .triples import SCHEMA, row
 
 _documents = itertools.count()
 _LINE = r'^\s*(<[^>]*>|_:\S+)\s+(<[^>]*>)\s+(<[^>]*>|_:[^\s]+|"(?:[^"\\]|\\.)*"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?)\s*(<[^>]*>|_:\S+)?\s*\.\s*(?:#.*)?$'
@@ -77,12 +80,17 @@ def line():
     return F.concat_ws(" ", node(F.col("s")), node(F.col("p")), obj, F.lit("."))
 
 
+def _new_tag() -> str:
+    """What the blank nodes of a document begin with."""
+    return f"d{next(_documents)}"
+
+
 class TurtleReader(Reader):
     """Turtle, with blank nodes whose labels are unique to the document."""
 
-    def __init__(self, source: str, base: str = ""):
+    def __init__(self, source: str, base: str = "", tag: str | None = None):
         super().__init__(source, base=base)
-        self.tag = f"d{next(_documents)}"
+        self.tag = tag or _new_tag()
 
     def blank(self, label: str) -> A.Term:
         return BNode(f"{self.tag}-{label}")
@@ -113,14 +121,14 @@ class TurtleReader(Reader):
         return out
 
 
-def parse_turtle(text: str, base: str = "") -> list[A.Triple]:
-    return TurtleReader(text, base).read()
+def parse_turtle(text: str, base: str = "", tag: str | None = None) -> list[A.Triple]:
+    return TurtleReader(text, base, tag).read()
 
 
-def parse_rdfxml(text: str, base: str = "") -> list[A.Triple]:
+def parse_rdfxml(text: str, base: str = "", tag: str | None = None) -> list[A.Triple]:
     """RDF/XML: descriptions, typed nodes, property attributes, nested nodes, parse types Resource, Literal and Collection."""
     out: list[A.Triple] = []
-    tag, fresh = f"d{next(_documents)}", itertools.count()
+    tag, fresh = tag or _new_tag(), itertools.count()
     rdf = lambda name: f"{{{RDF}}}{name}"
     xml = "{http://www.w3.org/XML/1998/namespace}"
     iri = lambda name: IRI(name[1:].replace("}", "", 1))
@@ -177,10 +185,10 @@ def parse_rdfxml(text: str, base: str = "") -> list[A.Triple]:
     return out
 
 
-def parse_jsonld(text: str) -> list[A.Triple]:
+def parse_jsonld(text: str, base: str = "", tag: str | None = None) -> list[A.Triple]:
     """JSON-LD with an inline context: terms, prefixes, ``@vocab``, ``@id``, ``@type``, ``@value``, ``@list``, ``@graph`` and nesting."""
     out: list[A.Triple] = []
-    tag, fresh = f"d{next(_documents)}", itertools.count()
+    tag, fresh = tag or _new_tag(), itertools.count()
 
     def expand(name: str, context: dict, vocab: bool = True) -> str:
         if name in context and vocab:
@@ -255,22 +263,71 @@ def read(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
         return read_ntriples(spark, path)
     if form not in PARSERS:
         raise SyntaxProblem(f"unknown format {form!r}")
-    texts = [r[0] for r in spark.read.text(path, wholetext=True).collect()]
-    return frame(spark, [(None, t) for text in texts for t in PARSERS[form](text)])
+    # Blank nodes are the file's own, and this read's.
+    tag = F.concat(F.lit(f"f{uuid.uuid4().hex[:8]}"), F.substring(F.md5(F.input_file_name()), 1, 16))
+    return spark.read.text(path, wholetext=True).select("value", tag.alias("tag")).mapInArrow(_parsed(form), SCHEMA)
 
 
-def turtle(rows: list) -> str:
-    """Triples (rows of s, p, o) as Turtle, a subject a paragraph."""
+#: Triples in a batch that a parser or writer sends.
+_BATCH = 10_000
+
+
+def _parsed(form: str):
+    """Rows (text, tag) as triples."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("g", pa.string()), ("s", pa.string()), ("p", pa.string()), ("o", pa.struct([("kind", pa.int8()), ("lex", pa.string()), ("dt", pa.string()), ("lang", pa.string())]))])
+        for batch in batches:
+            for text, tag in zip(batch.column(0), batch.column(1), strict=True):
+                rows = [row(None, t) for t in PARSERS[form](text.as_py(), tag=tag.as_py())]
+                for lo in range(0, len(rows), _BATCH):
+                    columns = list(zip(*rows[lo : lo + _BATCH], strict=True))
+                    terms = [dict(zip(("kind", "lex", "dt", "lang"), o, strict=True)) for o in columns[3]]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in columns[:3]), pa.array(terms, schema.field("o").type)], schema=schema)
+
+    return run
+
 
-    def term(o: Any) -> str:
-        if o["kind"] != 3:
-            return o["lex"] if o["kind"] == 1 else f"<{o['lex']}>"
+def write_turtle(df: DataFrame, path: str) -> None:
+    """Triples (s, p, o) as Turtle files in the folder ``path``: a subject is a paragraph, or one in each of two files and more if it is large."""
+    parts = df.select("s", "p", "o").repartitionByRange("s", "p", "o.lex").sortWithinPartitions("s", "p", "o.lex")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            lines = []
+            for r in batch.to_pylist():
+                end = "" if last is None else " ;" if r["s"] == last else " ."
+                if last is not None:
+                    lines[-1:] = [lines[-1] + end] if lines else [end]
+                lines.append(("    " if r["s"] == last else f"{_node(r['s'])} ") + _pair(r))
+                last = r["s"]
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([" ."], pa.string())], names=["value"])
+
+    parts.mapInArrow(run, "value string").write.text(path)
+
+
+def _node(s: str) -> str:
+    return s if s.startswith("_:") else f"<{s}>"
+
+
+def _pair(r: Any) -> str:
+    """Predicate and object of a triple."""
+    o = r["o"]
+    if o["kind"] != 3:
+        term = _node(o["lex"])
+    else:
         body = json.dumps(o["lex"], ensure_ascii=False)
-        return body + (f"@{o['lang']}" if o["lang"] else "" if o["dt"] == XSD + "string" else f"^^<{o['dt']}>")
+        term = body + (f"@{o['lang']}" if o["lang"] else "" if o["dt"] == XSD + "string" else f"^^<{o['dt']}>")
+    return f"{'a' if r['p'] == TYPE else _node(r['p'])} {term}"
+
 
-    node = lambda s: s if s.startswith("_:") else f"<{s}>"
+def turtle(rows: list) -> str:
+    """Triples (rows of s, p, o) as Turtle, a subject a paragraph."""
     out = []
     for s, own in itertools.groupby(sorted(rows, key=lambda r: (r["s"], r["p"], r["o"]["lex"])), key=lambda r: r["s"]):
-        pairs = [f"{'a' if r['p'] == TYPE else node(r['p'])} {term(r['o'])}" for r in own]
-        out.append(f"{node(s)} " + " ;\n    ".join(pairs) + " .")
+        pairs = [_pair(r) for r in own]
+        out.append(f"{_node(s)} " + " ;\n    ".join(pairs) + " .")
     return "\n".join(out) + "\n"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import equal
 from ..sparql import algebra as A
-from ..terms import BNODE, BOX, BOX_KIND, INTEGERS, IRI, LITERAL, NODE_KIND, SPARK_TYPES, XSD, BNode, Kind, Literal, Var, box_constant, literal_kind, spark_literal
+from ..terms import BNODE, BOX, BOX_KIND, INTEGERS, IRI, LITERAL, NODE, NODE_KIND, SPARK_TYPES, XSD, BNode, Kind, Literal, Var, box_constant, literal_kind, spark_literal
 from .solutions import Solutions, column_name, empty, union
 
 SCHEMA = f"g string, s string, p string, o {BOX}"
@@ -135,16 +135,20 @@ def same_value(o: Column, term: Literal) -> Column:
     return o == box_constant(term)
 
 
-def frame(spark: SparkSession, triples: list[tuple[str | None, A.Triple]]) -> DataFrame:
-    """Given triples as a frame of ``SCHEMA``."""
+def row(graph: str | None, t: A.Triple) -> tuple:
+    """A given triple as a row of ``SCHEMA``."""
 
-    def row(term) -> tuple:
+    def cell(term) -> tuple:
         if isinstance(term, Literal):
             return (LITERAL, term.lex, term.dt, term.lang)
-        return (1, "_:" + term.label, None, None) if isinstance(term, BNode) else (2, term.value, None, None)
+        return (BNODE, "_:" + term.label, None, None) if isinstance(term, BNode) else (NODE, term.value, None, None)
+
+    return (graph, cell(t.s)[1], t.p.value, cell(t.o))
 
-    rows = [(g, row(t.s)[1], t.p.value, row(t.o)) for g, t in triples]
-    return spark.createDataFrame(rows, SCHEMA)
+
+def frame(spark: SparkSession, triples: list[tuple[str | None, A.Triple]]) -> DataFrame:
+    """Given triples as a frame of ``SCHEMA``."""
+    return spark.createDataFrame([row(g, t) for g, t in triples], SCHEMA)
 
 
-__all__ = ["NamedGraphs", "SCHEMA", "TripleSource", "frame", "same_value", "union"]
+__all__ = ["NamedGraphs", "SCHEMA", "TripleSource", "frame", "row", "same_value", "union"]

@@ -22,6 +22,8 @@ def ensure_folder(spark: SparkSession) -> str:
     if held.isDefined():
         return held.get().rstrip("/")
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not named and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="graphloom-"))
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 

@@ -123,3 +123,15 @@ def test_a_stream_keeps_rules_up_to_date(spark, tmp_path):
         (tmp_path / "in" / f"{n}.nt").write_text(text)
         incremental.follow(g, incremental.read_lines(spark, f"file://{tmp_path}/in"), f"file://{tmp_path}/state", once=True).awaitTermination()
         assert g.size() == (1, 6)[n]
+
+
+def test_files_are_read_and_written_by_tasks(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.ttl").write_text(f'@prefix : <urn:e:> . :s{i} :p "a\\"b\\n", 7, _:x ; a :T . _:x :q :s{i} . ')
+    g = TripleGraph.load(spark, f"file://{tmp_path}/*.ttl", "ttl", prefixes={"": "urn:e:"})
+    assert g.size() == 15  # blank nodes are a file's own
+    g.dump(f"file://{tmp_path}/out", "ttl")
+    again = TripleGraph.load(spark, f"file://{tmp_path}/out", "ttl", prefixes={"": "urn:e:"})
+    q = "SELECT ?s ?o WHERE { ?s :p ?o FILTER(!isBlank(?o)) }"
+    assert again.size() == 15 and sorted(map(str, again.query(q).collect())) == sorted(map(str, g.query(q).collect()))
+    assert again.query("SELECT ?s WHERE { ?s :p ?x . ?x :q ?s }").count() in (0, 1, 2, 3)
