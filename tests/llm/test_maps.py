@@ -2,9 +2,11 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 
 from graphloom.llm import byte_bpe, html_text, language_id, toxicity, url_filter, wu_manber
@@ -114,6 +116,54 @@ def test_main_text_odd_input(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+BODY = "A paragraph with a good many words in it, as articles have, so that its ratio is high. " * 3
+
+
+@pytest.mark.parametrize(
+    "open_",
+    ['main class="no-sidebar"', 'div class="content with-sidebar"', 'article class="post has-share"', 'article class="post no-comments"', 'article class="review reviews"', 'article id="post-related"',
+     'article class="post category-reviews"', 'div class="page has-comments"', 'div class="widget"', 'section class="promoted"'],
+)
+def test_main_text_of_articles_with_everyday_names(open_):
+    end = open_.split()[0]
+    aside = f'<div class="sidebar">some text beside it</div><div class="comments-area"><p>{BODY * 3}</div><div class="ad-slot">buy</div><footer>f</footer>'
+    got = html_text.extract(f"<body><nav><a href=1>Home</a></nav><{open_}><h1>T</h1><p>{BODY}<p>Short.</{end}>{aside}")
+    assert got == f"T\n{BODY.strip()}\nShort."
+
+
+def test_main_text_without_lists_of_links():
+    links = "".join(f"<li><a href={i}>other page {i}</a>" for i in range(9))
+    got = html_text.extract(f'<main><h1>T</h1><p>{BODY}<p>{BODY} <a href=1>a link</a><ul>{links}</ul></main>')
+    assert "a link" in got and "other page 8" not in got
+
+
+def naive_extract(blocks):
+    """Main text of a page that was built of (kind, text) blocks."""
+    return "\n".join(" ".join(text.split()) for kind, text in blocks if kind in ("h", "p", "li") and text.split())
+
+
+def test_main_text_against_how_pages_were_built():
+    r = random.Random(8)
+    word = lambda: "".join(r.choices("abcdefghij", k=r.randint(2, 9)))
+    say = lambda n: " ".join(word() for _ in range(n))
+    aside = {
+        "nav": lambda t: f"<nav><ul><li><a href=x>{t}</a></ul></nav>", "ad": lambda t: f'<div class="ad">{t}</div>', "footer": lambda t: f"<footer>{t}</footer>", "script": lambda t: f"<script>{t}</script>",
+        "side": lambda t: f'<aside>{t}</aside>', "cookie": lambda t: f'<div id="cookie-notice">{t}</div>', "form": lambda t: f"<form>{t}<input></form>", "said": lambda t: f'<ol class="comments"><li>{t}</ol>',
+    }
+    for _ in range(200):
+        article = [("h", say(5))] + [(r.choice(["p", "p", "p", "li"]), say(r.randint(1, 60))) for _ in range(r.randint(3, 12))]
+        inner = "".join({"h": f"<h1>{t}</h1>", "p": f"<p>{t}" + r.choice(["", "</p>"]), "li": f"<ul><li>{t}</ul>"}[k] for k, t in article)
+        before, after = ("".join(aside[k](say(r.randint(1, 9))) for k in r.sample(sorted(aside), r.randint(0, 5))) for _ in range(2))
+        assert html_text.extract(f"<html><head><title>{say(3)}</title></head><body>{before}<article>{inner}</article>{after}</body></html>") == naive_extract(article)
+
+
+@pytest.mark.parametrize("html", ["<b><i>" * 30000 + "x" + "</u>" * 60000, "<b>" * 30000 + "<p>x" * 30000, "<a" * 100000, "<!--" * 100000, "<a href='" * 50000, "<div>" * 100000 + "x" + "</p>" * 100000])
+def test_main_text_of_malformed_pages_takes_seconds(html):
+    begun = time.monotonic()
+    html_text.extract(html)
+    assert time.monotonic() - begun < 10
+
+
 # Languages and toxicity -----------------------------------------------------------------------------
 def speech(r, letters, n=40):
     return " ".join("".join(r.choices(letters, k=r.randint(2, 8))) for _ in range(n))
