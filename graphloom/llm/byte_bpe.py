@@ -5,7 +5,8 @@ others, each distinct one once, become rows (piece, position, token) of single b
 query joins neighbouring rows with the merge table and contracts, in each piece, the leftmost pair of
 least rank, until no piece has a pair left. In long pieces, steps that only repeat are taken at once:
 where no pair with the new token can have a smaller rank (the merge table tells), the next leftmost
-least pairs are the other disjoint occurrences of the same pair, and all are contracted together.
+least pairs are the other disjoint occurrences of the same pair, and all are contracted together. Long
+pieces are cut first where two bytes meet that do so in no token, as no merge can cross such a place.
 
 Decoding is an ordered aggregation: rows (text, position, token) join the vocabulary and their bytes
 are concatenated by position.
@@ -19,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import tempfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -108,7 +110,14 @@ class Tokenizer:
         left, right, made = (np.array(c, np.int32) for c in zip(*merges, strict=True)) if merges else (np.zeros(0, np.int32),) * 3
         # Making a token never makes a smaller pair, unless the token is part of one of smaller rank.
         spoilt = np.union1d(left[left > made], right[right > made])
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "preserve_insertion_order": False})
+        # No merge crosses a border between two bytes that stand beside each other in no token.
+        data, ends = np.frombuffer(b"".join(ranks), np.uint8), np.cumsum([len(t) for t in ranks])
+        inside = np.ones(len(data), bool)
+        inside[ends - 1] = False
+        self.beside = np.zeros((256, 256), bool)
+        self.beside[data[:-1][inside[:-1]], data[1:][inside[:-1]]] = True
+        spill = tempfile.gettempdir()  # the worker's own
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "preserve_insertion_order": False, "temp_directory": spill})
         self.db.execute("SET enable_progress_bar = false")
         self._load("merge_rows", pa.table({"l": left, "r": right, "made": made, "every": ~np.isin(made, spoilt)}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
@@ -141,15 +150,23 @@ class Tokenizer:
             bounds = np.concatenate([[0], np.cumsum(result.value_lengths().to_numpy())])
         return [raw[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
+    def _parts(self, raw: bytes) -> list[bytes]:
+        """A piece, cut where no merge can cross."""
+        data = np.frombuffer(raw, np.uint8)
+        cuts = (np.flatnonzero(~self.beside[data[:-1], data[1:]]) + 1).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], [*cuts, len(raw)], strict=True)]
+
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of new pieces."""
         found: dict[str, bytes] = {}
-        todo: dict[bool, list[tuple[str, bytes]]] = {False: [], True: []}
+        parts: dict[bytes, bytes] = {}
+        long: list[tuple[str, list[bytes]]] = []
+        todo: dict[bool, list[bytes]] = {False: [], True: []}
         held = {False: 0, True: 0}
 
-        def encode(every: bool) -> None:
+        def merge(every: bool) -> None:
             if todo[every]:
-                found.update(zip([p for p, _ in todo[every]], self._merge([b for _, b in todo[every]], every), strict=True))
+                parts.update(zip(todo[every], self._merge(todo[every], every), strict=True))
             todo[every], held[every] = [], 0
 
         for piece in pieces:
@@ -157,13 +174,19 @@ class Tokenizer:
             if (rank := self.ranks.get(raw)) is not None:
                 found[piece] = rank.to_bytes(4, "little")
                 continue
-            every = len(raw) > SHORT
-            if held[every] + len(raw) > QUERY_ROWS:
-                encode(every)
-            todo[every].append((piece, raw))
-            held[every] += len(raw)
-        encode(False)
-        encode(True)
+            own = [raw] if len(raw) <= SHORT else self._parts(raw)
+            long.append((piece, own))
+            for part in own:
+                if part not in parts:
+                    parts[part] = b""  # waits for its query
+                    every = len(part) > SHORT
+                    if held[every] + len(part) > QUERY_ROWS:
+                        merge(every)
+                    todo[every].append(part)
+                    held[every] += len(part)
+        merge(False)
+        merge(True)
+        found.update((piece, b"".join(map(parts.__getitem__, own))) for piece, own in long)
         return found
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
@@ -225,7 +248,7 @@ def map_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, schema: st
         tokenizer = _tokenizer(sent, pattern)
         for batch in batches:
             for lo, hi, data, offs in kernel.chunks(batch.column(at)):
-                texts = [data[a:b].tobytes().decode() for a, b in zip(offs[:-1], offs[1:], strict=True)]
+                texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:], strict=True)]
                 made = make(tokenizer, texts)
                 part = batch.slice(lo, hi - lo)
                 names = [*keep, *(f"made{i}" for i in range(len(made)))]
@@ -240,7 +263,7 @@ def map_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, schema: st
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id and ids (binary: little-endian unsigned 32-bit integers) of every whole text.
 
-    Null and empty texts have no ids. Null doc_ids and repeated rows stay, row by row; an empty table
+    Null and empty texts have no ids; bytes that are no UTF-8 are read as U+FFFD. Null doc_ids and repeated rows stay, row by row; an empty table
     gives an empty result. Other columns, whatever their names, are left out.
     """
     make = lambda tok, texts: [pa.array(tok.encode_batch(texts), pa.binary())]

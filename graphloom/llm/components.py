@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from . import shared
 
 
-def _large(links: DataFrame) -> DataFrame:
+def _large(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = links.union(links.select("b", "a")).toDF("u", "v")
     least = shared.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return least, both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small(links: DataFrame) -> DataFrame:
@@ -35,10 +35,13 @@ def connect(links: DataFrame) -> DataFrame:
     The root is the least node of the component. Links of a node to itself and repeated links change
     nothing; links with a null end are ignored; no links: an empty result.
     """
-    links = links.toDF("a", "b").where("a <> b").distinct()
+    links = shared.table(links.toDF("a", "b").where("a <> b").distinct(), "links")
     seen = None
     while True:
-        links = shared.table(_small(_large(links)), "links")
+        least, further = _large(links)
+        after = shared.table(_small(further), "links")
+        shared.release(links, least)  # a round's tables are read by the next round only
+        links = after
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
         if state == seen:
             return links.toDF("node", "root")

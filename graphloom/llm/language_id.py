@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import kernel
+from . import kernel, shared
 
 BINS = 1 << 16
 #: Labelled texts of a language that are learned from, about: texts are taken by a hash of their id.
 PER_LANGUAGE = 4000
+#: Languages that are learned, at most: those with most texts. Each takes half a megabyte of the broadcast matrix.
+LANGUAGES = 200
 #: Additive smoothing of the counts.
 ALPHA = 0.05
 #: n-grams that speak for a text's score at most, whatever its length, so that scores differ.
@@ -63,7 +65,7 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _batches(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
     for lo, _, data, offs in kernel.chunks(column, _BATCH):
-        yield lo, [data[a:b].tobytes().decode() for a, b in zip(offs[:-1], offs[1:], strict=True)]
+        yield lo, [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:], strict=True)]
 
 
 class Model:
@@ -84,21 +86,23 @@ class Model:
         return [self.langs[b] if k else "und" for b, k in zip(best, letters, strict=True)], np.where(letters > 0, score, 0.0)
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Model:
     """Learns from ``text`` and ``lang`` of ``labelled`` (doc_id only picks the sample).
 
     Rows with a null text or lang teach nothing. Nothing to learn from: a model that says ``und``.
-    A language's texts are all taken if it has ``per_language`` or fewer, else about so many.
+    A language's texts are all taken if it has ``per_language`` or fewer, else about so many. Of more
+    than ``languages`` values of lang, those with most texts are learned (of equals, the first by name).
     """
     known = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros(0), np.zeros((BINS, 0)))
     of = {lang: k for k, lang in enumerate(langs)}
     share = {lang: min(1.0, per_language / sizes[lang]) for lang in langs}
-    limit = F.create_map(*[F.lit(x) for lang in langs for x in (lang, int(share[lang] * 1_000_000))])
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < limit[F.col("lang")]).select("text", "lang")
+    # The highest hash of a sampled row, by language.
+    highest = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(int(share[lang] * 2.0**64), (1 << 64) - 1) - (1 << 63))])
+    sample = known.where(F.xxhash64("doc_id") <= highest[F.col("lang")]).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(langs), BINS), np.int64)
@@ -122,7 +126,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score (0 to 1, of that language) for every row of ``docs``.
 
-    Null texts and texts without a letter are ``und`` with score 0. Null doc_ids and repeated rows
+    Null texts and texts without a letter are ``und`` with score 0; bytes that are no UTF-8 are no letters. Null doc_ids and repeated rows
     stay, row by row; other columns are left out; an empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -3,18 +3,23 @@
 Candidates are the matches of a strict pattern for each kind and of a wider pattern for other
 spellings. Labelers vote on each: the format (checks such as Luhn's), a gazetteer (top-level domains,
 country codes, card prefixes), the context to the left, and the borders of the match. Over all
-documents the votes are counted by kind and pattern of votes; expectation-maximisation on that table
-(a few thousand rows at most, whatever the corpus) estimates each labeler's reliability, and its
-posteriors train a logistic span classifier, which is then evaluated as a column.
+documents the candidates are counted by kind, votes and shape; expectation-maximisation on the votes
+estimates each labeler's reliability. Its posteriors train a logistic span classifier, which
+weighs the votes by kind and sees what no labeler does: length, separators, and the characters beside
+the match. It is evaluated as a column.
 
 Matches that pass their kind's checks ("base") are always kept; the classifier decides on the others.
-Both passes over the texts are maps; only vote counts are shuffled. Positions are code points.
+Both passes over the texts are maps; only counts are shuffled. Positions are code points.
+
+The work on a text grows in proportion to it, however many matches it has: running sums are made block
+by block, and pieces of a text are cut from blocks of it.
 """
 
 from __future__ import annotations
 
-import math
+import itertools
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,19 +63,35 @@ VOTES = ("v_format", "v_gazetteer", "v_context", "v_border")
 LENGTHS = (8, 12, 16, 20, 32)
 
 
+#: Elements that a running value is made for at once, and code points of a text that pieces are cut from.
+BLOCK, TEXT_BLOCK = 256, 4096
+
+
+def _let(value: str, name: str, use: str) -> str:
+    """SQL for ``use`` with the value, computed once, as ``name``."""
+    return f"element_at(transform(array({value}), {name} -> {use}), 1)"
+
+
+def _running(array: str, join: str) -> str:
+    """SQL for what ``join`` (of a and b) makes of all elements of an array of int before each, from 0 on."""
+    last = "element_at(a, -1)"
+    step = join.format(a=last, b="b")
+    own = f"transform(sequence(0, greatest(size(w) - 1, 0) div {BLOCK}), c -> aggregate(slice(w, c * {BLOCK} + 1, {BLOCK}), array(0), (a, b) -> concat(a, array({step}))))"
+    offsets = f"aggregate(own, array(0), (a, l) -> concat(a, array({join.format(a=last, b='element_at(l, -1)')})))"
+    whole = f"flatten(transform(own, (l, c) -> transform(slice(l, 1, size(l) - 1), y -> {join.format(a='offsets[c]', b='y')})))"
+    return _let(array, "w", _let(own, "own", _let(offsets, "offsets", whole)))
+
+
 def _matches(pattern: str) -> str:
     """SQL for the matches of a pattern in ``t``, which has one: start, end, text, left and right of each.
 
     A split at the pattern gives what lies between the matches, so lengths add up to positions.
     """
     p = "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return f"""element_at(transform(array(named_struct('m', regexp_extract_all(t, {p}, 0), 'g', split(t, {p}, -1))), p ->
-        aggregate(sequence(1, size(p.m)),
-            named_struct('at', 0, 'out', cast(array() as array<struct<s:int,e:int,m:string,l:string,r:string>>)),
-            (a, i) -> named_struct('at', a.at + char_length(p.g[i - 1]) + char_length(p.m[i - 1]), 'out', concat(a.out, array(named_struct(
-                's', a.at + char_length(p.g[i - 1]), 'e', a.at + char_length(p.g[i - 1]) + char_length(p.m[i - 1]),
-                'm', p.m[i - 1], 'l', right(p.g[i - 1], 40), 'r', left(p.g[i], 1))))),
-            a -> a.out)), 1)"""
+    ats = _running("transform(p.m, (m, i) -> char_length(p.g[i]) + char_length(m))", "{a} + {b}")
+    rows = """transform(p.m, (m, i) -> named_struct('s', ats[i] + char_length(p.g[i]), 'e', ats[i] + char_length(p.g[i]) + char_length(m),
+        'm', m, 'l', right(p.g[i], 40), 'r', left(p.g[i + 1], 1)))"""
+    return _let(f"named_struct('m', regexp_extract_all(t, {p}, 0), 'g', split(t, {p}, -1))", "p", _let(ats, "ats", rows))
 
 
 _DIGITS = "regexp_replace(x.m, '[^0-9]', '')"
@@ -98,15 +119,26 @@ _GAZETTEER = {
 }
 
 
+#: Features of a candidate that are no votes, with how many values each has.
+SHAPES = {"length": len(LENGTHS) + 1, "separators": 4, "left": 5, "right": 5}
+
+
+def _beside(character: str, marks: str) -> str:
+    """SQL for the class of a character beside a match: none, white space, of certain marks, letter or digit, other."""
+    return f"case when {character} = '' then 0 when {character} rlike '\\\\s' then 1 when {character} rlike '[{marks}]' then 2 when {character} rlike '[\\\\p{{L}}\\\\p{{N}}]' then 3 else 4 end"
+
+
 def _candidate(kind: str, base: str, valid: str) -> str:
     near = f"case when lower(x.l) rlike '(?:{NEAR_NO})[^a-z]*[a-z]{{0,12}}[^a-z]*$' then -1 when lower(x.l) rlike '(?:{NEAR_YES[kind]})' then 1 else 0 end"
     border = "if(x.l rlike '[A-Za-z0-9_=\"\\'/-]$' or x.r rlike '[A-Za-z0-9_\"\\'/-]', -1, 1)"
     length = " + ".join(f"if(x.e - x.s > {n}, 1, 0)" for n in LENGTHS)
+    separators = "least(3, char_length(x.m) - char_length(regexp_replace(x.m, '[\\\\s().-]', '')))"
     return f"""named_struct('start', x.s, 'kind', {KINDS.index(kind)}, 'end', x.e, 'base', {base},
-        'v_format', if({valid}, 1, -1), 'v_gazetteer', {_GAZETTEER[kind]}, 'v_context', {near}, 'v_border', {border}, 'length', {length})"""
+        'v_format', if({valid}, 1, -1), 'v_gazetteer', {_GAZETTEER[kind]}, 'v_context', {near}, 'v_border', {border}, 'length', {length},
+        'separators', {separators}, 'left', {_beside("right(x.l, 1)", ":=(<")}, 'right', {_beside("x.r", ".,;:)>")})"""
 
 
-_EMPTY = "cast(array() as array<struct<start:int,kind:int,end:int,base:boolean,v_format:int,v_gazetteer:int,v_context:int,v_border:int,length:int>>)"
+_EMPTY = f"cast(array() as array<struct<start:int,kind:int,end:int,base:boolean,{','.join(f'{v}:int' for v in (*VOTES, *SHAPES))}>>)"
 
 
 def candidates(text: str = "text") -> Column:
@@ -127,76 +159,73 @@ def candidates(text: str = "text") -> Column:
     return F.expr(f"element_at(transform(array(coalesce({text}, '')), t -> concat({', '.join(arrays)})), 1)")
 
 
+#: Features of the classifier, by name, with how many values each has; a vote has its value and 1.
+FEATURES = dict.fromkeys(VOTES, 3) | SHAPES
+
+
 class Model:
-    """Log-odds weights of the span classifier: by kind, by vote of each labeler and by length."""
+    """Log-odds weights of the span classifier, by kind and by kind and value of each feature; reliabilities of the labelers."""
 
-    def __init__(self, kind: list[float], votes: dict[str, list[float]], length: list[float], reliability: dict[str, float]):
-        self.kind, self.votes, self.length, self.reliability = kind, votes, length, reliability
+    def __init__(self, kind: list[float], features: dict[str, list[list[float]]], reliability: dict[str, float]):
+        self.kind, self.features, self.reliability = kind, features, reliability
 
     def accepts(self, x: Column) -> Column:
         """Whether a candidate that is not base is personal data."""
         pick = lambda weights, at: F.element_at(F.array(*map(F.lit, weights)), at + 1)
-        total = pick(self.kind, x["kind"]) + pick(self.length, x["length"])
-        for name, weights in self.votes.items():
-            total = total + pick(weights, x[name] + 1)
+        total = pick(self.kind, x["kind"])
+        for name, weights in self.features.items():
+            value = x[name] + 1 if name in VOTES else x[name]
+            total = total + pick([w for row in weights for w in row], x["kind"] * len(weights[0]) + value)
         return total >= 0
 
 
 def fit(docs: DataFrame, rounds: int = 30) -> Model:
-    """Counts the votes over all of ``docs``, runs EM on the counts, and trains the classifier.
+    """Counts the candidates of all of ``docs`` by votes and shape, runs EM on the counts, and trains the classifier.
 
-    No candidates: weights of 0.5 a positive vote and -0.5 a negative one, with the format's doubled.
+    The counts that come to the driver are one for each kind, votes and shape: a few thousand, whatever
+    the corpus, and no more than there are such values. No candidates: labelers are as right as they are
+    believed to be before, and the classifier accepts by the format and the other votes.
     """
     x = docs.select(F.explode(candidates()).alias("x")).select("x.*")
-    table = x.groupBy("kind", *VOTES, "length").agg(F.count("*").alias("n")).collect()  # at most 6 * 3**4 * 6 rows
-    return train([(r["kind"], tuple(r[v] for v in VOTES), r["length"], r["n"]) for r in table], rounds)
+    table = x.groupBy("kind", *VOTES, *SHAPES).agg(F.count("*").alias("n")).collect()
+    return train([tuple(r) for r in table], rounds)
 
 
-def train(table: list[tuple[int, tuple[int, ...], int, int]], rounds: int = 30) -> Model:
-    """The model of a table of (kind, votes, length bucket, count)."""
-    right = dict.fromkeys(VOTES, 0.7) | {"v_format": 0.9}  # chance that a vote, if cast, is right
-    prior = dict.fromkeys(range(len(KINDS)), 0.5)
+def train(table: list[tuple[int, ...]], rounds: int = 30) -> Model:
+    """The model of rows of kind, votes, shape and the count of such candidates."""
+    columns = dict(zip(("kind", *VOTES, *SHAPES, "n"), np.array(sorted(table), np.int64).reshape(len(table), len(FEATURES) + 2).T, strict=True))
+    kind, n = columns["kind"], columns["n"].astype(float)
+    votes = np.stack([columns[v] for v in VOTES], axis=1).astype(float)
+    believed = np.array([0.9 if v == "v_format" else 0.7 for v in VOTES])  # chance that a vote, if cast, is right
+    right, prior = believed, np.full(len(KINDS), 0.5)
 
-    def posterior(kind: int, votes: tuple[int, ...]) -> float:
-        logit = math.log(prior[kind] / (1 - prior[kind]))
-        for name, v in zip(VOTES, votes, strict=True):
-            logit += v * math.log(right[name] / (1 - right[name]))
-        return 1 / (1 + math.exp(-logit))
+    def posterior() -> np.ndarray:
+        return 1 / (1 + np.exp(-(np.log(prior / (1 - prior))[kind] + votes @ np.log(right / (1 - right)))))
 
     for _ in range(rounds):  # one-coin model: E step, then M step with two rows of belief in the start
-        hit, cast = dict.fromkeys(VOTES, 1.4) | {"v_format": 1.8}, dict.fromkeys(VOTES, 2.0)
-        yes, all_ = dict.fromkeys(prior, 1.0), dict.fromkeys(prior, 2.0)
-        for kind, votes, _length, n in table:
-            p = posterior(kind, votes)
-            yes[kind] += n * p
-            all_[kind] += n
-            for name, v in zip(VOTES, votes, strict=True):
-                if v:
-                    hit[name] += n * (p if v > 0 else 1 - p)
-                    cast[name] += n
+        p = posterior()
+        hit = ((votes > 0) * (n * p)[:, None] + (votes < 0) * (n * (1 - p))[:, None]).sum(axis=0) + 2 * believed
+        cast = ((votes != 0) * n[:, None]).sum(axis=0) + 2
         # A labeler is believed to be better than chance, which settles which class is which.
-        right = {v: min(max(hit[v] / cast[v], 0.55), 0.99) for v in VOTES}
-        prior = {k: min(max(yes[k] / all_[k], 0.02), 0.98) for k in prior}
-    right_votes = {v: math.log(right[v] / (1 - right[v])) for v in VOTES}
-
-    # Logistic regression on the posteriors, from the naive Bayes weights, by gradient steps.
-    w_kind = [math.log(prior[k] / (1 - prior[k])) for k in range(len(KINDS))]
-    w_vote = {v: [-right_votes[v], 0.0, right_votes[v]] for v in VOTES}
-    w_len = [0.0] * (len(LENGTHS) + 1)
-    total = sum(n for *_, n in table) or 1
-    for _ in range(200):
-        g_kind, g_vote, g_len = [0.0] * len(KINDS), {v: [0.0] * 3 for v in VOTES}, [0.0] * len(w_len)
-        for kind, votes, length, n in table:
-            z = w_kind[kind] + w_len[length] + sum(w_vote[v][x + 1] for v, x in zip(VOTES, votes, strict=True))
-            step = n / total * (posterior(kind, votes) - 1 / (1 + math.exp(-max(min(z, 30.0), -30.0))))
-            g_kind[kind] += step
-            g_len[length] += step
-            for v, x in zip(VOTES, votes, strict=True):
-                g_vote[v][x + 1] += step
-        w_kind = [w + 0.5 * g for w, g in zip(w_kind, g_kind, strict=True)]
-        w_len = [w + 0.5 * g - 0.001 * w for w, g in zip(w_len, g_len, strict=True)]
-        w_vote = {v: [w + 0.5 * g for w, g in zip(w_vote[v], g_vote[v], strict=True)] for v in VOTES}
-    return Model(w_kind, w_vote, w_len, right)
+        right = np.clip(hit / cast, 0.55, 0.99)
+        prior = np.clip((np.bincount(kind, n * p, len(KINDS)) + 1) / (np.bincount(kind, n, len(KINDS)) + 2), 0.02, 0.98)
+    p = posterior()
+
+    # Logistic regression on the posteriors. Weights shrink to those of the label model for votes, and to none for
+    # shapes, so that rare values follow the labelers; counts are damped, so that no one frequent shape is all.
+    start = {name: np.tile((np.arange(size) - 1) * np.log(right / (1 - right))[VOTES.index(name)], (len(KINDS), 1)) if name in VOTES else np.zeros((len(KINDS), size)) for name, size in FEATURES.items()}
+    w_kind, w = np.log(prior / (1 - prior)), {name: x.copy() for name, x in start.items()}
+    at = {name: columns[name] + (name in VOTES) for name in FEATURES}
+    weight = np.sqrt(n)
+    scale = np.maximum(np.bincount(kind, weight, len(KINDS)), 1.0)
+    for _ in range(300):
+        z = w_kind[kind] + sum(w[name][kind, at[name]] for name in FEATURES)
+        step = weight / scale[kind] * (p - 1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        w_kind = w_kind + 0.5 * np.bincount(kind, step, len(KINDS))
+        for name, size in FEATURES.items():
+            gradient = np.bincount(kind * size + at[name], step, len(KINDS) * size).reshape(len(KINDS), size)
+            w[name] = w[name] + 0.5 * gradient - 0.001 * (w[name] - start[name])
+    return Model(w_kind.tolist(), {name: x.tolist() for name, x in w.items()}, dict(zip(VOTES, right.tolist(), strict=True)))
 
 
 def spans(model: Model) -> Column:
@@ -207,11 +236,21 @@ def spans(model: Model) -> Column:
     """
 
     def choose(found: Column) -> Column:
-        base = F.filter(found, lambda x: x["base"])
+        base = F.array_sort(F.filter(found, lambda x: x["base"]))
         more = F.filter(found, lambda x: ~x["base"])
-        more = F.filter(more, lambda x: model.accepts(x) & ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-        short = F.transform(F.concat(base, more), lambda x: F.struct(x["start"], x["kind"], x["end"], x["base"]))
-        return F.array_sort(short)
+        # Blocks of base spans, by start, with where they begin and end at most: few of them are near a span.
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(base) - 1) / BLOCK).cast("int")), lambda c: F.slice(base, c * BLOCK + 1, BLOCK))
+        parts = F.when(F.size(base) > 0, F.transform(parts, lambda p: F.struct(p[0]["start"].alias("start"), F.array_max(F.transform(p, lambda b: b["end"])).alias("end"), p.alias("spans"))))
+        parts = F.coalesce(parts, F.slice(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), base.alias("spans"))), 1, 0))
+
+        def decide(blocks: Column) -> Column:
+            def near(x: Column) -> Column:
+                return F.exists(blocks, lambda p: (p["start"] < x["end"]) & (x["start"] < p["end"]) & F.exists(p["spans"], lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+
+            kept = F.filter(more, lambda x: model.accepts(x) & ~near(x))
+            return F.array_sort(F.transform(F.concat(base, kept), lambda x: F.struct(x["start"], x["kind"], x["end"], x["base"])))
+
+        return F.element_at(F.transform(F.array(parts), decide), 1)
 
     return F.element_at(F.transform(F.array(candidates()), choose), 1)
 
@@ -233,17 +272,20 @@ def joined(found: Column) -> Column:
 
 def redact(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with each span of ``text`` replaced by its kind in brackets; overlapping spans become one. Null texts stay null."""
-    names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-
-    def rewrite(found: Column) -> Column:
-        text = F.col("text")
-        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-        def add(a: Column, x: Column) -> Column:
-            gap = F.substr(text, a["at"] + 1, x["start"] - a["at"])
-            fresh = F.struct(x["end"].alias("at"), F.concat(a["out"], gap, F.element_at(names, x["kind"] + 1)).alias("out"))
-            return F.when(x["start"] >= a["at"], fresh).otherwise(F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["out"].alias("out")))
-
-        return F.when(F.size(found) == 0, text).otherwise(F.aggregate(found, start, add, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1))))
-
-    return docs.withColumn("text", F.when(F.col("text").isNotNull(), F.element_at(F.transform(F.array(spans(model)), rewrite), 1)))
+    tags = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
+
+    def piece(a: str, b: str) -> str:
+        """The code points from a to b: the end of a block, whole blocks, and the beginning of a block."""
+        one = f"substring(blocks[{a} div {TEXT_BLOCK}], {a} % {TEXT_BLOCK} + 1, {b} - {a})"
+        first, last = f"substring(blocks[{a} div {TEXT_BLOCK}], {a} % {TEXT_BLOCK} + 1)", f"left(coalesce(get(blocks, {b} div {TEXT_BLOCK}), ''), {b} % {TEXT_BLOCK})"
+        middle = f"array_join(slice(blocks, {a} div {TEXT_BLOCK} + 2, {b} div {TEXT_BLOCK} - {a} div {TEXT_BLOCK} - 1), '')"
+        return f"if({a} >= {b}, '', if({a} div {TEXT_BLOCK} = {b} div {TEXT_BLOCK}, {one}, concat({first}, {middle}, {last})))"
+
+    # "ends" is where the spans before each end at most: what lies before that is in one of them.
+    ends = _running("transform(pii, x -> x.end)", "greatest({a}, {b})")
+    out = f"transform(pii, (x, i) -> if(x.start >= ends[i], concat({piece('ends[i]', 'x.start')}, element_at(array({tags}), x.kind + 1)), ''))"
+    tail = piece("array_max(transform(pii, x -> x.end))", "n")
+    whole = _let(f"regexp_extract_all(text, '(?s).{{1,{TEXT_BLOCK}}}', 0)", "blocks", _let("char_length(text)", "n", _let(ends, "ends", f"concat(array_join({out}, ''), {tail})")))
+    name = next(c for c in map("pii{}".format, itertools.count()) if c not in docs.columns)
+    whole = F.expr(_let(f"`{name}`", "pii", f"if(size(pii) = 0, text, {whole})"))
+    return docs.withColumn(name, F.when(F.col("text").isNotNull(), spans(model))).withColumn("text", F.when(F.col("text").isNotNull(), whole)).drop(name)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import kernel
+from . import kernel, shared
 
 #: Labelled rows that are learned from, about: rows are taken by a hash of their id.
 SAMPLE = 24_000
@@ -237,8 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     n = labels.count()
     share = min(1.0, sample / max(n, 1))
     # At most about `sample` rows of 12 bytes are broadcast.
-    part = F.pmod(F.xxhash64("label_id", F.lit(7)), F.lit(1_000_000))
-    some = labels.where(part < int(share * 1_000_000)).withColumn("half", F.pmod(F.xxhash64("label_id", F.lit(8)), F.lit(100)))
+    some = labels.where(shared.lowest(F.xxhash64("label_id", F.lit(7)), share)).withColumn("half", F.pmod(F.xxhash64("label_id", F.lit(8)), F.lit(100)))
     texts = docs.select("doc_id", "text").join(F.broadcast(some), F.col("doc_id") == F.col("label_id")).select("text", "toxic", "half").persist()
     try:
         lexicon, *halves = (_induce(texts.where(w)) for w in ("true", "half < 50", "half >= 50"))

@@ -1,7 +1,7 @@
 """URL filters: host-suffix and path-prefix expressions against a list of rules.
 
-Each URL is expanded into the expressions that could be a rule (every label suffix of its host
-times every prefix of its path that is as long as some rule's path), expressions are cut to a short
+Each URL is expanded into the expressions that could be a rule (the label suffixes of its host that have
+as many labels as some rule's, times the prefixes of its path that are as long as some rule's path), expressions are cut to a short
 hash prefix, equi-joined with the rules' hash prefixes, and survivors are confirmed by the full
 digest and by the expression itself. Of the confirmed rules the longest wins.
 
@@ -54,13 +54,15 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFram
         .withColumn("digest", F.sha2(F.concat("r_host", F.lit("\n"), "r_path"), 256))
         .withColumn("short", F.substring("digest", 1, PREFIX_DIGITS))
     )
-    # One row comes back: the lengths that rule paths have, and the count of rules.
-    lengths = rules.agg(F.collect_set(F.length("r_path")).alias("lengths"), F.count("*").alias("n")).first()
+    # One row comes back: the lengths that rule paths have, the counts of labels that rule hosts have, and the count of rules.
+    labels = F.size(F.split("r_host", r"\.", -1))
+    lengths = rules.agg(F.collect_set(F.length("r_path")).alias("lengths"), F.collect_set(labels).alias("labels"), F.count("*").alias("n")).first()
     host, path = host_and_path(F.col("url"))
-    pages = urls.select("page_id", "url").withColumns({"host": host, "path": path})
+    # Equal rows are counted by the partition that they are read in, so that very many of them are many groups.
+    pages = urls.select("page_id", "url", F.spark_partition_id().alias("part")).withColumns({"host": host, "path": path})
     if lengths["n"] <= BROADCAST_RULES:
         rules = F.broadcast(rules)
-    wide = pages.select("page_id", "url", "host", "path", F.posexplode(_expressions(sorted(lengths["lengths"]))).alias("at", "e"))
+    wide = pages.select("page_id", "url", "part", "host", "path", F.posexplode(_expressions(sorted(lengths["lengths"]), sorted(lengths["labels"]))).alias("at", "e"))
     wide = wide.withColumn("full", F.sha2(F.concat("e.s", F.lit("\n"), "e.p"), 256))
     joined = wide.join(rules, F.when(F.col("at") > 0, F.substring("full", 1, PREFIX_DIGITS)) == F.col("short"), "left")
     confirmed = (F.col("full") == F.col("digest")) & (F.col("e.s") == F.col("r_host")) & (F.col("e.p") == F.col("r_path"))
@@ -73,7 +75,7 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFram
     first = F.when(F.col("at") == 0, 1)
     best = (
         joined.where((F.col("at") == 0) | confirmed)
-        .groupBy("page_id", "url")
+        .groupBy("page_id", "url", "part")
         .agg(F.max(F.when(confirmed, rank)).alias("best"), F.count(first).alias("rows"))
     )
     host, path = host_and_path(F.col("url"))
@@ -83,10 +85,12 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFram
     ).drop("copy")
 
 
-def _expressions(path_lengths: list[int]) -> Column:
+def _expressions(path_lengths: list[int], label_counts: list[int]) -> Column:
     """All (label suffix s of host, prefix p of path) that could be a rule, after an empty one that stands for the page."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    # From the right, substring_index stops at the n-th dot, so a host of very many labels costs no more than its length.
+    dots = F.length(F.regexp_replace("host", r"[^.]+", ""))
+    some = [F.when(dots >= n - 1, F.substring_index("host", ".", -n)) for n in label_counts]
+    suffixes = F.filter(F.array(*some), lambda s: s.isNotNull()) if some else F.array().cast("array<string>")
     some = [F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in path_lengths]
     prefixes = F.filter(F.array(*some), lambda p: p.isNotNull()) if some else F.array().cast("array<string>")
     pairs = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.struct(s.alias("s"), p.alias("p")))))

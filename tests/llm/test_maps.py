@@ -80,6 +80,16 @@ def test_bpe_is_the_librarys(spark, monkeypatch):
     assert byte_bpe.encode(df.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_of_a_very_long_word_takes_seconds():
+    tok = byte_bpe.Tokenizer(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tok.ranks, special_tokens={})
+    r = random.Random(3)
+    for word in ("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=300_000)), "lorem" * 60_000, "é中" * 40_000):
+        begun = time.monotonic()
+        assert tok.encode_batch([word])[0] == np.array(library.encode(word), "<u4").tobytes()
+        assert time.monotonic() - begun < 30
+
+
 def test_bpe_long_pieces_take_the_same_merges():
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     tok = byte_bpe.Tokenizer(ranks, public_tokenizers.PATTERN)
@@ -256,6 +266,16 @@ def test_url_rules_against_brute_force(spark, monkeypatch):
         assert got == {i: judged(u, rules) for i, u in enumerate(urls)}
 
 
+def test_urls_of_very_many_labels(spark):
+    host = "a." * 200_000 + "example.net"
+    rows = [(1, f"http://{host}/en/x"), (2, f"http://{host}/fr"), (3, "http://" + "." * 100_000), (4, "x://..net/")]
+    begun = time.monotonic()
+    rules = url_filter.rules_frame(spark, [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "", "/")])
+    got = {r["page_id"]: r["rule"] for r in url_filter.judge(spark.createDataFrame(rows, "page_id bigint, url string"), rules).collect()}
+    assert got == {1: "example.net/en/", 2: "net/", 3: None, 4: "net/"}
+    assert time.monotonic() - begun < 20
+
+
 def test_url_rows_repeat_and_tables_may_be_empty(spark):
     pages = spark.createDataFrame([(1, "http://net/"), (1, "http://net/"), (None, "http://net/"), (1, None)], "page_id bigint, url string")
     rules = url_filter.rules_frame(spark, [("block", "net", "/")])

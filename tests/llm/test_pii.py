@@ -1,6 +1,9 @@
 import random
+import time
 import re
 
+from pyspark.sql import functions as F
+
 from graphloom.llm import pii
 
 
@@ -43,7 +46,7 @@ def test_base_spans_against_plain_patterns(spark):
 def test_other_spellings_and_redaction(spark):
     rows = [(1, "call 555-123-4567 or mail jo [at] example [dot] com now"), (2, "mail a@b.com"), (3, "plain"), (4, None), (5, "my ssn 123-45-6789, phone (212) 555-0100")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'clash' AS pii")
-    model = pii.train([(3, (1, 1, 1, 1), 2, 50), (3, (-1, -1, 0, -1), 2, 50), (2, (-1, -1, 0, -1), 2, 50), (0, (1, 1, 0, 1), 2, 80)])
+    model = pii.train([(3, 1, 1, 1, 1, 2, 2, 1, 1, 50), (3, -1, -1, 0, -1, 2, 2, 1, 1, 50), (2, -1, -1, 0, -1, 2, 2, 1, 1, 50), (0, 1, 1, 0, 1, 2, 1, 1, 1, 80)])
     got = {r["doc_id"]: r for r in pii.find(df, model).collect()}
     kinds = lambda i: [pii.KINDS[s["kind"]] for s in got[i]["pii"]]
     assert kinds(1) == ["phone", "email"] and kinds(2) == ["email"] and kinds(3) == [] and kinds(4) == []
@@ -63,7 +66,7 @@ def test_em_finds_the_better_labelers():
         for f in (1, -1):
             for c in (1, 0, -1):
                 share = (0.95 if f == truth else 0.05) * (0.1 if c == 0 else 0.9 * (0.8 if c == truth else 0.2))
-                table.append((3, (f, truth, c, 1), 2, int(n * share)))
+                table.append((3, f, truth, c, 1, 2, 2, 1, 1, int(n * share)))
     model = pii.train(table)
     assert model.reliability["v_format"] > model.reliability["v_context"] > 0.6
 
@@ -71,3 +74,56 @@ def test_em_finds_the_better_labelers():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert pii.find(df, pii.fit(df)).count() == 0
+
+
+def overlaps(a, b):
+    return a[0] < b[2] and b[0] < a[2]
+
+
+def test_added_spans_against_the_model(spark):
+    """Added spans are the candidates that the classifier accepts and no base span overlaps, whatever the number of spans."""
+    r = random.Random(5)
+    pieces = ["a.b@c.de ", "555-123-4567 ", "(212) 555-0100, ", "123-45-6789 ", "jo [at] ex [dot] org ", "DE89 3704 0044 0532 0130 00 ", "4111 1111 1111 1112 ", "call: ", "version 1.2.3.4 ", "999.1.1.1 ", "+12 345 ", "é🎉 ", "x"]
+    texts = ["".join(r.choices(pieces, k=k)) for k in [*[8] * 150, 700, 900]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    model = pii.fit(df)
+    all_ = df.select("doc_id", pii.candidates().alias("c"), pii.spans(model).alias("s")).collect()
+    added = 0
+    for row in all_:
+        base = [(x["start"], x["kind"], x["end"]) for x in row["c"] if x["base"]]
+        want = list(base)
+        for x in row["c"]:
+            z = model.kind[x["kind"]] + sum(w[x["kind"]][x[name] + (name in pii.VOTES)] for name, w in model.features.items())
+            span = (x["start"], x["kind"], x["end"])
+            if not x["base"] and z >= 0 and not any(overlaps(span, b) for b in base):
+                want.append(span)
+                added += 1
+        assert [(s["start"], s["kind"], s["end"]) for s in row["s"]] == sorted(want)
+        own = texts[row["doc_id"]]
+        assert all(len(own[s["start"] : s["end"]].strip()) == s["end"] - s["start"] for s in row["s"])
+    assert added > 300
+
+
+def test_redaction_against_python(spark):
+    r = random.Random(6)
+    texts = ["".join(r.choices(["a.b@c.de", "x@1.2.3.4", " ", "é🎉", "word ", "+1 555 555 1234", "\n", "y" * 500], k=k)) for k in [*[12] * 100, 600]] + ["y" * 4095 + " a@b.cd", " " * 4096 + "a@b.cd", "a@b.cd"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    model = pii.fit(df)
+    found = {x["doc_id"]: x["pii"] for x in pii.find(df, model).collect()}
+    for row in pii.redact(df, model).collect():
+        own, out, at = texts[row["doc_id"]], "", 0
+        for s in found[row["doc_id"]]:
+            if s["start"] >= at:
+                out += own[at : s["start"]] + f"[{pii.KINDS[s['kind']].upper()}]"
+            at = max(at, s["end"])
+        assert row["text"] == out + own[at:]
+
+
+def test_very_many_matches_take_seconds(spark):
+    text = "".join(f"a{i}@b.cd 555-123-{i % 10000:04} " for i in range(100_000))
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    model = pii.train([])
+    begun = time.monotonic()
+    assert pii.find(df, model).select(F.size(F.filter("pii", lambda x: x["base"]))).first()[0] == 100_000
+    assert pii.redact(df, model).first()["text"].count("[EMAIL]") == 100_000
+    assert time.monotonic() - begun < 120
