@@ -7,15 +7,15 @@
    sets agree in a register with a chance close to their Jaccard similarity. Groups of ``ROWS``
    registers are hashed to band keys.
 2. Texts with equal digests are one node: exact copies, however many, collapse before the next shuffle.
-3. Nodes with a band key in common are candidates. A bucket is never expanded into pairs: its nodes
-   are linked to its least node (over salted parts, so that no task sees a whole hot bucket), and
-   candidate groups are the components of these links.
-4. Each node's full set goes once to the task of its group. Groups with more than ``BLOCK`` shingles
-   are dealt to blocks, and every two blocks meet in a task. There the similarity of two nodes is
-   estimated from both sketches and sizes by maximum likelihood, and confirmed on the full sets
-   unless the estimate is far too low. One node is compared with all others first; then nodes are
-   compared with those of other components until all that were not are in one component.
-5. The confirmed links (a spanning forest of each task's) give the components.
+3. Nodes with a band key in common (a bucket) are candidates. First each is held against its buckets' least
+   nodes only, which is linear in the entries of buckets: the similarity is estimated from both sketches and sizes by
+   maximum likelihood, and unless that is far too low, confirmed on the full sets. The components of
+   these links are what large groups of near copies collapse to.
+4. Buckets whose nodes are of one component are done. In the others, nodes of different components are
+   candidates. Sketches alone meet there first, and tell which nodes have a candidate whose estimate
+   is not far too low; only these nodes' full sets meet next, where links are confirmed. A pair counts in the first bucket
+   that it shares. Large buckets are dealt to blocks, of which every two meet in a task.
+5. All confirmed links give the components. No node is compared with one that it shares no bucket with.
 
 Chance that a pair at the threshold shares no band: (1 - 0.8 ** 6) ** 32, under 0.0001.
 """
@@ -36,8 +36,10 @@ ROWS, BANDS = 6, 32
 REGISTERS = ROWS * BANDS
 #: Base of the registers' scale; at 1.1 every value fits a byte.
 BASE = 1.1
-#: Shingles (8 bytes each) in a block of a candidate group.
+#: Shingles (8 bytes each) that are sent to a task to be held against one set, or in a block of a bucket.
 BLOCK = 1 << 18
+#: Sketches in a block of a bucket.
+SKETCHES = 4096
 #: Standard deviations below the threshold at which an estimate rules a pair out.
 DEVIATIONS = 4.5
 #: Candidate nodes (about 90 bytes each) up to which the list of them is broadcast.
@@ -99,8 +101,8 @@ def _log_b(x: np.ndarray) -> np.ndarray:
     return -np.log(np.maximum(1 - x * (BASE - 1) / BASE, 1e-12)) / np.log(BASE)
 
 
-def estimate(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Maximum likelihood estimates of the Jaccard similarity of one set and others, from registers and sizes."""
+def estimate(own: np.ndarray, size: np.ndarray | int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Maximum likelihood estimates of the Jaccard similarity of sets (or one set) and others, from registers and sizes."""
     more = (own > others).sum(axis=1)
     less = (own < others).sum(axis=1)
     same = REGISTERS - more - less
@@ -118,9 +120,25 @@ def estimate(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray)
     return (low + high) / 2
 
 
+def _least(percent: int) -> float:
+    """The estimate below which a pair is ruled out."""
+    return percent / 100 - DEVIATIONS * np.sqrt(0.25 / REGISTERS)
+
+
+def likely(x: int, rest: np.ndarray, registers: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Of ``rest``, those whose sizes and registers do not rule out that they are alike to x."""
+    rest = rest[100 * np.minimum(sizes[rest], sizes[x]) >= percent * np.maximum(sizes[rest], sizes[x])]
+    return rest[estimate(registers[x], sizes[x], registers[rest], sizes[rest]) >= _least(percent)] if len(rest) else rest
+
+
+def first_shared(x: int, rest: np.ndarray, keys: np.ndarray, band: int) -> np.ndarray:
+    """Of ``rest``, those whose first band key in common with x is that of the band."""
+    return rest[(keys[rest] == keys[x]).argmax(axis=1) == band] if len(rest) else rest
+
+
 class Forest:
-    def __init__(self, n: int):
-        self.root, self.size = np.arange(n), np.ones(n, np.int64)
+    def __init__(self, roots: np.ndarray):
+        self.root, self.size = roots.copy(), np.bincount(roots, minlength=len(roots))
         self.links: list[tuple[int, int]] = []
 
     def link(self, a: int, b: int) -> None:
@@ -134,28 +152,39 @@ class Forest:
         self.links.append((a, b))
 
 
-def confirm(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that span the components of sets of which 100 * intersection >= percent * union."""
+def alike(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """For which of some sets 100 * intersection >= percent * union with one set holds."""
+    out = np.zeros(len(others), bool)
+    for lo in range(0, len(others), 256):
+        some = others[lo : lo + 256]
+        sizes = np.array([len(s) for s in some])
+        flat = np.concatenate(some)
+        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+        both = np.add.reduceat((own[at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+        out[lo : lo + 256] = 100 * both >= percent * (len(own) + sizes - both)
+    return out
+
+
+def confirm(sets: list[np.ndarray], percent: int, roots: np.ndarray | None = None, band: int | None = None) -> list[tuple[int, int]]:
+    """Links, between what are components (``roots``) before, that span the components of all links.
+
+    With the number of a band, only pairs whose first band key in common is that one's are tested.
+    """
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
     registers = np.stack([sketch(s) for s in sets])
-    forest = Forest(n)
+    keys = np.stack([band_keys(r) for r in registers]) if band is not None else None
+    forest = Forest(np.arange(n) if roots is None else roots)
     left = np.ones(n, bool)  # not yet compared with all nodes of other components
-    least = percent / 100 - DEVIATIONS * np.sqrt(0.25 / REGISTERS)
 
     def compare(x: int) -> None:
         left[x] = False
         rest = np.flatnonzero(forest.root != forest.root[x])
-        rest = rest[100 * np.minimum(sizes[rest], sizes[x]) >= percent * np.maximum(sizes[rest], sizes[x])]
+        if keys is not None:
+            rest = first_shared(x, rest, keys, band)
+        rest = likely(x, rest, registers, sizes, percent)
         if len(rest):
-            rest = rest[estimate(registers[x], sizes[x], registers[rest], sizes[rest]) >= least]
-        own = sets[x]
-        for lo in range(0, len(rest), 256):
-            some = rest[lo : lo + 256]
-            flat = np.concatenate([sets[y] for y in some])
-            at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-            both = np.add.reduceat((own[at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(sizes[some])[:-1]]))
-            for y in some[100 * both >= percent * (sizes[x] + sizes[some] - both)]:
+            for y in rest[alike(sets[x], [sets[y] for y in rest], percent)]:
                 forest.link(x, int(y))
 
     # The node nearest to each register's commonest value is likely what the others are copies of.
@@ -164,8 +193,8 @@ def confirm(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     # A pair needs no test if one of it was compared or both are in one component. So nodes that were not
     # compared may stay in one component only: that with most of them, as it is at the end.
     while left.any():
-        roots = forest.root[left]
-        others = np.flatnonzero(left)[roots != np.bincount(roots).argmax()]
+        at = forest.root[left]
+        others = np.flatnonzero(left)[at != np.bincount(at).argmax()]
         if not len(others):
             break
         compare(int(others[0]))
@@ -173,23 +202,129 @@ def confirm(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _described(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest; null for an empty set), bands and copy (digest of the text) of every row."""
+    """doc_id, n_shingles, node (digest; null for an empty set), registers and copy (digest of the text) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes, bands = [], [], []
+            sizes, nodes, registers = [], [], []
             for _, _, data, offs in kernel.chunks(batch.column(1)):
                 for s in shingle_sets(data, offs, k):
                     sizes.append(len(s))
                     nodes.append(digest(s) if len(s) else None)
-                    bands.append(band_keys(sketch(s)).view(np.int64) if len(s) else None)
+                    registers.append(sketch(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), batch.column(2)],
-                names=["doc_id", "n_shingles", "node", "bands", "copy"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(registers, pa.binary()), batch.column(2)],
+                names=["doc_id", "n_shingles", "node", "registers", "copy"],
             )
 
-    return kernel.map_arrow(docs.select("doc_id", "text", _copy().alias("copy")), run, f"doc_id {kind}, n_shingles bigint, node binary, bands array<bigint>, copy binary")
+    return kernel.map_arrow(docs.select("doc_id", "text", _copy().alias("copy")), run, f"doc_id {kind}, n_shingles bigint, node binary, registers binary, copy binary")
+
+
+def _registers(column: pa.Array) -> np.ndarray:
+    """A row of registers for each value."""
+    data, _ = kernel.string_buffers(column)
+    return data.reshape(-1, REGISTERS)
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, registers) as (node, band)."""
+    for batch in batches:
+        keys = [band_keys(r) for r in _registers(batch.column(1))]
+        rows = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
+        flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(flat)], names=["node", "band"])
+
+
+def _likely_pairs(percent: int):
+    """Rows (a, b, n and registers of both) as those (a, b) that sizes and registers do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+            near = np.flatnonzero(100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+            own, other = (_registers(batch.column(i))[near] for i in (4, 5))
+            near = near[estimate(own, n[near], other, m[near]) >= _least(percent)] if len(near) else near
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(near)), batch.column(1).take(pa.array(near))], names=["a", "b"])
+
+    return run
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """Rows that are sorted by their first column, task, in lists of one task's; batches are made to rows a few at a time."""
+    held: list[dict] = []
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 64):
+            for row in batch.slice(lo, 64).to_pylist():
+                if held and row["task"] != held[0]["task"]:
+                    yield held
+                    held = []
+                held.append(row)
+    if held:
+        yield held
+
+
+def _numbered(roots: list[bytes]) -> np.ndarray:
+    """Equal values as equal small numbers."""
+    seen: dict[bytes, int] = {}
+    return np.array([seen.setdefault(r, len(seen)) for r in roots])
+
+
+def _pairs(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], names=["a", "b"])
+
+
+def _held_against(percent: int):
+    """Rows (task, first, node, shingles) as links of a task's nodes with the one that is its first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches):
+            own = next((np.frombuffer(r["shingles"], np.uint64) for r in rows if r["node"] == r["first"]), None)
+            others = {r["node"]: np.frombuffer(r["shingles"], np.uint64) for r in rows if r["node"] != r["first"]}
+            if own is not None and others:
+                hit = alike(own, list(others.values()), percent)
+                yield _pairs([(node, rows[0]["first"]) for node, is_alike in zip(others, hit, strict=True) if is_alike])
+        yield _pairs([])
+
+    return run
+
+
+def _needed(percent: int):
+    """Rows (task, band, node, root, n, registers) as (band, node) of nodes with a likely candidate of another component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches):
+            registers = np.stack([np.frombuffer(r["registers"], np.uint8) for r in rows])
+            keys = np.stack([band_keys(r) for r in registers])
+            roots = _numbered([r["root"] for r in rows])
+            sizes = np.array([r["n"] for r in rows])
+            band = int(np.flatnonzero(keys[0] == np.uint64(rows[0]["band"] % (1 << 64)))[0])
+            wanted = np.zeros(len(rows), bool)
+            common = np.bincount(roots).argmax()
+            for x in np.flatnonzero(roots != common):  # all pairs of different components have such a node
+                near = likely(x, first_shared(x, np.flatnonzero(roots != roots[x]), keys, band), registers, sizes, percent)
+                wanted[near] = True
+                wanted[x] |= len(near) > 0
+            some = [rows[i] for i in np.flatnonzero(wanted)]
+            yield pa.RecordBatch.from_arrays([pa.array([r["band"] for r in some], pa.int64()), pa.array([r["node"] for r in some], pa.binary())], names=["band", "node"])
+
+    return run
+
+
+def _confirmed(percent: int):
+    """Rows (task, band, node, root, shingles) as links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches):
+            rows = list({r["node"]: r for r in rows}.values())
+            sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+            keys = band_keys(sketch(sets[0]))
+            band = int(np.flatnonzero(keys == np.uint64(rows[0]["band"] % (1 << 64)))[0])
+            found = confirm(sets, percent, _numbered([r["root"] for r in rows]), band) if len(sets) > 1 else []
+            yield _pairs([(rows[a]["node"], rows[b]["node"]) for a, b in found])
+        yield _pairs([])
+
+    return run
 
 
 def _copy() -> Column:
@@ -197,43 +332,77 @@ def _copy() -> Column:
     return F.unhex(F.md5(F.col("text").cast("binary")))
 
 
-def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of docs (text, node, group, blocks) as (node, group, blocks, shingles), without those whose text has another digest."""
+def _sets(docs: DataFrame, wanted: DataFrame, k: int, columns: str) -> DataFrame:
+    """Rows of ``wanted`` (node, doc_id, tasks: an array of structs of ``columns``), a row a task, with the node's full set as shingles."""
+    few = wanted.count() <= BROADCAST_NODES
+    texts = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
+    names = [c.split(":")[0] for c in columns.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column(1).to_pylist()
             for lo, _, data, offs in kernel.chunks(batch.column(0)):
                 sets = shingle_sets(data, offs, k)
-                own = [i for i, s in enumerate(sets) if len(s) and digest(s) == nodes[lo + i]]
+                own = [i for i, s in enumerate(sets) if len(s) and digest(s) == nodes[lo + i]]  # a text of the id may have another
                 rows = pa.array([lo + i for i in own], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).take(rows) for c in (1, 2, 3)), pa.array([sets[i].tobytes() for i in own], pa.binary())], names=["node", "group", "blocks", "shingles"]
+                    [*(batch.column(c).take(rows) for c in (1, 2)), pa.array([sets[i].tobytes() for i in own], pa.binary())], names=["node", "tasks", "shingles"]
                 )
 
-    return kernel.map_arrow(docs.select("text", "node", "group", "blocks"), run, "node binary, group binary, blocks int, shingles binary")
-
+    found = kernel.map_arrow(texts.select("text", "node", "tasks"), run, f"node binary, tasks array<struct<{columns}>>, shingles binary")
+    found = found.select("node", "shingles", F.explode("tasks").alias("at"))
+    return found.select(*[F.col(f"at.{c}").alias(c) for c in names], "node", "shingles").repartition("task").sortWithinPartitions("task")
 
-def _confirmed(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, np.ndarray] = {}
-        key = None
 
-        def links() -> pa.RecordBatch:
-            nodes, sets = list(held), list(held.values())
-            found = confirm(sets, percent) if len(sets) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in found], pa.binary()), pa.array([nodes[j] for _, j in found], pa.binary())], names=["a", "b"])
+def _blocks(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
+    """Rows, a row a task that they go to, as ``task``: with several blocks of a key, every two of them meet."""
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    one = F.lit(0).cast("bigint")
+    others = F.when(F.col("blocks") == 1, F.array(one)).otherwise(F.filter(F.sequence(one, F.col("blocks") - F.lit(1).cast("bigint")), lambda j: j != mine))
+    rows = rows.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", F.explode(others))
+    return rows.withColumn("task", F.xxhash64(key, F.least("mine", "other"), F.greatest("mine", "other"))).drop("blocks", "mine", "other")
 
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 64):  # sets are copied a few at a time
-                for task, node, shingles in zip(*(c.to_pylist() for c in batch.slice(lo, 64).columns), strict=True):
-                    if task != key:
-                        yield links()
-                        key, held = task, {}
-                    held[node] = np.frombuffer(shingles, np.uint64)
-        yield links()
 
-    return run
+def _links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Steps 3 and 4: links (a, b) that span the components."""
+    sketches = nodes.select("node", "registers")
+    banded = kernel.map_arrow(sketches, _banded, "node binary, band bigint").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    part = banded.groupBy("band", "salt").agg(F.min("node").alias("first"), F.count("*").alias("n"))
+    heads = part.groupBy("band").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1").select("band", "first", "n")
+    heads = shared.table(heads, "buckets")
+    entries = shared.table(banded.select("node", "band").join(heads.select("band", "first"), "band"), "entries")
+
+    # Each node with the least nodes of its buckets.
+    pairs = entries.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    described = nodes.select("node", "n", "registers")
+    pairs = pairs.join(described.toDF("a", "n_a", "r_a"), "a").join(described.toDF("b", "n_b", "r_b"), "b")
+    pairs = shared.table(kernel.map_arrow(pairs.select("a", "b", "n_a", "n_b", "r_a", "r_b"), _likely_pairs(percent), "a binary, b binary"), "pairs")
+    sized = nodes.select("node", "n")
+    parts = pairs.join(sized.withColumnRenamed("node", "a"), "a").groupBy("b").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
+    parts = shared.table(parts, "parts")
+    task = F.struct(F.xxhash64("first", "part").alias("task"), "first")
+    ours = pairs.join(parts, "b").select(F.col("a").alias("node"), F.col("b").alias("first"), F.pmod(F.xxhash64("a"), F.col("parts")).alias("part"))
+    theirs = parts.select(F.col("b").alias("node"), F.col("b").alias("first"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    # A node that very many others are held against goes to very many tasks: some at a time.
+    tasks = ours.withColumn("some", F.lit(0).cast("bigint")).union(theirs.withColumn("some", F.floor(F.col("part") / 1000)))
+    tasks = tasks.groupBy("node", "some").agg(F.collect_list(task).alias("tasks"))
+    wanted = shared.table(tasks.join(nodes.select("node", "least"), "node").select("node", F.col("least").alias("doc_id"), "tasks"), "wanted")
+    links = shared.table(kernel.map_arrow(_sets(docs, wanted, k, "task: bigint, first: binary"), _held_against(percent), "a binary, b binary"), "links")
+
+    # Buckets with nodes of several components.
+    roots = components.connect(links)
+    entries = entries.select("node", "band").join(roots, "node", "left").select("node", "band", F.coalesce("root", "node").alias("root"))
+    spread = entries.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS))).groupBy("band", "salt").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    open_ = spread.groupBy("band").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).where("low <> high and n > 2").select("band", "n")
+    some = shared.table(entries.join(open_, "band").join(described, "node").select("band", "node", "root", described["n"], "registers", open_["n"].alias("many")), "open")
+    tasks = _blocks(some, "band", F.ceil(F.col("many") / SKETCHES)).select("task", "band", "node", "root", "n", "registers")
+    needed = kernel.map_arrow(tasks.repartition("task").sortWithinPartitions("task"), _needed(percent), "band bigint, node binary").distinct()
+    needed = shared.table(needed.join(some.select("band", "node", "root", "n"), ["band", "node"]), "needed")
+    sizes = needed.groupBy("band").agg(F.ceil(F.sum("n") / BLOCK).alias("many"))
+    tasks = _blocks(needed.join(sizes, "band"), "band", F.col("many")).groupBy("node").agg(F.collect_list(F.struct("task", "band", "root")).alias("tasks"))
+    wanted = shared.table(tasks.join(nodes.select("node", "least"), "node").select("node", F.col("least").alias("doc_id"), "tasks"), "wanted")
+    more = shared.table(kernel.map_arrow(_sets(docs, wanted, k, "task: bigint, band: bigint, root: binary"), _confirmed(percent), "a binary, b binary"), "links")
+    return links.union(more)
 
 
 def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -253,33 +422,9 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 def _labelled(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """What :func:`classes` gives, with copy (digest of the text) and root (the component's least node; null for an empty set)."""
     rows = shared.table(_described(docs, k), "sketches")
-    nodes = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
-    nodes = shared.table(nodes, "nodes")
-
-    # Candidate groups: the components of links from nodes to the least node of their buckets.
-    banded = rows.where("node is not null and doc_id is not null").join(nodes, (rows["node"] == nodes["node"]) & (rows["doc_id"] == nodes["least"]), "left_semi")
-    banded = banded.select("node", F.explode("bands").alias("band")).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
-    part = banded.groupBy("band", "salt").agg(F.min("node").alias("first"), F.count("*").alias("n"))
-    whole = part.groupBy("band").agg(F.min("first").alias("least"), F.sum("n").alias("n")).where("n > 1").select("band", "least")
-    heads = shared.table(part.join(whole, "band").select("band", "salt", "first", "least"), "buckets")
-    links = banded.join(heads.select("band", "salt", "first"), ["band", "salt"]).select(F.col("node").alias("a"), F.col("first").alias("b"))
-    groups = components.connect(links.union(heads.select("first", "least")))
-    groups = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
-
-    # Full sets of candidate nodes, each to the task of its group or to the tasks of its block.
-    sized = groups.join(nodes, "node").select("node", F.col("root").alias("group"), "least", "n")
-    blocks = sized.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    wanted = shared.table(sized.join(blocks, "group").select("node", "group", "blocks", F.col("least").alias("doc_id")), "wanted")
-    few = wanted.count() <= BROADCAST_NODES
-    texts = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
-    sets = _sets(texts, k)
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    others = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("bigint"))).otherwise(F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - F.lit(1).cast("bigint")), lambda j: j != mine))
-    tasks = sets.withColumn("mine", mine).withColumn("other", F.explode(others))
-    tasks = tasks.select(F.struct("group", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).alias("at"), "node", "shingles")
-    tasks = tasks.withColumn("task", F.xxhash64("at")).select("task", "node", "shingles")
-    confirmed = kernel.map_arrow(tasks.repartition("task").sortWithinPartitions("task"), _confirmed(percent), "a binary, b binary")
-    roots = components.connect(shared.table(confirmed, "confirmed"))
+    known = rows.where("node is not null and doc_id is not null")
+    nodes = shared.table(known.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")), "nodes")
+    roots = components.connect(_links(docs, rows, nodes, k, percent))
 
     # Back to documents, by node; both sides are plain tables, so hot nodes are split when they are joined.
     named = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "node", "least")

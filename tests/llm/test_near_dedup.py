@@ -64,6 +64,7 @@ def test_against_all_pairs(spark, k):
 def test_blocks_give_the_same_classes(spark, monkeypatch):
     rows = corpus(7)
     monkeypatch.setattr(near_dedup, "BLOCK", 1500)
+    monkeypatch.setattr(near_dedup, "SKETCHES", 3)
     monkeypatch.setattr(near_dedup, "BROADCAST_NODES", 0)
     got = near_dedup.classes(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 80).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == brute(rows, 4)
@@ -163,3 +164,25 @@ def test_texts_that_share_an_id(spark):
     sevens = [x for x in left if x[0] == 7]
     assert len(sevens) == 1 and sevens[0] in rows
     assert sorted((x for x in left if x[0] != 7), key=str) == sorted([(5, a), (3, b), (9, ""), (9, None), (9, c), (None, c), (2, "w1")], key=str)
+
+
+def test_chains_and_bridges_across_buckets(spark):
+    """Links between texts that are not near their buckets' least nodes, in any order."""
+    rows = []
+    for seed in range(12):
+        r = np.random.default_rng(seed)
+        words = [f"s{seed}w{i}" for i in range(400)]
+        chain = [" ".join(words[6 * i : 6 * i + 70]) for i in range(12)]  # only neighbours reach 80 %
+        hubs = [" ".join(words[200 + 25 * h : 290 + 25 * h]) for h in range(3)]
+        rows += [(int(1000 * seed + i), t) for i, t in enumerate(r.permutation(chain + hubs + chain[:2]).tolist())]
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), 4, 80).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == brute(rows, 4)
+
+
+def test_pairs_are_tested_where_they_first_meet():
+    r = np.random.default_rng(5)
+    pool = kernel.mix(r.integers(0, 1 << 63, 130, dtype=np.uint64))
+    a, b = np.sort(pool[:120]), np.sort(pool[8:128])
+    same = np.flatnonzero(near_dedup.band_keys(near_dedup.sketch(a)) == near_dedup.band_keys(near_dedup.sketch(b)))
+    assert [i for i in range(near_dedup.BANDS) if near_dedup.confirm([a, b], 80, band=i)] == same[:1].tolist()
+    assert near_dedup.confirm([a, b], 80, np.array([0, 0])) == [] and len(near_dedup.confirm([a, b], 80, np.array([0, 1]))) == 1
