@@ -39,7 +39,7 @@ BASE = 1.1
 #: Shingles (8 bytes each) that are sent to a task to be held against one set, or in a block of a bucket.
 BLOCK = 1 << 18
 #: Sketches in a block of a bucket.
-SKETCHES = 4096
+SKETCHES = 1024
 #: Standard deviations below the threshold at which an estimate rules a pair out.
 DEVIATIONS = 4.5
 #: Candidate nodes (about 90 bytes each) up to which the list of them is broadcast.

@@ -1,15 +1,19 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
 A bounded sample of the vectors gives the pivots (reference points). Every vector is described by its
-``NEAREST`` nearest pivots in order, and stands in the inverted list of each of them. A list is one
-task, or, if it is long, is dealt to blocks of which every two meet in a task. There, counting the
+``NEAREST`` nearest pivots in order, and stands in the inverted list of each of them. There, counting the
 lists that two vectors share finds the candidates: those with ``SHARED`` pivots in common or more.
 They are verified by cosine in double precision. A pair that meets in several lists counts in that of
 its first common pivot only, so counts of links are exact sums over tasks.
 
-Equal vectors are one node with a multiplicity, however many there are. The count of pivots grows with
-the square root of the count of vectors, so lists grow as the root too, but for vectors that are
-truly close together. Vectors of each length have pivots, and so lists, of their own.
+A list is one task. One of over ``BLOCK`` vectors is split by a further pivot of each vector, as candidates have
+two in common: a vector then stands in a list for each pair of its pivots, and a pair counts in that of its
+first two common ones, so nothing is lost. What is still longer is dealt to blocks of which every two meet.
+
+Equal vectors are one node with a multiplicity, however many there are. With n vectors there are 2 root n
+pivots up to 4,096, and 0.3 root n where that is more. Lists of two pivots have about 90 n / pivots**2 vectors, so
+1,000 at most whatever n is, but for vectors that are truly close together: comparisons grow with n, and pivots, the
+only thing that is broadcast, with its root. Vectors of each length have pivots, and so lists, of their own.
 """
 
 from __future__ import annotations
@@ -24,14 +28,16 @@ from pyspark.sql import functions as F
 
 from . import components, kernel, shared
 
-#: Vectors that pivots are chosen from, at most about.
-SAMPLE = 20_000
-#: Pivots that describe a vector, and how many two candidates have in common at least.
+#: Pivots that describe a vector, and how many two candidates have in common at least (two, for the lists of two pivots to be whole).
 NEAREST, SHARED = 10, 2
-#: Pivots: this many times the root of the count of vectors, within bounds.
-PIVOTS_PER_ROOT, LEAST_PIVOTS, MOST_PIVOTS = 2.0, 32, 4096
-#: Vectors in a block of an inverted list.
+#: Pivots: this many times the root of the count of vectors, up to a bound, and a lesser multiple beyond it.
+PIVOTS_PER_ROOT, LEAST_PIVOTS, MANY_PIVOTS, FURTHER_PER_ROOT = 2.0, 32, 4096, 0.3
+#: Memory of the pivots of one length of vectors, at most; lists grow again where it stops the pivots (at 64 numbers, beyond 10**12 vectors).
+PIVOT_BYTES = 256 << 20
+#: Vectors in a list, or in a block of one.
 BLOCK = 1024
+#: Long lists that are broadcast to the vectors' rows, at most; with more, they are joined.
+BROADCAST_LISTS = 200_000
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -45,13 +51,18 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def fit(nodes: DataFrame, n: int) -> np.ndarray:
-    """Pivots (unit rows): vectors of the sample in the order of a hash."""
-    p = int(min(max(PIVOTS_PER_ROOT * math.sqrt(n), LEAST_PIVOTS), MOST_PIVOTS, max(n, 1)))
-    share = min(1.0, SAMPLE / max(n, 1))
-    order = F.xxhash64("node", F.lit(17))
-    sample = nodes.where(F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000)).orderBy(F.xxhash64("node", F.lit(18)), "node").limit(p)
-    rows = sample.select("vector").toArrow()
+def n_pivots(n: int, length: int) -> int:
+    """How many pivots there are for n vectors of a length."""
+    root = math.sqrt(n)
+    wanted = max(min(PIVOTS_PER_ROOT * root, MANY_PIVOTS), FURTHER_PER_ROOT * root, LEAST_PIVOTS)
+    return int(min(wanted, PIVOT_BYTES / (8 * length), max(n, 1)))
+
+
+def fit(nodes: DataFrame, n: int, length: int) -> np.ndarray:
+    """Pivots (unit rows): vectors in the order of a hash; the driver sorts a sample of about twice as many as are wanted, 1,000 at least."""
+    p = n_pivots(n, length)
+    few = nodes.where(shared.lowest(F.xxhash64("node", F.lit(17)), max(2 * p, 1000) / max(n, 1)))
+    rows = few.orderBy(F.xxhash64("node", F.lit(18)), "node").limit(p).select("vector").toArrow()
     return _unit(_matrix(rows.column(0))) if rows.num_rows else np.zeros((0, 1))
 
 
@@ -64,10 +75,10 @@ def nearest(vectors: np.ndarray, pivots: np.ndarray, k: int = NEAREST) -> np.nda
     return out
 
 
-def links(pivot: int, vectors: np.ndarray, near: np.ndarray, block: np.ndarray, cosine: float, shared_least: int) -> np.ndarray:
+def links(pivot: int, second: int, vectors: np.ndarray, near: np.ndarray, block: np.ndarray, crossing: bool, cosine: float, shared_least: int) -> np.ndarray:
     """Which pairs (upper triangle) of a list's unit vectors are links that count here.
 
-    With rows of two blocks, only pairs of different blocks do.
+    With a second pivot (not -1), the list is that of both. Where two blocks meet (``crossing``), only pairs of different blocks count.
     """
     n = len(vectors)
     count = np.zeros((n, n), np.int8)
@@ -80,10 +91,10 @@ def links(pivot: int, vectors: np.ndarray, near: np.ndarray, block: np.ndarray,
         if b - a > 1:
             at = np.ix_(row[a:b], row[a:b])
             count[at] += 1
-            if flat[a] < pivot:
+            if flat[a] < pivot or pivot < flat[a] < second:
                 elsewhere[at] = True
     wanted = np.triu((count >= shared_least) & ~elsewhere, 1)
-    if block.min() != block.max():
+    if crossing:
         wanted &= block[:, None] != block[None, :]
     if wanted.any():
         wanted &= vectors @ vectors.T >= cosine
@@ -113,7 +124,7 @@ def _search(cosine: float, shared_least: int):
                 return
             node = table["node"].to_numpy()
             many = table["many"].to_numpy()
-            wanted = links(table["pivot"][0].as_py(), _unit(_matrix(table["vector"])), _matrix(table["near"]).astype(np.int64), table["mine"].to_numpy(), cosine, shared_least)
+            wanted = links(table["pivot"][0].as_py(), table["second"][0].as_py(), _unit(_matrix(table["vector"])), _matrix(table["near"]).astype(np.int64), table["mine"].to_numpy(), table["crossing"][0].as_py(), cosine, shared_least)
             counts = wanted @ many + wanted.T @ many
             some = np.flatnonzero(counts)
             pairs = _forest(wanted)
@@ -141,7 +152,7 @@ def _search(cosine: float, shared_least: int):
     return run
 
 
-def classes(vectors: DataFrame, cosine: float = 0.95, k: int = NEAREST, shared_least: int = SHARED) -> DataFrame:
+def classes(vectors: DataFrame, cosine: float = 0.95, k: int = NEAREST) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of ``vectors`` (vec_id, embedding).
 
     Two rows are linked if the index retrieves them and their cosine, in double precision, is
@@ -162,10 +173,10 @@ def classes(vectors: DataFrame, cosine: float = 0.95, k: int = NEAREST, shared_l
     nodes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").cast("bigint").alias("node"), F.count("*").alias("many"), F.first("vector").alias("vector"))
     nodes = shared.table(nodes, "vectors")
     # By length: the number of its first pivot, and its pivots.
-    found, n_pivots = {}, 0
+    found, before = {}, 0
     for size, n in sorted(nodes.groupBy(F.size("vector")).count().collect()):
-        found[size] = (n_pivots, fit(nodes.where(F.size("vector") == size), n))
-        n_pivots += len(found[size][1])
+        found[size] = (before, fit(nodes.where(F.size("vector") == size), n, size))
+        before += len(found[size][1])
     pivots = spark.sparkContext.broadcast(found)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,13 +191,18 @@ def classes(vectors: DataFrame, cosine: float = 0.95, k: int = NEAREST, shared_l
 
     described = kernel.map_arrow(nodes.select("node", "many", "vector"), describe, "node bigint, many bigint, vector array<double>, near array<int>")
     described = shared.table(described, "described")
-    # At most MOST_PIVOTS rows of (pivot, blocks) for each length are broadcast.
-    lists = described.select(F.explode("near").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    # A row for each pivot is broadcast: whether its list is long.
+    lists = described.select(F.explode("near").alias("pivot")).groupBy("pivot").agg((F.count("*") > BLOCK).alias("long"))
     posted = described.withColumn("pivot", F.explode("near")).join(F.broadcast(lists), "pivot")
+    second = F.when(F.col("long"), F.filter("near", lambda q: q > F.col("pivot"))).otherwise(F.array(F.lit(-1)))
+    posted = posted.withColumn("second", F.explode(second))
+    long = posted.where("second >= 0").groupBy("pivot", "second").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    sizes = shared.table(long.select("pivot", "second", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "long-lists")
+    posted = posted.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_LISTS else sizes, ["pivot", "second"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     posted = posted.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    task = F.xxhash64("pivot", F.least("mine", "other"), F.greatest("mine", "other")).alias("task")
-    posted = posted.select(task, "pivot", "mine", "node", "many", F.col("vector").cast("array<float>").alias("vector") if _is_float(vectors) else "vector", "near")
-    found = shared.table(kernel.map_arrow(posted.repartition("task").sortWithinPartitions("task"), _search(cosine, shared_least), "a bigint, b bigint, n bigint"), "vector-links")
+    task = F.xxhash64("pivot", "second", F.least("mine", "other"), F.greatest("mine", "other")).alias("task")
+    posted = posted.select(task, "pivot", "second", "mine", (F.col("mine") != F.col("other")).alias("crossing"), "node", "many", F.col("vector").cast("array<float>").alias("vector") if _is_float(vectors) else "vector", "near")
+    found = shared.table(kernel.map_arrow(posted.repartition("task").sortWithinPartitions("task"), _search(cosine, SHARED), "a bigint, b bigint, n bigint"), "vector-links")
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = components.connect(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "linked")
     named = nodes.join(counts, "node", "left").join(roots, F.col("node") == F.col("linked"), "left")

@@ -61,3 +61,19 @@ def test_each_length_is_linked_within_itself(spark):
         assert {i: got[i] for i in truth} == truth
     truth = brute(long)
     assert all(got[i] <= n for i, n in truth.items()) and sum(got[i] for i in truth) >= 0.98 * sum(truth.values())
+
+
+def test_lists_of_two_pivots_lose_nothing(spark, monkeypatch):
+    df = spark.createDataFrame(vectors(3), "vec_id bigint, embedding array<float>").repartition(3)
+    results = []
+    for block, broadcast in ((1 << 20, 100), (64, 100), (7, 0)):
+        monkeypatch.setattr(pivot_index, "BLOCK", block)
+        monkeypatch.setattr(pivot_index, "BROADCAST_LISTS", broadcast)
+        results.append(sorted(tuple(r) for r in pivot_index.classes(df).collect()))
+    assert results[0] == results[1] == results[2]
+
+
+def test_pivots_grow_with_the_vectors():
+    counts = [pivot_index.n_pivots(n, 64) for n in (1, 100, 10**6, 10**7, 10**9, 10**11)]
+    assert counts == [1, 32, 2000, 4096, 9486, 94868]
+    assert all(90 * n / pivot_index.n_pivots(n, 64) ** 2 <= 1024 for n in (10**6, 10**8, 10**9, 10**11))
