@@ -46,6 +46,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
+#: Characters of a text beyond which its pieces are taken some at a time.
+LONG = 4 << 20
 #: Pieces of up to this many bytes contract one pair a step.
 SHORT = 64
 
@@ -104,7 +106,7 @@ class Tokenizer:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.split = regex.compile(pattern).findall
+        self.split, self.pieces = regex.compile(pattern).findall, regex.compile(pattern).finditer
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         merges = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         left, right, made = (np.array(c, np.int32) for c in zip(*merges, strict=True)) if merges else (np.zeros(0, np.int32),) * 3
@@ -191,7 +193,17 @@ class Tokenizer:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers; no special tokens."""
-        split = [self.split(t) for t in texts]
+        if any(len(t) > LONG for t in texts):
+            return [self._encode_long(t) if len(t) > LONG else self._encode([self.split(t)])[0] for t in texts]
+        return self._encode([self.split(t) for t in texts])
+
+    def _encode_long(self, text: str) -> bytes:
+        """The same for a long text, some pieces at a time."""
+        found = (m[0] for m in self.pieces(text))
+        return b"".join(self._encode([some])[0] for some in iter(lambda: list(itertools.islice(found, QUERY_ROWS)), []))
+
+    def _encode(self, split: list[list[str]]) -> list[bytes]:
+        """The ids of each list of pieces."""
         unseen = set(itertools.chain.from_iterable(split)).difference(self.cache)
         again = {p: self.older[p] for p in unseen if p in self.older}
         new = again | self._learn([p for p in unseen if p not in again])
@@ -207,7 +219,15 @@ class Tokenizer:
         return out
 
     def decode_batch(self, encoded: list[bytes]) -> list[bytes]:
-        """The bytes of each text's ids."""
+        """The bytes of each text's ids; long lists of ids are decoded in slices."""
+        size = 4 * QUERY_ROWS
+        slices = [(i, e[lo : lo + size]) for i, e in enumerate(encoded) for lo in range(0, max(len(e), 1), size)]
+        out: list[list[bytes]] = [[] for _ in encoded]
+        for (i, _), raw in zip(slices, self._decode([e for _, e in slices]), strict=True):
+            out[i].append(raw)
+        return [b"".join(parts) for parts in out]
+
+    def _decode(self, encoded: list[bytes]) -> list[bytes]:
         out: list[bytes] = []
         lo = 0
         while lo < len(encoded):

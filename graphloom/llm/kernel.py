@@ -117,17 +117,10 @@ def word_bounds(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[
     return starts, ends, np.searchsorted(starts, offs)
 
 
-_powers = np.ones(1, U64)
-_inverses = np.ones(1, U64)
-
-
-def _grow(n: int) -> None:
-    global _powers, _inverses
-    if len(_powers) < n:
-        size = max(n, CHUNK + 1)
-        with np.errstate(over="ignore"):
-            _powers = np.concatenate([np.ones(1, U64), np.cumprod(np.full(size, _BASE, U64), dtype=U64)])
-            _inverses = np.concatenate([np.ones(1, U64), np.cumprod(np.full(size, _BASE_INVERSE, U64), dtype=U64)])
+#: Powers of the base and of its inverse, for the bytes of one chunk.
+with np.errstate(over="ignore"):
+    _powers = np.concatenate([np.ones(1, U64), np.cumprod(np.full(CHUNK, _BASE, U64), dtype=U64)])
+    _inverses = np.concatenate([np.ones(1, U64), np.cumprod(np.full(CHUNK, _BASE_INVERSE, U64), dtype=U64)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -142,22 +135,61 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """``s`` with ``s[j] - s[i]`` the polynomial of bytes i to j, up to a factor that depends on i."""
-    _grow(len(data) + 1)
+    """``s`` with ``s[j] - s[i]`` the polynomial of bytes i to j, up to a factor that depends on i; of ``CHUNK`` bytes at most."""
     sums = np.zeros(len(data) + 1, U64)
     with np.errstate(over="ignore"):
         np.cumsum((data.astype(U64) + U64(1)) * _powers[: len(data)], out=sums[1:])
     return sums
 
 
+def _finish(polynomial: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(polynomial + sizes.astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of bytes; equal spans have equal hashes wherever they stand."""
     with np.errstate(over="ignore"):
-        return mix((sums[ends] - sums[starts]) * _inverses[starts] + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+        return _finish((sums[ends] - sums[starts]) * _inverses[starts], ends - starts)
+
+
+def _long_hash(data: np.ndarray) -> np.ndarray:
+    """The hash of a span of any size."""
+    total, factor = 0, 1
+    for lo in range(0, len(data), CHUNK):
+        part = data[lo : lo + CHUNK]
+        total += factor * int(prefix_sums(part)[-1])
+        factor = factor * pow(_BASE, len(part), 1 << 64) % (1 << 64)
+    return _finish(np.array([total % (1 << 64)], U64), np.array([len(data)]))
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(prefix_sums(data), starts, ends)
+    """The hash of each word: the words of ``CHUNK`` bytes at a time, so that the temporaries are small however long a text is."""
+    out = np.zeros(len(starts), U64)
+    lo = 0
+    while lo < len(starts):
+        base = int(starts[lo])
+        hi = int(np.searchsorted(ends, base + CHUNK, side="right"))
+        if hi > lo:
+            sums = prefix_sums(data[base : int(ends[hi - 1])])
+            out[lo:hi] = span_hashes(sums, starts[lo:hi] - base, ends[lo:hi] - base)
+        else:  # a word that is longer
+            hi = lo + 1
+            out[lo] = _long_hash(data[base : int(ends[lo])])[0]
+        lo = hi
+    return out
+
+
+def pieces(data: np.ndarray, table: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Where a text is cut into pieces of at most ``limit`` bytes: before a byte that belongs to no word, if a piece has one."""
+    lo = 0
+    while lo < len(data):
+        hi = min(lo + limit, len(data))
+        if hi < len(data):
+            outside = np.flatnonzero(~table[data[lo + 1 : hi]])
+            hi = lo + 1 + int(outside[-1]) if len(outside) else hi
+        yield lo, hi
+        lo = hi
 
 
 def window_hashes(words: np.ndarray, k: int) -> np.ndarray:

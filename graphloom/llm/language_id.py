@@ -68,6 +68,29 @@ def _batches(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield lo, [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:], strict=True)]
 
 
+def _parts(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """(number of the text, part) in lists of about ``_BATCH`` characters. Longer texts are cut at white space, where no n-gram is lost."""
+    of, parts, held = [], [], 0
+    for i, text in enumerate(texts):
+        lo = 0
+        while True:
+            hi = len(text)
+            if hi - lo > _BATCH:
+                blank = text.rfind(" ", lo, lo + _BATCH)
+                hi = blank if blank > lo else lo + _BATCH
+            of.append(i)
+            parts.append(text[lo:hi])
+            held += hi - lo
+            if held >= _BATCH:
+                yield np.array(of), parts
+                of, parts, held = [], [], 0
+            if hi >= len(text):
+                break
+            lo = hi + (text[hi] == " ")
+    if parts:
+        yield np.array(of), parts
+
+
 class Model:
     def __init__(self, langs: list[str], prior: np.ndarray, logs: np.ndarray):
         self.langs, self.prior, self.logs = langs, prior, logs
@@ -75,9 +98,13 @@ class Model:
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         if not self.langs:
             return ["und"] * len(texts), np.zeros(len(texts))
-        bins, own, letters = _grams(texts)
-        n = np.bincount(own, minlength=len(texts))
-        total = np.stack([np.bincount(own, self.logs[:, k][bins], len(texts)) for k in range(len(self.langs))], axis=1)
+        n, letters, total = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros((len(texts), len(self.langs)))
+        for of, parts in _parts(texts):
+            bins, own, found = _grams(parts)
+            own = of[own]
+            n += np.bincount(own, minlength=len(texts))
+            letters += np.bincount(of, found, len(texts)).astype(np.int64)
+            total += np.stack([np.bincount(own, self.logs[:, k][bins], len(texts)) for k in range(len(self.langs))], axis=1)
         best = (total + self.prior).argmax(axis=1)
         weight = np.minimum(1.0, EVIDENCE / np.maximum(n, 1))[:, None]
         scaled = total * weight + self.prior * weight
@@ -109,8 +136,9 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, languages: int =
         for batch in batches:
             which = np.array([of[x] for x in batch.column(1).to_pylist()], np.int64)
             for lo, texts in _batches(batch.column(0)):
-                bins, own, _ = _grams(texts)
-                total += np.bincount(which[lo + own] * BINS + bins, minlength=total.size).reshape(total.shape)
+                for part_of, parts in _parts(texts):
+                    bins, own, _ = _grams(parts)
+                    total += np.bincount(which[lo + part_of[own]] * BINS + bins, minlength=total.size).reshape(total.shape)
         lang, at = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(lang * BINS + at), pa.array(total[lang, at])], names=["cell", "n"])
 

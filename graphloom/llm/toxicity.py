@@ -88,7 +88,32 @@ _IS_MARK = ~(_IS_LETTER | _IS_DIGIT | (np.arange(256) <= 32))
 
 
 def features(data: np.ndarray, offs: np.ndarray, lexicon: Lexicon) -> np.ndarray:
-    """One row of ``NAMES`` a text of the chunk; empty texts have zeros."""
+    """One row of ``NAMES`` a text of the chunk; empty texts have zeros.
+
+    A text that is longer than a chunk is counted piece by piece, cut between words.
+    """
+    if len(data) <= kernel.CHUNK:
+        counted = _counts(data, offs, lexicon)
+    else:
+        rows = []
+        for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+            own = [_counts(data[a + lo : a + hi], np.array([0, hi - lo]), lexicon)[0] for lo, hi in kernel.pieces(data[a:b], kernel.ALNUM)]
+            rows.append(np.concatenate([np.sum(own, axis=0)[:-1], np.max(own, axis=0)[-1:]]) if own else np.zeros(_COUNTS))
+        counted = np.array(rows)
+    n, size, whole, begin, odds, hits, near, person, upper, letter, shout, exclaim, mark, digit, masked, leet, best = counted.T
+    words, size = np.maximum(n, 1), np.maximum(size, 1)
+    return np.stack([
+        np.log1p(n), whole / words, begin / words, best, odds / words, np.log1p(hits), near / np.maximum(hits, 1), person / words,
+        upper / np.maximum(letter, 1), shout / words, exclaim / size, mark / size, digit / size, masked / words, leet / words,
+    ], axis=1)
+
+
+#: Columns of :func:`_counts`.
+_COUNTS = 17
+
+
+def _counts(data: np.ndarray, offs: np.ndarray, lexicon: Lexicon) -> np.ndarray:
+    """What the features are made of: for each text sums over its words and bytes, and the greatest odds."""
     lower = kernel.lower_ascii(data)
     starts, ends, of = kernel.word_bounds(lower, offs, kernel.ALNUM)
     sums = kernel.prefix_sums(lower)
@@ -118,15 +143,11 @@ def features(data: np.ndarray, offs: np.ndarray, lexicon: Lexicon) -> np.ndarray
     inner[1:-1] = letter[:-2] & letter[2:]
     best = np.zeros(len(of) - 1)
     np.maximum.at(best, text[odds > 0], odds[odds > 0])
-    words = np.maximum(np.diff(of), 1).astype(np.float64)
-    size = np.maximum(np.diff(offs), 1).astype(np.float64)
-    hits = per_text(odds > 0, of)
     return np.stack([
-        np.log1p(np.diff(of)), per_text(odds_whole > 0, of) / words, per_text(odds_begin > 0, of) / words, best,
-        per_text(odds, of) / words, np.log1p(hits), per_text(near, of) / np.maximum(hits, 1), per_text(person, of) / words,
-        per_text(upper, offs) / np.maximum(per_text(letter, offs), 1), per_text(shout, of) / words, per_text(_IS_EXCLAIM[data], offs) / size,
-        per_text(_IS_MARK[data], offs) / size, per_text(digit, offs) / size, per_text(mask & inner, offs) / words, per_text(digit & inner, offs) / words,
-    ], axis=1)
+        np.diff(of), np.diff(offs), per_text(odds_whole > 0, of), per_text(odds_begin > 0, of), per_text(odds, of), per_text(odds > 0, of), per_text(near, of), per_text(person, of),
+        per_text(upper, offs), per_text(letter, offs), per_text(shout, of), per_text(_IS_EXCLAIM[data], offs), per_text(_IS_MARK[data], offs), per_text(digit, offs),
+        per_text(mask & inner, offs), per_text(digit & inner, offs), best,
+    ], axis=1).astype(np.float64)
 
 
 class Trees:
@@ -271,15 +292,10 @@ def _induce(texts: DataFrame) -> Lexicon:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = np.array(batch.column(1).to_pylist(), np.int64)
-            for lo, hi, data, offs in kernel.chunks(batch.column(0), 2 << 20):
+            for lo, _, data, offs in kernel.chunks(batch.column(0)):
                 data = kernel.lower_ascii(data)
-                starts, ends, of = kernel.word_bounds(data, offs, kernel.ALNUM)
-                sums = kernel.prefix_sums(data)
-                text = np.repeat(np.arange(hi - lo), np.diff(of)).astype(np.uint64)
-                found = [_terms(sums, starts, ends, n) for n in (0, *BEGINNINGS)]
-                pairs = np.zeros(sum(len(h) for h, _ in found), [("term", np.uint64), ("text", np.uint64)])
-                pairs["term"], pairs["text"] = np.concatenate([h for h, _ in found]), np.concatenate([text[w] for _, w in found])
-                pairs = np.unique(pairs)
+                cut = [(0, len(data), offs)] if len(data) <= kernel.CHUNK else [(a, b, np.array([0, b - a])) for a, b in kernel.pieces(data, kernel.ALNUM)]
+                pairs = np.unique(np.concatenate([_pairs(data[a:b], bounds) for a, b, bounds in cut])) if len(cut) > 1 else _pairs(data, offs)
                 term, at = np.unique(pairs["term"], return_inverse=True)
                 bad = toxic[lo + pairs["text"].astype(np.int64)] > 0
                 n_bad = np.bincount(at[bad], minlength=len(term))
@@ -299,6 +315,17 @@ def _induce(texts: DataFrame) -> Lexicon:
     return Lexicon(best["term"].to_numpy().astype(np.int64).view(np.uint64), best["odds"].to_numpy())
 
 
+def _pairs(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The distinct terms of each text of a chunk, in lower case."""
+    starts, ends, of = kernel.word_bounds(data, offs, kernel.ALNUM)
+    sums = kernel.prefix_sums(data)
+    text = np.repeat(np.arange(len(of) - 1), np.diff(of)).astype(np.uint64)
+    found = [_terms(sums, starts, ends, n) for n in (0, *BEGINNINGS)]
+    pairs = np.zeros(sum(len(h) for h, _ in found), [("term", np.uint64), ("text", np.uint64)])
+    pairs["term"], pairs["text"] = np.concatenate([h for h, _ in found]), np.concatenate([text[w] for _, w in found])
+    return np.unique(pairs)
+
+
 _PERSON = _word_list(SECOND_PERSON)
 
 

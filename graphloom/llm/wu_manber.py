@@ -11,9 +11,12 @@ Patterns of one length form a searcher with three tables:
 The search moves many lanes (stretches of documents) at once, so each step is a few numpy calls.
 Words are compared as 64-bit fingerprints of their bytes, all words of the window.
 
-The documents are never shuffled: each text is searched where it is read. Only the benchmark's
+The documents are not shuffled: each text is searched where it is read. Only the benchmark's
 tables are sent to the executors, in blocks of at most ``BLOCK_BYTES`` of benchmark text: the
 documents pass one searcher after another and carry the words hit so far along as a bit map.
+
+That is so for a benchmark of up to ``BENCHMARK_BYTES``, which is checked first. The patterns of a larger one
+stay a table, which the documents' windows are joined with by hash; the direct comparison is the same.
 """
 
 from __future__ import annotations
@@ -26,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import kernel
+from . import kernel, shared
 
 #: Benchmark text in one set of tables; its tables take about 40 times as much memory at most.
 BLOCK_BYTES = 4 << 20
+#: Benchmark text that is sent to executors, at most, as every block of it is held by a Python worker of each core.
+BENCHMARK_BYTES = 8 << 20
 #: Positions that one lane covers.
 LANE = 2048
 _BITS = 20
@@ -61,21 +66,30 @@ class Searcher:
         bucket[bucket == len(self.suffixes)] = 0
         known = self.suffixes[bucket] == suffix
         ends, bucket = ends[known], bucket[known]
+        # A bucket's patterns are in the order of their words, so a binary search leaves one to compare with, however full it is.
+        # A position has one pattern at most, since patterns are distinct and of one length.
         at, stop = self.begins[bucket], self.begins[bucket + 1]
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        while len(ends):
-            pattern = self.by_suffix[at]
-            same = np.arange(len(ends))
-            for j in range(self.m):  # direct comparison, word by word, of those that still agree
-                same = same[words[ends[same] - (self.m - 1 - j)] == self.patterns[pattern[same], j]]
-            found.append((ends[same], pattern[same]))
-            # A position has one pattern at most, since patterns are distinct and of one length.
-            more = at + 1 < stop
-            more[same] = False
-            ends, at, stop = ends[more], at[more] + 1, stop[more]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+        high = stop.copy()
+        while (open_ := np.flatnonzero(at < high)).size:
+            middle = (at[open_] + high[open_]) // 2
+            less = self._less(self.by_suffix[middle], words, ends[open_])
+            at[open_] = np.where(less, middle + 1, at[open_])
+            high[open_] = np.where(less, high[open_], middle)
+        ends, pattern = ends[at < stop], self.by_suffix[at[at < stop]]
+        for j in range(self.m):  # direct comparison, word by word, of those that still agree
+            same = words[ends - (self.m - 1 - j)] == self.patterns[pattern, j]
+            ends, pattern = ends[same], pattern[same]
+        return ends, pattern
+
+    def _less(self, pattern: np.ndarray, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which patterns stand before the windows that end at given positions."""
+        out = np.zeros(len(ends), bool)
+        even = np.arange(len(ends))  # pairs that agree so far
+        for j in range(self.m):
+            own, other = self.patterns[pattern[even], j], words[ends[even] - (self.m - 1 - j)]
+            out[even[own < other]] = True
+            even = even[own == other]
+        return out
 
     def _candidates(self, words: np.ndarray, of: np.ndarray) -> np.ndarray:
         """Positions at which SHIFT is 0, in the order in which lanes reach them."""
@@ -160,6 +174,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_bytes: int =
     """
     spark = docs.sparkSession
     docs = docs.drop("wm")
+    size = benchmark.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0]
+    if (size or 0) > BENCHMARK_BYTES:
+        return _joined(docs, benchmark, n)
     columns = docs.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     state = "struct<n_words: bigint, n_hit: bigint, items: array<string>, bits: binary>"
@@ -172,6 +189,85 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_bytes: int =
     return found.withColumn("wm", F.col("wm").dropFields("bits"))
 
 
+def _windows(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Chunk by chunk: the first text's number, the words' hashes, and the range of each text's words."""
+    for lo, _, data, offs in kernel.chunks(texts):
+        data = kernel.lower_ascii(data)
+        starts, ends, of = kernel.word_bounds(data, offs, kernel.ALNUM)
+        yield lo, kernel.word_hashes(data, starts, ends), of
+
+
+def _patterns(n: int):
+    """Rows (item, text) as windows: their length, hash, words and item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, words, of in _windows(batch.column(1)):
+                for i in range(len(of) - 1):
+                    own = words[of[i] : of[i + 1]]
+                    m = min(n, len(own))
+                    if m:
+                        rows = np.lib.stride_tricks.sliding_window_view(own, m)
+                        raw = [r.tobytes() for r in rows]
+                        item = pa.array([batch.column(0)[lo + i].as_py()] * len(raw), pa.string())
+                        yield pa.RecordBatch.from_arrays([pa.array([m] * len(raw), pa.int32()), pa.array(kernel.window_hashes(own, m).view(np.int64)), pa.array(raw, pa.binary()), item], names=["m", "hash", "words", "item"])
+
+    return run
+
+
+def _positions(lengths: list[int]):
+    """Rows (row, text) as the hashes of all windows of given lengths, with their first word's place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(0).to_numpy()
+            for lo, words, of in _windows(batch.column(1)):
+                text = np.repeat(np.arange(len(of) - 1), np.diff(of))
+                for m in lengths:
+                    hashes = kernel.window_hashes(words, m)
+                    at = np.flatnonzero(text[: len(hashes)] == text[m - 1 :]) if len(hashes) else np.zeros(0, np.int64)
+                    columns = [pa.array(np.full(len(at), m, np.int32)), pa.array(hashes[at].view(np.int64)), pa.array(rows[lo + text[at]]), pa.array((at - of[text[at]]).astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["m", "hash", "row", "at"])
+
+    return run
+
+
+def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, text, list of (at, m, words)) as row, n_words, n_hit and the windows that do occur."""
+    for batch in batches:
+        rows, wanted = batch.column(0), batch.column(2)
+        for lo, words, of in _windows(batch.column(1)):
+            n_words, n_hit, found = [], [], []
+            for i in range(len(of) - 1):
+                own, hit, windows = words[of[i] : of[i + 1]], np.zeros(of[i + 1] - of[i], bool), set()
+                for w in wanted[lo + i].as_py() or []:
+                    if own[w["at"] : w["at"] + w["m"]].tobytes() == w["words"]:
+                        hit[w["at"] : w["at"] + w["m"]] = True
+                        windows.add(w["words"])
+                n_words.append(len(own)); n_hit.append(int(hit.sum())); found.append(sorted(windows))  # noqa: E702
+            part = rows.slice(lo, len(of) - 1)
+            yield pa.RecordBatch.from_arrays([part, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(found, pa.list_(pa.binary()))], names=["row", "n_words", "n_hit", "windows"])
+
+
+def _joined(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
+    """What :func:`hits` gives, for a benchmark that is not sent to executors."""
+    key = next(c for c in map("_row{}".format, range(10**9)) if c not in docs.columns)
+    rows = shared.table(docs.withColumn(key, F.monotonically_increasing_id()), "searched")
+    texts = rows.select(F.col(key).alias("row"), "text")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
+    patterns = shared.table(kernel.map_arrow(items, _patterns(n), "m int, hash bigint, words binary, item string").distinct(), "patterns")
+    lengths = sorted(r["m"] for r in patterns.select("m").distinct().collect())  # n at most
+    found = kernel.map_arrow(texts, _positions(lengths), "m int, hash bigint, row bigint, at int")
+    found = found.join(patterns.select("m", "hash", "words").distinct(), ["m", "hash"]).groupBy("row").agg(F.collect_list(F.struct("at", "m", "words")).alias("found"))
+    searched = texts.join(found, "row", "left").select("row", "text", "found")
+    searched = shared.table(kernel.map_arrow(searched, _confirmed, "row bigint, n_words bigint, n_hit bigint, windows array<binary>"), "confirmed")
+    owners = searched.select("row", F.explode("windows").alias("words")).join(patterns.select("words", "item").where("item is not null"), "words").select("row", "item").distinct()
+    owners = owners.groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    wm = F.struct("n_words", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items")).alias("wm")
+    result = searched.join(owners, "row", "left").select(F.col("row").alias(key + "_"), wm)
+    return rows.join(result, F.col(key) == F.col(key + "_")).select(*[f"`{c}`" for c in docs.columns], "wm")
+
+
 def _pass(sent, columns: list[str], last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = sent.value

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from graphloom.llm import byte_bpe, html_text, language_id, toxicity, url_filter, wu_manber
+from graphloom.llm import byte_bpe, html_text, kernel, language_id, toxicity, url_filter, wu_manber
 
 DOCS = "doc_id bigint, text string"
 
@@ -45,12 +45,13 @@ def hit_fixture():
     return items, texts
 
 
-def test_windows_against_brute_force(spark):
+def test_windows_against_brute_force(spark, monkeypatch):
     items, texts = hit_fixture()
     docs = spark.createDataFrame(list(enumerate(texts)), DOCS).selectExpr("*", "'clash' AS wm").repartition(3)
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     want = brute_hits(texts, items)
-    for block_bytes in (wu_manber.BLOCK_BYTES, 1):
+    for block_bytes, all_bytes in ((wu_manber.BLOCK_BYTES, wu_manber.BENCHMARK_BYTES), (1, wu_manber.BENCHMARK_BYTES), (1, 0)):
+        monkeypatch.setattr(wu_manber, "BENCHMARK_BYTES", all_bytes)
         got = wu_manber.hits(docs, bench, 10, block_bytes).collect()
         assert {r["doc_id"]: (r["wm"]["n_words"], r["wm"]["n_hit"], r["wm"]["items"]) for r in got} == dict(enumerate(want))
     clean = wu_manber.decontaminate(docs.drop("wm"), bench)
@@ -58,6 +59,46 @@ def test_windows_against_brute_force(spark):
     assert clean.columns == ["doc_id", "text"]
 
 
+def test_full_suffix_buckets_are_searched_by_halves():
+    r = np.random.default_rng(7)
+    patterns = np.unique(np.concatenate([r.integers(0, 50, (60_000, 8)), np.full((60_000, 2), 7)], axis=1).astype(np.uint64), axis=0)
+    words = r.integers(0, 50, 200_000).astype(np.uint64)
+    words[9::10] = words[8::10] = 7  # one ending throughout
+    at = r.integers(0, len(words) // 10, 500) * 10
+    for x, p in zip(at, r.integers(0, len(patterns), 500), strict=True):
+        words[x : x + 10] = patterns[p]
+    begun = time.monotonic()
+    ends, which = wu_manber.Searcher(patterns).find(words, np.array([0, len(words)]))
+    assert time.monotonic() - begun < 10
+    known = {tuple(p): i for i, p in enumerate(patterns.tolist())}
+    windows = np.lib.stride_tricks.sliding_window_view(words, 10).tolist()
+    assert dict(zip(ends.tolist(), which.tolist(), strict=True)) == {i + 9: known[tuple(w)] for i, w in enumerate(windows) if tuple(w) in known}
+
+
+def test_long_texts_give_what_short_ones_do(monkeypatch):
+    """A chunk size far below the texts' changes nothing: hashes, windows, languages; rates but for marks at the cuts."""
+    r = random.Random(4)
+    text = " ".join("".join(r.choices("abcdé", k=r.randint(1, 9))) for _ in range(4000)) + " " + "x" * 9000
+    data = np.frombuffer(text.encode(), np.uint8)
+    starts, ends, _ = kernel.word_bounds(data, np.array([0, len(data)]), kernel.NOT_SPACE)
+    whole, model = kernel.word_hashes(data, starts, ends), language_id.Model(["a", "b"], np.zeros(2), np.random.default_rng(1).normal(size=(language_id.BINS, 2)))
+    rates, predicted = toxicity.features(data, np.array([0, len(data)]), toxicity._EMPTY), model.predict([text, "b", text])
+    tok = byte_bpe.Tokenizer(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    ids = tok.encode_batch([text, "b"])
+    for name, value in (("CHUNK", 4096),):
+        monkeypatch.setattr(kernel, name, value)
+    monkeypatch.setattr(language_id, "_BATCH", 1000)
+    monkeypatch.setattr(byte_bpe, "LONG", 100)
+    monkeypatch.setattr(byte_bpe, "QUERY_ROWS", 700)
+    assert (kernel.word_hashes(data, starts, ends) == whole).all()
+    cuts = list(kernel.pieces(data, kernel.ALNUM, 4096))
+    assert cuts[0][0] == 0 and cuts[-1][1] == len(data) and all(a < b <= a + 4096 for a, b in cuts) and all(x[1] == y[0] for x, y in zip(cuts, cuts[1:], strict=False))
+    again = model.predict([text, "b", text])
+    assert again[0] == predicted[0] and np.allclose(again[1], predicted[1])
+    assert np.allclose(toxicity.features(data, np.array([0, len(data)]), toxicity._EMPTY), rates, rtol=0.01)
+    assert tok.encode_batch([text, "b"]) == ids and tok.decode_batch(ids) == [text.encode(), b"b"]
+
+
 def test_windows_of_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, "a b")], DOCS), spark.createDataFrame([], "item_id bigint, text string")
     assert wu_manber.hits(docs, bench).first()["wm"]["n_hit"] == 0
