@@ -44,6 +44,8 @@ MOST = 1 << 21
 COMBINED = 600_000
 #: Distinct segments of a gram beyond which it is dealt by window.
 HOT = 50_000
+#: Grams (16 bytes each) that are dealt by window up to which their list is broadcast.
+BROADCAST_GRAMS = 250_000
 
 _POS = np.uint64((1 << 20) - 1)
 _TILE = 1 << 19
@@ -256,26 +258,22 @@ def repeated(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
     return [out[a : a + max(n - length + 1, 0)] for a, n in zip(start.tolist(), sizes.tolist(), strict=True)]
 
 
-def _bytes_of(hot) -> object:
-    """Rows (text, doc, list of (gram, first, last)) as (window, key, doc, first, bytes); grams in ``hot`` by window."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            docs, wanted = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for lo, _, data, offs in kernel.chunks(batch.column(0)):
-                window, key, doc, first, raw = [], [], [], [], []
-                for i in range(len(offs) - 1):
-                    own = data[offs[i] : offs[i + 1]].tobytes()
-                    for w in wanted[lo + i]:
-                        spans = [(w["gram"], w["first"], w["last"])]
-                        if w["gram"] in hot.value:
-                            spans = [(_window_key(own[p : p + LENGTH]), p, p) for p in range(w["first"], w["last"] + 1)]
-                        for k, a, b in spans:
-                            if b + LENGTH <= len(own):
-                                window.append(w["gram"] in hot.value); key.append(k); doc.append(docs[lo + i]); first.append(a); raw.append(own[a : b + LENGTH])  # noqa: E702
-                yield pa.RecordBatch.from_arrays([pa.array(window, pa.bool_()), pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(first, pa.int32()), pa.array(raw, pa.binary())], names=["window", "key", "doc", "first", "raw"])
-
-    return run
+def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, doc, list of (gram, first, last, hot)) as (window, key, doc, first, bytes); hot grams by window."""
+    for batch in batches:
+        docs, wanted = batch.column(1).to_pylist(), batch.column(2)
+        for lo, _, data, offs in kernel.chunks(batch.column(0)):
+            window, key, doc, first, raw = [], [], [], [], []
+            for i in range(len(offs) - 1):
+                own = data[offs[i] : offs[i + 1]].tobytes()
+                for w in wanted[lo + i].as_py():
+                    spans = [(w["gram"], w["first"], w["last"])]
+                    if w["hot"]:
+                        spans = [(_window_key(own[p : p + LENGTH]), p, p) for p in range(w["first"], w["last"] + 1)]
+                    for k, a, b in spans:
+                        if b + LENGTH <= len(own):
+                            window.append(w["hot"]); key.append(k); doc.append(docs[lo + i]); first.append(a); raw.append(own[a : b + LENGTH])  # noqa: E702
+            yield pa.RecordBatch.from_arrays([pa.array(window, pa.bool_()), pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(first, pa.int32()), pa.array(raw, pa.binary())], names=["window", "key", "doc", "first", "raw"])
 
 
 def _window_key(window: bytes) -> int:
@@ -339,7 +337,6 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     left out. Rows that share a doc_id are one document's; a window that starts where its equal starts
     is not earlier, so repeated rows do not repeat each other.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
     met = kernel.map_arrow(docs, _sent, _SENT).repartition("gram").sortWithinPartitions("kind", "gram", "hashed", "doc", "first")
     met = shared.table(kernel.map_arrow(met, _met, "kind tinyint, gram bigint, doc bigint, first int, last int"), "segments")
@@ -347,11 +344,11 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     # Grams with over `hot` segments are fewer than all segments / hot, those with over MOST symbols fewer than all symbols / MOST.
     symbols = F.sum(F.col("last") - F.col("first") + F.lit(LENGTH + 1))
     sizes = open_.groupBy("gram").agg(F.count("*").alias("n"), symbols.alias("symbols"))
-    grams = {r["gram"] for r in sizes.where((F.col("n") > hot) | (F.col("symbols") > MOST)).select("gram").toLocalIterator()}
-    sent = spark.sparkContext.broadcast(frozenset(grams))
-    wanted = open_.groupBy("doc").agg(F.collect_list(F.struct("gram", "first", "last")).alias("wanted"))
+    large = shared.table(sizes.where((F.col("n") > hot) | (F.col("symbols") > MOST)).select("gram", F.lit(True).alias("hot")), "hot-grams")
+    large = F.broadcast(large) if large.count() <= BROADCAST_GRAMS else large
+    wanted = open_.join(large, "gram", "left").groupBy("doc").agg(F.collect_list(F.struct("gram", "first", "last", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
     raw = docs.join(wanted, docs["doc_id"] == wanted["doc"]).select("text", "doc", "wanted")
-    raw = kernel.map_arrow(raw, _bytes_of(sent), "window boolean, key bigint, doc bigint, first int, raw binary")
+    raw = kernel.map_arrow(raw, _bytes_of, "window boolean, key bigint, doc bigint, first int, raw binary")
     more = kernel.map_arrow(raw.repartition("key").sortWithinPartitions("window", "key", "doc", "first"), _sorted, "doc bigint, first int, last int")
     return met.where("kind = 1").select("doc", "first", "last").unionByName(more)
 
