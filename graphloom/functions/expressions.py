@@ -134,16 +134,21 @@ class Scope:
             raise Unsupported(f"unknown function {name}")
         return method(*args)
 
+    @staticmethod
+    def _texts(args: tuple) -> tuple[str | None, str | None]:
+        """The first two arguments where they are constants."""
+        return tuple(a.lex if isinstance(a, Literal) else None for a in args[:2])
+
     def _geo(self, name: str, args: tuple) -> Typed:
         if name == "distance":
             if len(args) < 2:
                 return F.lit(None).cast("double"), DOUBLE
             unit = args[2].value if len(args) > 2 and isinstance(args[2], IRI) else "metre"
-            return geo.distance(self.wkt(args[0]), self.wkt(args[1]), unit), DOUBLE
+            return geo.in_unit(geo.by_constant(name, self.wkt(args[0]), self.wkt(args[1]), self._texts(args)), unit), DOUBLE
         if name in geo.PREDICATES:
             if len(args) < 2:
                 return F.lit(None).cast("boolean"), BOOLEAN
-            return geo.predicate(name, self.wkt(args[0]), self.wkt(args[1])), BOOLEAN
+            return geo.by_constant(name, self.wkt(args[0]), self.wkt(args[1]), self._texts(args)), BOOLEAN
         if name == "envelope":
             return geo.envelope(self.wkt(args[0])), Kind("literal", WKT)
         if name == "buffer":

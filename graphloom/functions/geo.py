@@ -3,11 +3,15 @@
 A geometry is a struct of its kind and its rings or paths (arrays of points). Regions follow the
 even-odd rule over all rings, which covers holes and multi-polygons; borders belong to a geometry.
 All of it runs in the JVM: parsing splits strings, predicates are higher-order array functions, and a
-test of bounding boxes comes first, since it is cheap and settles most pairs.
+test of bounding boxes comes first, since it is cheap and settles most pairs. Where one side is a constant
+point or polygon, rows that are points are tested by plain arithmetic with its numbers.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,9 +69,13 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return 2 * RADIUS * let(a, lambda x: F.asin(F.sqrt(F.when(x > 1, F.lit(1.0)).otherwise(x))))
 
 
-def distance(a: Column, b: Column, unit: str = "metre") -> Column:
+def distance(a: Column, b: Column) -> Column:
+    """Metres between the centres of two geometries."""
+    return let(centre(geometry(a)), lambda p: let(centre(geometry(b)), lambda q: haversine(p["y"], p["x"], q["y"], q["x"])))
+
+
+def in_unit(metres: Column, unit: str) -> Column:
     name = unit.rstrip("/>").rsplit("/", 1)[-1].lower()
-    metres = let(centre(geometry(a)), lambda p: let(centre(geometry(b)), lambda q: haversine(p["y"], p["x"], q["y"], q["x"])))
     if name == "radian":
         return metres / RADIUS
     if name == "degree":
@@ -192,6 +200,63 @@ def predicate(name: str, a: Column, b: Column) -> Column:
     return _with(a, b, PREDICATES[name])
 
 
+#: Corners of a constant polygon up to which points are tested against its numbers.
+MOST_CORNERS = 200
+_CRS = r"\s*(?:<[^>]*>\s*)?"
+_ONE_POINT = rf"(?i)^{_CRS}POINT\s*\(\s*({_NUMBER})\s+({_NUMBER})\s*\)\s*$"
+
+
+def _corners(text: str) -> list[tuple[float, float]] | None:
+    """The points of a constant point or of a polygon with one ring."""
+    found = re.fullmatch(rf"(?is){_CRS}(?:POINT\s*\(([^()]*)\)|POLYGON\s*\(\s*\(([^()]*)\)\s*\))\s*", text)
+    if not found:
+        return None
+    pairs = [p.split() for p in (found[1] or found[2] or "").split(",")]
+    if not all(len(p) == 2 and all(re.fullmatch(_NUMBER, n) for n in p) for p in pairs):
+        return None
+    out = [(float(x), float(y)) for x, y in pairs]
+    return out if (found[1] and len(out) == 1) or (found[2] and 4 <= len(out) <= MOST_CORNERS and out[0] == out[-1]) else None
+
+
+def _coordinate(wkt: Column, n: int) -> Column:
+    return F.regexp_extract(wkt, _ONE_POINT, n).try_cast("double")
+
+
+def _holds(corners: list[tuple[float, float]], x: Column, y: Column) -> Column:
+    """Whether a polygon with these corners holds a point, on its border too."""
+    xs, ys = [c[0] for c in corners], [c[1] for c in corners]
+    near = 1e-12
+    box = (x >= min(xs) - near) & (x <= max(xs) + near) & (y >= min(ys) - near) & (y <= max(ys) + near)
+    border, crossed = F.lit(False), []
+    for (ax, ay), (bx, by) in zip(corners, corners[1:], strict=False):
+        on = F.abs((bx - ax) * (y - ay) - (by - ay) * (x - ax)) < near
+        on = on & (x >= min(ax, bx) - near) & (x <= max(ax, bx) + near) & (y >= min(ay, by) - near) & (y <= max(ay, by) + near)
+        border = border | on
+        if ay != by:
+            crossed.append((((y < ay) != (y < by)) & (x < (bx - ax) * ((y - ay) / (by - ay)) + ax)).cast("int"))
+    return box & (border | (reduce(lambda p, q: p + q, crossed, F.lit(0)) % 2 == 1))
+
+
+def by_constant(name: str, a: Column, b: Column, known: tuple[str | None, str | None]) -> Column:
+    """A predicate or the distance in metres of two texts, of which those in ``known`` are constants."""
+    plain = distance(a, b) if name == "distance" else predicate(name, a, b)
+    # Which side may be the point: for the distance and for what is symmetrical, either.
+    for constant, other, side in ((known[1], a, "sfWithin"), (known[0], b, "sfContains")):
+        corners = _corners(constant) if constant else None
+        if corners is None or name not in ("distance", side, "sfIntersects", "sfDisjoint") or (len(corners) == 1) != (name == "distance"):
+            continue
+        x, y = _coordinate(other, 1), _coordinate(other, 2)
+        if name == "distance":
+            (cx, cy), = corners
+            part = F.pow(F.sin(F.radians(cy - y) / 2), 2) + F.cos(F.radians(y)) * F.cos(F.radians(F.lit(cy))) * F.pow(F.sin(F.radians(cx - x) / 2), 2)
+            fast = 2 * RADIUS * F.asin(F.sqrt(F.least(F.lit(1.0), part)))
+        else:
+            fast = _holds(corners, x, y)
+            fast = ~fast if name == "sfDisjoint" else fast
+        return F.when(x.isNotNull() & y.isNotNull(), fast).otherwise(plain)
+    return plain
+
+
 def envelope(a: Column) -> Column:
     """The bounding box as a WKT polygon."""
     n = lambda c: F.format_string("%s", c.cast("string"))

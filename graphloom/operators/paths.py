@@ -85,12 +85,14 @@ def _name(term: A.Term) -> str | None:
 
 
 def closure(c: Compiler, p: A.Closure, s: A.Term, o: A.Term) -> DataFrame:
-    edges = pairs(c, p.path)
     start, end = _name(s), _name(o)
-    if p.bound:
-        reached = edges.distinct()
+    if (start or end) and not p.bound and c.graph_variable is None:
+        reached = _walk(c, p.path, start, end)
+    elif p.bound:
+        reached = pairs(c, p.path).distinct()
     else:
         # From a known end only few edges are read, a scan a round; else all are, so they are kept.
+        edges = pairs(c, p.path)
         reached = reach(edges if start or end else checkpoint(edges.distinct()), start=start, end=end)
     if p.least == 0:
         known = start or end
@@ -104,6 +106,47 @@ def closure(c: Compiler, p: A.Closure, s: A.Term, o: A.Term) -> DataFrame:
     return reached
 
 
+#: Newest nodes of a walk from a known end up to which their patterns are planned one by one, each with a constant end.
+FEW_NODES = 8
+
+
+def _walk(c: Compiler, path: Any, start: str | None, end: str | None) -> DataFrame:
+    """(a, b) of :func:`reach` from a known end: while few nodes are new, their keys reach the scans; then by rounds over all edges."""
+    backwards, known = start is None, start or end
+    seen: list[str] = []
+    newest = [known]
+    while newest and len(newest) <= FEW_NODES:
+        v = _var("n")
+        steps = [c.compile(A.BGP([A.Triple(v, path, IRI(x)) if backwards else A.Triple(IRI(x), path, v)])) for x in newest]
+        parts = []
+        for found in steps:
+            col, kind = found.typed(v.name)
+            if kind.form != "literal":  # literals are no ends of further steps
+                df = found.df.where(col["kind"] != 3) if kind.form == "box" else found.df
+                parts.append(df.select(lexical(col, kind).alias("node")))
+        if not parts:
+            newest = []
+            break
+        nodes = parts[0]
+        for p in parts[1:]:
+            nodes = nodes.union(p)
+        # With more than a bounded number, the rest is a frame's work.
+        got = [r[0] for r in nodes.where("node is not null").distinct().limit(MOST_NODES + 1).collect()]
+        if len(got) > MOST_NODES:
+            break
+        newest = [x for x in got if x not in seen]
+        seen += newest
+    row = (lambda x: (x, known)) if backwards else (lambda x: (known, x))
+    held = c.spark.createDataFrame([row(x) for x in seen], "a string, b string")
+    if not newest:
+        return held
+    return reach(pairs(c, path), start=start, end=end)
+
+
+#: Nodes that come to the driver at once in such a walk, at most.
+MOST_NODES = 1000
+
+
 def reach(edges: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """All (a, b) with a walk of one edge or more from a to b; from ``start`` or to ``end`` only, if given. Walks stay in a graph if edges name theirs (g)."""
     graph = ["g"] if "g" in edges.columns else []

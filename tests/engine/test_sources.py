@@ -82,7 +82,7 @@ def test_spatial_predicates(spark, name, a, b, want):
 def test_distances(spark):
     there = value(spark, geo.distance(F.lit("POINT(2.35 48.85)"), F.lit(" Point( 13.40   52.52 ) ")))
     assert 870_000 < there < 885_000
-    assert abs(value(spark, geo.distance(F.lit("POINT(0 0)"), F.lit("POINT(0 1)"), "http://www.opengis.net/def/uom/OGC/1.0/degree")) - 1) < 1e-9
+    assert abs(value(spark, geo.in_unit(geo.distance(F.lit("POINT(0 0)"), F.lit("POINT(0 1)")), "http://www.opengis.net/def/uom/OGC/1.0/degree")) - 1) < 1e-9
     assert value(spark, geo.latitude(F.lit("POLYGON((0 0, 4 0, 4 2, 0 2, 0 0))"))) == 1.0
     assert value(spark, geo.distance(F.lit("POINT(x)"), F.lit("POINT(0 0)"))) is None
     assert value(spark, geo.envelope(F.lit("LINESTRING(0 0, 2 3)"))) == "POLYGON((0.0 0.0, 2.0 0.0, 2.0 3.0, 0.0 3.0, 0.0 0.0))"
@@ -135,3 +135,18 @@ def test_files_are_read_and_written_by_tasks(spark, tmp_path):
     q = "SELECT ?s ?o WHERE { ?s :p ?o FILTER(!isBlank(?o)) }"
     assert again.size() == 15 and sorted(map(str, again.query(q).collect())) == sorted(map(str, g.query(q).collect()))
     assert again.query("SELECT ?s WHERE { ?s :p ?x . ?x :q ?s }").count() in (0, 1, 2, 3)
+
+
+def test_constant_shapes_give_what_others_do(spark):
+    """Points against a constant polygon or point, as constants and as columns of the same text."""
+    shapes = ["POLYGON((0 0, 10 0, 10 10, 5 4, 0 10, 0 0))", "POLYGON((-1 -1, 3.5 0, 2 9, -1 -1))", "POINT(3 3)", "<urn:crs> polygon ((0 0, 4 0, 4 4, 0 0))", "POLYGON((0 0, 9 0, 9 9, 0 0), (1 1, 2 1, 2 2, 1 1))"]
+    points = [f"POINT({x} {y})" for x in (-2, 0, 2, 3, 3.5, 5, 10) for y in (-1, 0, 1, 3, 4, 9, 10)] + ["LINESTRING(0 0, 3 3)", "nonsense", "point( 1  2 )", "POLYGON((1 1, 2 1, 2 2, 1 1))"]
+    df = spark.createDataFrame([(p,) for p in points], "w string")
+    for shape in shapes:
+        for name in ("sfWithin", "sfContains", "sfIntersects", "sfDisjoint", "distance", "sfTouches"):
+            for flipped in (False, True):
+                a, b = (F.lit(shape), F.col("w")) if flipped else (F.col("w"), F.lit(shape))
+                fast = geo.by_constant(name, a, b, (shape, None) if flipped else (None, shape))
+                slow = geo.by_constant(name, a, b, (None, None))
+                rows = df.select("w", fast.alias("x"), slow.alias("y")).collect()
+                assert all(r["x"] == r["y"] or (name == "distance" and r["x"] is not None and abs(r["x"] - r["y"]) < 1e-6) for r in rows), (shape, name, flipped)
