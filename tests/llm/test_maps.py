@@ -6,6 +6,7 @@ import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -324,3 +325,103 @@ def test_url_rows_repeat_and_tables_may_be_empty(spark):
     assert got == [(0, "block"), (1, "allow"), (1, "block"), (1, "block")]
     assert url_filter.judge(pages.limit(0), rules).count() == 0
     assert {r["verdict"] for r in url_filter.judge(pages, rules.limit(0), "block").collect()} == {"block"}
+
+
+# Brute force ----------------------------------------------------------------------------------------
+def naive_rates(text, odds, person):
+    """The features of a text by plain Python; odds: of terms (word, or beginning with its length)."""
+    raw = (text or "").encode()
+    lower = bytes(b + 32 if 65 <= b <= 90 else b for b in raw)
+    spans = [m.span() for m in re.finditer(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)]
+    words = [lower[a:b] for a, b in spans]
+    whole = [odds.get((0, w), 0.0) for w in words]
+    begin = [max([0.0, *(odds.get((n, w[:n]), 0.0) for n in toxicity.BEGINNINGS if len(w) > n)]) for w in words]
+    best = [max(a, b) for a, b in zip(whole, begin, strict=True)]
+    you = [w in person for w in words]
+    near = sum(o > 0 and any(you[max(0, i - toxicity.NEAR) : i + toxicity.NEAR + 1]) for i, o in enumerate(best))
+    n, hits, size = max(len(words), 1), sum(o > 0 for o in best), max(len(raw), 1)
+    upper = [65 <= b <= 90 for b in raw]
+    letter = [u or 97 <= b <= 122 or b >= 128 for u, b in zip(upper, raw, strict=True)]
+    digit = [48 <= b <= 57 for b in raw]
+    inner = [0 < i < len(raw) - 1 and letter[i - 1] and letter[i + 1] for i in range(len(raw))]
+    return [
+        np.log1p(len(words)), sum(o > 0 for o in whole) / n, sum(o > 0 for o in begin) / n, max([0.0, *best]), sum(best) / n, np.log1p(hits), near / max(hits, 1), sum(you) / n,
+        sum(upper) / max(sum(letter), 1), sum(b - a > 1 and all(upper[a:b]) for a, b in spans) / n, sum(b in b"!?" for b in raw) / size,
+        sum(not letter[i] and not digit[i] and b > 32 for i, b in enumerate(raw)) / size, sum(digit) / size, sum(x and b in b"*@$#" for x, b in zip(inner, raw, strict=True)) / n,
+        sum(x and d for x, d in zip(inner, digit, strict=True)) / n,
+    ]
+
+
+def test_toxicity_rates_against_plain_python():
+    r = random.Random(12)
+    vocabulary = ["you", "your", "idiot", "IDIOT", "id1ot", "f*ol", "good", "Tag", "dé", "moron", "x", "!!!", "2024", "..."]
+    texts = ["", "...", "you"] + [r.choice([" ", ", "]).join(r.choices(vocabulary, k=r.randint(1, 40))) for _ in range(120)]
+    terms = {(0, b"idiot"): 2.0, (0, b"moron"): 1.5, (0, b"id1ot"): 0.7, **{(n, b"moron"[:n]): 0.5 + n / 10 for n in toxicity.BEGINNINGS if n <= 5}}
+    data, offs = kernel.string_buffers(pa.array([w.decode() + "z" * (n > 0) for n, w in terms]))  # a beginning is of longer words
+    sums = kernel.prefix_sums(data)
+    hashes = np.concatenate([toxicity._terms(sums, offs[i : i + 1], offs[i + 1 : i + 2], n)[0] for i, (n, _) in enumerate(terms)])
+    lexicon = toxicity.Lexicon(hashes, np.array(list(terms.values())))
+    person = {w.encode() for w in toxicity.SECOND_PERSON}
+    data, offs = kernel.string_buffers(pa.array(texts))
+    assert np.allclose(toxicity.features(data, offs, lexicon), [naive_rates(t, terms, person) for t in texts])
+
+
+def test_trees_against_exhaustive_splits():
+    """A tree's first split is the best of all cuts at its quantiles, and rows are walked as by hand."""
+    r = np.random.default_rng(3)
+    x = np.round(r.normal(size=(300, 4)), 2)
+    y = ((x[:, 1] > 0.4) ^ (r.random(300) < 0.1)).astype(float)
+    trees = toxicity.Trees(rounds=2, depth=2).fit(x, y)
+    p = y.mean()
+    grad, hess = y - p, np.full(300, p * (1 - p))
+    best = max(
+        ((grad[low].sum() ** 2 / (hess[low].sum() + 1) + grad[~low].sum() ** 2 / (hess[~low].sum() + 1)), j, cut)
+        for j in range(4)
+        for cut in np.unique(np.quantile(x[:, j], np.linspace(0, 1, trees.bins + 1)[1:-1]))
+        for low in [x[:, j] <= cut]
+        if trees.least <= low.sum() <= 300 - trees.least
+    )
+    assert trees.trees[0][0][:2] == (best[1], best[2])
+
+    def walk(nodes, row, at=0):
+        j, cut, left, right = nodes[at]
+        return cut if j < 0 else walk(nodes, row, left if row[j] <= cut else right)
+
+    assert np.allclose(trees.raw(x), [trees.base + sum(walk(t, row) for t in trees.trees) for row in x])
+
+
+def naive_grams(text):
+    out = []
+    code = [c if c.isalpha() else " " for c in f" {text.lower()} "]
+    for a, b in zip(code, code[1:], strict=False):
+        if a != " " or b != " ":
+            out.append(a + b)
+    out += [a + b + c for a, b, c in zip(code, code[1:], code[2:], strict=False) if b != " "]
+    return out
+
+
+def test_languages_against_plain_counts(spark):
+    r = random.Random(13)
+    alphabets = {"en": "abcdefgh etaoin", "de": "äöüß nrstei", "xx": "klmnopq aei"}
+    rows = [(i, speech(r, alphabets[lang], r.randint(1, 15)), lang) for i, lang in enumerate(r.choices(sorted(alphabets), k=90))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    model = language_id.fit(df)
+    counts = {lang: {} for lang in alphabets}
+    for _, text, lang in rows:
+        for g in naive_grams(text):
+            counts[lang][g] = counts[lang].get(g, 0) + 1
+    new = ["", "123", *(speech(r, alphabets[r.choice(sorted(alphabets))], 6) for _ in range(60))]
+    got = model.predict(new)
+    for text, lang, score in zip(new, *got, strict=True):
+        grams = naive_grams(text)
+        if not any(c.isalpha() for c in text):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        total = {x: np.log(sum(lang == x for *_, lang in rows) / len(rows)) for x in counts}
+        weight = min(1.0, language_id.EVIDENCE / len(grams))
+        for x, own in counts.items():
+            size = sum(own.values()) + language_id.ALPHA * language_id.BINS
+            total[x] += sum(np.log((own.get(g, 0) + language_id.ALPHA) / size) for g in grams)
+        assert lang == max(sorted(total), key=total.get)
+        share = np.exp([(v - total[lang]) * weight for v in total.values()])
+        assert abs(score - 1 / share.sum()) < 0.02
