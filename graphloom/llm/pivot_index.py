@@ -6,13 +6,14 @@ lists that two vectors share finds the candidates: those with ``SHARED`` pivots
 They are verified by cosine in double precision. A pair that meets in several lists counts in that of
 its first common pivot only, so counts of links are exact sums over tasks.
 
-A list is one task. One of over ``BLOCK`` vectors is split by a further pivot of each vector, as candidates have
-two in common: a vector then stands in a list for each pair of its pivots, and a pair counts in that of its
-first two common ones, so nothing is lost. What is still longer is dealt to blocks of which every two meet.
+A list is one task, or, with over ``BLOCK`` vectors, dealt to blocks of which every two meet in a task. One of over
+``LONG`` is split first by a further pivot of each vector, as candidates have two in common: a vector then stands
+in a list for each pair of its pivots, and a pair counts in that of its first two common ones, so nothing is lost.
 
 Equal vectors are one node with a multiplicity, however many there are. With n vectors there are 2 root n
-pivots up to 4,096, and 0.3 root n where that is more. Lists of two pivots have about 90 n / pivots**2 vectors, so
-1,000 at most whatever n is, but for vectors that are truly close together: comparisons grow with n, and pivots, the
+pivots up to 4,096, and 0.3 root n where that is more. Lists have about 5 root n vectors up to ten million vectors; beyond
+that they are split, and lists of two pivots have about 90 n / pivots**2, so 1,000 at most whatever n is, but for vectors
+that are truly close together. Comparisons so grow with n**1.5 first and with n in the end, and pivots, the
 only thing that is broadcast, with its root. Vectors of each length have pivots, and so lists, of their own.
 """
 
@@ -34,8 +35,9 @@ NEAREST, SHARED = 10, 2
 PIVOTS_PER_ROOT, LEAST_PIVOTS, MANY_PIVOTS, FURTHER_PER_ROOT = 2.0, 32, 4096, 0.3
 #: Memory of the pivots of one length of vectors, at most; lists grow again where it stops the pivots (at 64 numbers, beyond 10**12 vectors).
 PIVOT_BYTES = 256 << 20
-#: Vectors in a list, or in a block of one.
+#: Vectors in a list, or in a block of one, that meet in a task; and vectors of a list beyond which it is split by a second pivot.
 BLOCK = 1024
+LONG = 16 * BLOCK
 #: Long lists that are broadcast to the vectors' rows, at most; with more, they are joined.
 BROADCAST_LISTS = 200_000
 
@@ -192,12 +194,12 @@ def classes(vectors: DataFrame, cosine: float = 0.95, k: int = NEAREST) -> DataF
     described = kernel.map_arrow(nodes.select("node", "many", "vector"), describe, "node bigint, many bigint, vector array<double>, near array<int>")
     described = shared.table(described, "described")
     # A row for each pivot is broadcast: whether its list is long.
-    lists = described.select(F.explode("near").alias("pivot")).groupBy("pivot").agg((F.count("*") > BLOCK).alias("long"))
+    lists = described.select(F.explode("near").alias("pivot")).groupBy("pivot").agg((F.count("*") > LONG).alias("long"))
     posted = described.withColumn("pivot", F.explode("near")).join(F.broadcast(lists), "pivot")
     second = F.when(F.col("long"), F.filter("near", lambda q: q > F.col("pivot"))).otherwise(F.array(F.lit(-1)))
     posted = posted.withColumn("second", F.explode(second))
-    long = posted.where("second >= 0").groupBy("pivot", "second").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
-    sizes = shared.table(long.select("pivot", "second", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "long-lists")
+    large = posted.groupBy("pivot", "second").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    sizes = shared.table(large.select("pivot", "second", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "long-lists")
     posted = posted.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_LISTS else sizes, ["pivot", "second"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     posted = posted.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     task = F.xxhash64("pivot", "second", F.least("mine", "other"), F.greatest("mine", "other")).alias("task")

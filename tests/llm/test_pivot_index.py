@@ -66,11 +66,12 @@ def test_each_length_is_linked_within_itself(spark):
 def test_lists_of_two_pivots_lose_nothing(spark, monkeypatch):
     df = spark.createDataFrame(vectors(3), "vec_id bigint, embedding array<float>").repartition(3)
     results = []
-    for block, broadcast in ((1 << 20, 100), (64, 100), (7, 0)):
+    for block, long, broadcast in ((1 << 20, 1 << 20, 100), (64, 64, 100), (64, 1 << 20, 100), (7, 20, 0)):
         monkeypatch.setattr(pivot_index, "BLOCK", block)
+        monkeypatch.setattr(pivot_index, "LONG", long)
         monkeypatch.setattr(pivot_index, "BROADCAST_LISTS", broadcast)
         results.append(sorted(tuple(r) for r in pivot_index.classes(df).collect()))
-    assert results[0] == results[1] == results[2]
+    assert all(r == results[0] for r in results)
 
 
 def test_pivots_grow_with_the_vectors():
