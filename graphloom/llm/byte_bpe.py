@@ -160,35 +160,40 @@ class Tokenizer:
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of new pieces."""
-        found: dict[str, bytes] = {}
-        parts: dict[bytes, bytes] = {}
+        found: dict[str | bytes, bytes] = {}  # of parts of long pieces too, by their bytes
         long: list[tuple[str, list[bytes]]] = []
-        todo: dict[bool, list[bytes]] = {False: [], True: []}
+        todo: dict[bool, tuple[list[str | bytes], list[bytes]]] = {False: ([], []), True: ([], [])}
         held = {False: 0, True: 0}
 
+        def add(name: str | bytes, raw: bytes) -> None:
+            every = len(raw) > SHORT
+            if held[every] + len(raw) > QUERY_ROWS:
+                merge(every)
+            todo[every][0].append(name)
+            todo[every][1].append(raw)
+            held[every] += len(raw)
+
         def merge(every: bool) -> None:
-            if todo[every]:
-                parts.update(zip(todo[every], self._merge(todo[every], every), strict=True))
-            todo[every], held[every] = [], 0
+            names, raws = todo[every]
+            if names:
+                found.update(zip(names, self._merge(raws, every), strict=True))
+            todo[every], held[every] = ([], []), 0
 
         for piece in pieces:
             raw = piece.encode()
             if (rank := self.ranks.get(raw)) is not None:
                 found[piece] = rank.to_bytes(4, "little")
-                continue
-            own = [raw] if len(raw) <= SHORT else self._parts(raw)
-            long.append((piece, own))
-            for part in own:
-                if part not in parts:
-                    parts[part] = b""  # waits for its query
-                    every = len(part) > SHORT
-                    if held[every] + len(part) > QUERY_ROWS:
-                        merge(every)
-                    todo[every].append(part)
-                    held[every] += len(part)
+            elif len(raw) <= SHORT:
+                add(piece, raw)
+            else:
+                long.append((piece, self._parts(raw)))
+        for part in {part for _, own in long for part in own}:
+            add(part, part)
         merge(False)
         merge(True)
-        found.update((piece, b"".join(map(parts.__getitem__, own))) for piece, own in long)
+        found.update([(piece, b"".join(map(found.__getitem__, own))) for piece, own in long])
+        for part in {part for _, own in long for part in own}:
+            del found[part]
         return found
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
