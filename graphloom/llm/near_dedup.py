@@ -441,10 +441,15 @@ def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     texts: of a class's, that of the least digest stays; of rows that share the text too, and of rows with
     a null doc_id and one text, one.
     """
-    kept = _labelled(docs, k, percent).where("kept and doc_id is not null").select("doc_id", "copy", "root")
+    labelled = _labelled(docs, k, percent).where("doc_id is not null")
+    # Rows that share id and text; most corpora have none, and only such rows need to meet.
+    repeated = shared.table(labelled.groupBy("doc_id", "copy").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("kept_id"), F.col("copy").alias("kept_copy")), "repeated")
+    kept = labelled.where("kept").select("doc_id", "copy", "root")
     first = kept.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "copy")).alias("row")).select("row.*")
     kept = first.union(kept.where("root is null").select("doc_id", "copy")).distinct().toDF("kept_id", "kept_copy")
     same = (F.col("doc_id") == F.col("kept_id")) & _copy().eqNullSafe(F.col("kept_copy"))
-    named = docs.where("doc_id is not null").join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    named = docs.where("doc_id is not null").join(kept, same, "left_semi")
+    if not repeated.isEmpty():
+        named = named.join(repeated, same, "left_anti").unionByName(named.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
     nameless = docs.where("doc_id is null")
     return named.unionByName(nameless.dropDuplicates(["text"]))
