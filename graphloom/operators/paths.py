@@ -2,8 +2,9 @@
 
 Sequences and inverses become triple patterns; alternatives are unions. Closures are sets of node
 pairs found by a semi-naive loop: each round joins the newest pairs with the edges and keeps what is
-new, until nothing is. A constant end keeps the loop to what can be reached from it. Bounded hops
-of native graph queries are unrolled joins instead, one row a path without a repeated edge.
+new, until nothing is. A constant end keeps the loop to what can be reached from it. Hops of native
+graph queries give one row a path without a repeated edge: from an end that the pattern knows they go round
+by round, by the edges at the newest nodes only; between all nodes they are joins of all edges.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from ..functions.expressions import equal
 from ..sources.solutions import Solutions, column_name, empty, union
 from ..sparql import algebra as A
 from ..storage import checkpoint
-from ..terms import INTEGER, IRI, NODE_KIND, TYPE, Literal, Var, box_constant, lexical
+from ..terms import INTEGER, IRI, NODE_KIND, TYPE, BNode, Literal, Var, box_constant, lexical
 
 if TYPE_CHECKING:
     from ..plans.compiler import Compiler
@@ -181,25 +182,94 @@ def _ends(c: Compiler, t: A.Triple, found: DataFrame) -> Solutions:
     return out.select(bound) if bound else Solutions(found.select(), {})
 
 
-def edges_of(c: Compiler, predicate: IRI | None, both: bool = False) -> DataFrame:
-    """(a, b, e): ends of relationships as strings, and an id of the edge; without a predicate, all between nodes but types."""
-    s, p, o = _var("s"), _var("p"), _var("o")
+def _edges(c: Compiler, predicate: IRI | None, s: A.Term | None = None, o: A.Term | None = None) -> DataFrame:
+    """(a, b, e): ends of relationships as strings, and an id of the edge, which may repeat; without a predicate, all between nodes but types. ``s`` and ``o`` are ends that are given."""
+    s, p, o = s or _var("s"), _var("p"), o or _var("o")
     found = c.compile(A.BGP([A.Triple(s, predicate or p, o)]))
-    a, b = found.typed(s.name), found.typed(o.name)
+    a, b = (found.typed(x.name) if isinstance(x, Var) else (F.lit(_name(x) or f"_:{x.label}"), NODE_KIND) for x in (s, o))
     name = F.lit(predicate.value) if predicate else lexical(*found.typed(p.name))
     df = found.df
     if b[1].form == "box":
         df = df.where(b[0]["kind"] != 3)
     elif b[1].form == "literal":
         df = df.where(F.lit(False))
-    df = df.select(lexical(*a).alias("a"), lexical(*b).alias("b"), name.alias("p")).where(F.col("p") != TYPE).distinct()
-    df = df.select("a", "b", F.struct("a", "p", "b").alias("e"))
-    if both:
-        df = df.union(df.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "e"))
-    return df
+    df = df.select(lexical(*a).alias("a"), lexical(*b).alias("b"), name.alias("p")).where(F.col("p") != TYPE)
+    return df.select("a", "b", F.struct("a", "p", "b").alias("e"))
 
 
-def _hops(c: Compiler, t: A.Triple) -> Solutions:
+def _turned(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "e")
+
+
+def edges_of(c: Compiler, predicate: IRI | None, both: bool = False) -> DataFrame:
+    """(a, b, e) of relationships, each once; ``both``: and once from its other end."""
+    df = _edges(c, predicate).distinct()
+    return df.union(_turned(df.where("a <> b"))) if both else df
+
+
+def _leaving(c: Compiler, p: A.Hops, against: bool, nodes: DataFrame, subject: Var | None = None) -> DataFrame | None:
+    """(a, b, e) of the edges that a walk can go by from ``nodes`` (one column ``node``, each once); None if there are no nodes.
+
+    Few nodes are constants of scans; more are joined with the scans before edges are made distinct, so that no table of all edges
+    is shuffled or written. ``subject`` is a variable that stands for the nodes and of which the planner may know more.
+    """
+    ways = [False, True] if p.both else [against]
+    few = [r[0] for r in nodes.limit(FEW_NODES + 1).collect()]
+    parts = []
+    if len(few) <= FEW_NODES:
+        for x in few:
+            node = BNode(x[2:]) if x.startswith("_:") else IRI(x)
+            parts += [_turned(_edges(c, p.predicate, o=node)) if way else _edges(c, p.predicate, node) for way in ways]
+    else:
+        near = F.broadcast(nodes) if nodes.count() <= BROADCAST_PAIRS else nodes
+        for way in ways:
+            found = _turned(_edges(c, p.predicate, o=subject)) if way else _edges(c, p.predicate, subject)
+            parts.append(found.join(near, found["a"] == near["node"], "left_semi"))
+    if not parts:
+        return None
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.union(x)
+    return out.distinct()  # an edge from a node to itself is the same either way
+
+
+def _walks(c: Compiler, p: A.Hops, nodes: DataFrame, backwards: bool, subject: Var) -> DataFrame:
+    """(a, b, n) of the walks of ``p`` that leave ``nodes`` (backwards: that end there), one row a walk."""
+    against = p.reverse != backwards
+    held = None
+    if (against or p.both) and not c.source.same_names(p.predicate):
+        # Each scan numbers rows without a key anew, so that all rounds have to read one table.
+        held = edges_of(c, p.predicate, p.both)
+        held = checkpoint(_turned(held) if against else held)
+    parts, newest, walks, n = [], nodes, None, 0
+    if p.low == 0:
+        all_nodes = c.source.nodes()
+        parts.append(all_nodes.join(nodes, "node", "left_semi").select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("n")))
+    while p.high is None or n < p.high:
+        n += 1
+        edges = _leaving(c, p, against, newest, subject if n == 1 else None) if held is None else held if n > 1 else held.join(nodes, held["a"] == nodes["node"], "left_semi")
+        if edges is None:
+            break
+        if n == 1:
+            walks = edges.select("a", "b", F.array("e").alias("path"))
+        else:
+            step = edges.select(F.col("a").alias("via"), F.col("b").alias("next"), F.col("e").alias("used"))
+            walks = walks.join(step, (walks["b"] == step["via"]) & ~F.array_contains("path", step["used"]))
+            walks = walks.select("a", F.col("next").alias("b"), F.concat("path", F.array("used")).alias("path"))
+        walks = checkpoint(walks)
+        if walks.isEmpty():  # no edge repeats, so walks end
+            break
+        if n >= p.low:
+            parts.append(walks.select("a", "b", F.lit(n).cast("bigint").alias("n")))
+        newest = walks.select(F.col("b").alias("node")).distinct()
+    out = parts[0] if parts else c.spark.createDataFrame([], "a string, b string, n bigint")
+    for x in parts[1:]:
+        out = out.union(x)
+    return out.select(F.col("b").alias("a"), F.col("a").alias("b"), "n") if backwards else out
+
+
+def _all_walks(c: Compiler, t: A.Triple) -> DataFrame:
+    """(a, b, n) of the walks between all nodes, or from one that is a constant, one row a walk."""
     p: A.Hops = t.p
     edges = edges_of(c, p.predicate, p.both)
     if p.high is None:
@@ -229,6 +299,20 @@ def _hops(c: Compiler, t: A.Triple) -> Solutions:
     out = parts[0]
     for x in parts[1:]:
         out = out.union(x)
+    return out
+
+
+def _hops(c: Compiler, t: A.Triple) -> Solutions:
+    p: A.Hops = t.p
+    for term, backwards in ((t.s, False), (t.o, True)):
+        if p.high is None and isinstance(term, Var) and term.name in c.sides and c.graph_variable is None:
+            # What the pattern is joined with tells an end: only walks from there are looked for.
+            side = c.sides[term.name]
+            nodes = side.df.select(lexical(*side.typed(term.name)).alias("node")).distinct()
+            out = _walks(c, p, nodes, backwards, term)
+            break
+    else:
+        out = _all_walks(c, t)
     ends = _ends(c, t, out) if p.length is None else None
     if ends is not None:
         return ends

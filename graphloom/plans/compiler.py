@@ -41,6 +41,8 @@ class Compiler:
         self.expanding: frozenset[str] = frozenset()
         #: Templates that variables can have only, as far as the sides that are joined tell.
         self.hints: dict[str, set[str]] = {}
+        #: What a part is joined with, by the variables that every row of it binds to nodes; kept by native graph queries only.
+        self.sides: dict[str, Solutions] = {}
 
     def compile(self, node: Any) -> Solutions:
         return getattr(self, "c_" + type(node).__name__.lower())(node)

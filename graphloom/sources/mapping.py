@@ -232,6 +232,10 @@ class MappedSource:
             out = out.union(p)
         return out.distinct()
 
+    def same_names(self, predicate: IRI | None) -> bool:
+        """Whether each scan names the subjects of a predicate's edges (None: of all edges) alike: rows without a key are numbered anew."""
+        return all(t.key is not None or not any(x.kind.form == "node" and predicate in (None, IRI(p)) for p, x in t.properties.items()) for t in self.tables)
+
     def graph(self, name: str) -> MappedSource:
         return MappedSource(self.spark, [])
 

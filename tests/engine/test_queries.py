@@ -1,7 +1,10 @@
 """SPARQL over small stored graphs, with exact bags of results."""
 
+import itertools
+
 import pytest
 from graphloom.graph import TableGraph, TransactionProblem, TripleGraph
+from graphloom.operators import paths
 from graphloom.sparql import algebra as A
 from graphloom.sparql.parser import SyntaxProblem
 from graphloom.terms import IRI, XSD, BNode, Literal
@@ -314,3 +317,74 @@ def test_keys_in_iris_have_one_spelling(spark):
     g = TableGraph(spark, {"base": "urn:e:", "tables": {"p": {"class": "P", "key": "id", "columns": ["name"]}}}, {"p": rows})
     for key, want in (("4", 1), ("04", 0), ("+4", 0), ("-5", 1), ("--5", 0), ("²", 0), ("-0", 0), ("0", 1), ("99999999999999999999", 0), ("4294967300", 0)):
         assert len(bag(g.query(f"SELECT ?n WHERE {{ <urn:e:p/{key}> :name ?n }}"))) == want, key
+
+
+def _walks(edges, low, high, way):
+    """(start, end, length) of walks without a repeated edge."""
+    out, step = [], {}
+    for e in edges:
+        a, _, b = e
+        for x, y in {"->": [(a, b)], "<-": [(b, a)], "--": [(a, b), (b, a)] if a != b else [(a, b)]}[way]:
+            step.setdefault(x, []).append((y, e))
+    newest, n = [(a, a, ()) for a in {x for a, _, b in edges for x in (a, b)}], 0
+    while newest:
+        out += [(a, b, n) for a, b, _ in newest] if n >= low else []
+        n += 1
+        newest = [(a, y, (*used, e)) for a, b, used in newest for y, e in step.get(b, []) if e not in used] if high is None or n <= high else []
+    return out
+
+
+def test_walks_from_known_ends(spark, monkeypatch):
+    """Walks from constants of scans (few nodes) and from joined nodes, against plain Python."""
+    edges = [
+        ("a", "p", "b"), ("b", "p", "c"), ("c", "p", "a"), ("b", "q", "c"), ("c", "p", "c"), ("d", "q", "a"), ("c", "q", "d"), ("e", "p", "f"), ("f", "p", "e"), ("_:x", "p", "a"), ("b", "p", "_:x"),
+    ]
+    name = lambda x: x if x.startswith("_:") else f":{x}"
+    text = "@prefix : <urn:e:> . " + " ".join(f"{name(a)} :{p} {name(b)} ." for a, p, b in edges) + " ".join(f' :{x} :k "{x}" ; a :N .' for x in "abcdef") + " :a a :Other ; :p 5 ."
+    g = TripleGraph.parse(spark, text, prefixes=PREFIX)
+    short = lambda rows: sorted((x[6:] if x.startswith("urn:e:") else "x", y[6:] if y.startswith("urn:e:") else "x", int(n)) for x, y, n in rows)
+    patterns = [
+        ("(v {k: 'b'})%s(w)", lambda x, y: x == "b"), ("(v)%s(w {k: 'c'})", lambda x, y: y == "c"),
+        ("(v {uri: 'urn:e:a'})%s(w {k: 'c'})", lambda x, y: (x, y) == ("a", "c")), ("(v:Other)%s(w:N)", lambda x, y: x == "a" and y != "x"),
+    ]
+    cases = itertools.product((("*", 1, None, None), ("*1..3", 1, 3, None), (":p*0..2", 0, 2, "p"), (":p*2..", 2, None, "p"), ("*2", 2, 2, None)), ("->", "<-", "--"))
+    for i, ((hops, low, high, kind), way) in enumerate(cases):
+        monkeypatch.setattr(paths, "FEW_NODES", 8 * (i % 2))
+        pattern, keep = patterns[i % 4]
+        pattern %= f"{'<' if way == '<-' else ''}-[{hops}]-{'>' if way == '->' else ''}"
+        want = _walks([e for e in edges if kind in (None, e[1])], low, high, way)
+        if low == 0:  # every node has its walk of no edges
+            want += [(x, x, 0) for x in "abcdef" if (x, x, 0) not in want]
+        want = [(x.replace("_:", ""), y.replace("_:", ""), n) for x, y, n in want]
+        got = short(g.native(f"MATCH r = {pattern} RETURN v.uri AS v, w.uri AS w, length(r) AS n").collect())
+        assert got == sorted(x for x in want if keep(*x[:2])), pattern
+
+
+def test_walks_after_a_limit_or_an_optional_part(spark):
+    g = TripleGraph.parse(spark, "@prefix : <urn:e:> . " + " ".join(f":a{i} a :N ; :p :a{i + 1} ." for i in range(40)) + " :z a :M .", prefixes=PREFIX)
+    for text in ("MATCH (v:N) WITH v LIMIT 7", "MATCH (v:N) WITH v SKIP 33 LIMIT 9"):
+        assert g.native(text + " MATCH (v)-[:p*1]->(w) RETURN v.uri AS v, w.uri AS w").count() == 7
+    assert bag(g.native("MATCH (v:M) OPTIONAL MATCH (v)-[:p*1..2]->(w) RETURN v.uri AS v, w.uri AS w")) == [("urn:e:z", None)]
+    assert g.native("MATCH (v:N) OPTIONAL MATCH (v)-[:p*2..3]->(w) RETURN v.uri AS v, w.uri AS w").count() == 39 + 38 + 1
+
+
+@pytest.mark.parametrize("hops", ["*"])
+def test_walks_read_only_what_leaves_their_nodes(spark, monkeypatch, hops):
+    """From one known node, no table of all edges is written, shuffled or read."""
+    orders = spark.range(500).selectExpr("cast(id AS int) AS id", "cast(id % 50 AS int) AS c")
+    customers = spark.range(50).selectExpr("cast(id AS int) AS id", "cast(id % 5 AS int) AS n")
+    nations, lines = spark.range(5).selectExpr("cast(id AS int) AS id"), spark.range(2000).selectExpr("cast(id AS int) % 500 AS o")
+    config = {"base": "urn:e:", "tables": {
+        "o": {"class": "O", "key": "id", "edges": {"by": {"column": "c", "to": "c"}}}, "c": {"class": "C", "key": "id", "edges": {"from": {"column": "n", "to": "n"}}},
+        "n": {"class": "N", "key": "id"}, "l": {"class": "L", "key": None, "edges": {"of": {"column": "o", "to": "o"}}},
+    }}
+    written = []
+    monkeypatch.setattr(paths, "checkpoint", lambda df, keep=paths.checkpoint: written.append(keep(df)) or written[-1])
+    read = []
+    monkeypatch.setattr(paths, "edges_of", lambda *args, keep=paths.edges_of: read.append(args) or keep(*args))
+    g = TableGraph(spark, config, {"o": orders, "c": customers, "n": nations, "l": lines})
+    assert bag(g.native(f"MATCH (o:O {{id: 7}})-[{hops}]->(x) RETURN x.uri AS x")) == [("urn:e:c/7",), ("urn:e:n/2",)]
+    assert not read and sum(df.count() for df in written) == 2
+    # Lines have no key, and are numbered by one reading.
+    got = bag(g.native("MATCH (x)-[*1..2]->(c:C {id: 7}) RETURN x.uri AS x, c.uri AS c"))
+    assert len(got) == 10 + 40 and len(set(got)) == 50
