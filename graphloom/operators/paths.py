@@ -305,7 +305,7 @@ def _all_walks(c: Compiler, t: A.Triple) -> DataFrame:
 def _hops(c: Compiler, t: A.Triple) -> Solutions:
     p: A.Hops = t.p
     for term, backwards in ((t.s, False), (t.o, True)):
-        if p.high is None and isinstance(term, Var) and term.name in c.sides and c.graph_variable is None:
+        if isinstance(term, Var) and term.name in c.sides and c.graph_variable is None:
             # What the pattern is joined with tells an end: only walks from there are looked for.
             side = c.sides[term.name]
             nodes = side.df.select(lexical(*side.typed(term.name)).alias("node")).distinct()

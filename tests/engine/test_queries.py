@@ -368,7 +368,7 @@ def test_walks_after_a_limit_or_an_optional_part(spark):
     assert g.native("MATCH (v:N) OPTIONAL MATCH (v)-[:p*2..3]->(w) RETURN v.uri AS v, w.uri AS w").count() == 39 + 38 + 1
 
 
-@pytest.mark.parametrize("hops", ["*"])
+@pytest.mark.parametrize("hops", ["*", "*1..3"])
 def test_walks_read_only_what_leaves_their_nodes(spark, monkeypatch, hops):
     """From one known node, no table of all edges is written, shuffled or read."""
     orders = spark.range(500).selectExpr("cast(id AS int) AS id", "cast(id % 50 AS int) AS c")
