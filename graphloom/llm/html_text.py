@@ -52,6 +52,11 @@ _NAMED = re.compile(rf"(?:^|[\s_-])(?:(?P<comments>{_COMMENTS})|(?P<names>{_NAME
 _SAID = re.compile(rf"(?:{_SAYS})[_-]", re.IGNORECASE)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
+#: Elements whose content is raw text to browsers: no comment opens in them.
+RAW = ("title", "textarea", "iframe", "noembed", "noframes", "noscript", "xmp")
+#: How a comment ends, at once or later.
+_EMPTY, _ENDED = re.compile("-?>"), re.compile(r"--(?:\s*|!)>")
+
 #: Standard deviation, in lines, of the smoothing.
 SIGMA = 1.0
 #: Share of the content that the smallest container must hold where there is no landmark.
@@ -84,6 +89,18 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, int]] = []
         self.text: list[str] = []
         self.tags = self.links = 0
+        self.unended = False  # whether a comment was left open, so that none ends after it
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """Where a comment ends; one that nothing ends runs to the page's end, as in browsers."""
+        match = _EMPTY.match(self.rawdata, i + 4) or (None if self.unended else _ENDED.search(self.rawdata, i + 4))
+        if match:
+            return match.end()
+        self.unended = True
+        if any(self.open[name] for name in RAW):
+            self.handle_data("<!--")
+            return i + 4
+        return len(self.rawdata)
 
     def end_line(self) -> None:
         if self.text:
@@ -173,17 +190,10 @@ class _Lines(HTMLParser):
                 self.links += len(data.strip())
 
 
-#: Comments left open beyond which the first of them is taken to run to the page's end, as browsers do; the parser tries each anew.
-MOST_OPEN = 50
-
-
 def _whole(html: str) -> str:
     """The page without a tag that its end cuts off, which is no text."""
-    end = html.rfind(">") + 1
-    cut = re.compile("<[A-Za-z/!?]").search(html, end)
-    html = html[: cut.start()] if cut else html
-    closed = max(html.rfind("-->"), 0)
-    return html[: html.index("<!--", closed)] if html.count("<!--", closed) > MOST_OPEN else html
+    cut = re.compile("<[A-Za-z/!?]").search(html, html.rfind(">") + 1)
+    return html[: cut.start()] if cut else html
 
 
 def _lines(html: str) -> _Lines:

@@ -209,6 +209,22 @@ def test_main_text_against_how_pages_were_built():
         assert html_text.extract(f"<html><head><title>{say(3)}</title></head><body>{before}<article>{inner}</article>{after}</body></html>") == naive_extract(article)
 
 
+@pytest.mark.parametrize("count", [1, 2, 50, 51, 400])
+def test_html_comment_left_open(count):
+    """It runs to the page's end, however many others open in it."""
+    assert html_text.extract(f"<main><h1>T</h1><p>{BODY}<p>{BODY} " + "<!-- x <p>tail, with a few words in it " * count) == f"T\n{BODY.strip()}\n{BODY.strip()}"
+
+
+@pytest.mark.parametrize("count", [1, 60])
+@pytest.mark.parametrize("piece", ["<!-->", "<!--->", "<!-- x --!>", "<!-- x -->", "<!---->", "<title>on <!-- signs</title>", "<textarea><!-- </textarea>", "<noscript><!-- x</noscript>", '<script>"<!--"</script>', '<b title="<!--"></b>'])
+def test_html_comment_that_ends_or_does_not_open(piece, count):
+    assert html_text.extract(f"<main><h1>T</h1>{piece * count}<p>{BODY}<p>{BODY}</main>") == f"T\n{BODY.strip()}\n{BODY.strip()}"
+
+
+def test_html_many_comments_in_raw_text():
+    html_text.extract("<textarea>" + "<!--" * 100000)  # in linear time
+
+
 @pytest.mark.parametrize("html", ["<b><i>" * 30000 + "x" + "</u>" * 60000, "<b>" * 30000 + "<p>x" * 30000, "<a" * 100000, "<!--" * 100000, "<a href='" * 50000, "<div>" * 100000 + "x" + "</p>" * 100000])
 def test_main_text_of_malformed_pages_takes_seconds(html):
     begun = time.monotonic()
