@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_bpe, html_text, language_id, near_dedup, pii, pivot_index, substring_dedup, toxicity, url_filter, wu_manber
@@ -40,7 +40,12 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.fit(docs)).select("doc_id", "pii", F.filter("pii", lambda x: x["base"]).alias("base"))
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}") for k in range(4)]
+
+    def count(k: int) -> Column:
+        # The lambda has one parameter: Spark would pass a second, though it has a default, the element's index.
+        return F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+
+    counts = map(count, range(4))
     return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
 
 

@@ -1,10 +1,13 @@
+import hashlib
 import random
 import time
 import re
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from graphloom.llm import pii
+from graphloom.llm import pii, queries
 
 
 def luhn(digits):
@@ -43,6 +46,20 @@ def test_base_spans_against_plain_patterns(spark):
         assert sorted((s["start"], s["kind"], s["end"]) for s in row["pii"] if s["base"]) == base(texts[row["doc_id"]]), texts[row["doc_id"]]
 
 
+def test_query_against_plain_patterns(spark, tmp_path):
+    """The columns of op4_pii by its contract, where the kinds of a text differ in number and order."""
+    r = random.Random(7)
+    pieces = ["a.b@c.d ", "1.2.3.4 ", "4111 1111 1111 1111x", "+1 (555) 555-1234x", "555-123-4567 ", "256.1.1.1 ", "4111111111111112x", "é🎉 ", "word "]
+    texts = ["".join(r.choices(pieces, k=r.randint(0, 12))) for _ in range(300)] + ["", None, "a@b.cd", "a@b.cd e@f.gh", "+49 30 1234567", "1.2.3.4@b.c", "00000000000000.1.1.1"]
+    pq.write_table(pa.table({"doc_id": list(range(len(texts))), "text": texts}), f"{tmp_path}/documents.parquet")
+    rows = queries.op4_pii(spark, f"file://{tmp_path}").collect()
+    assert sorted(x["doc_id"] for x in rows) == list(range(len(texts)))
+    for row in rows:
+        found = base(texts[row["doc_id"]])
+        assert [row[f"n_{k}"] for k in pii.KINDS[:4]] == [sum(kind == i for _, kind, _ in found) for i in range(4)], texts[row["doc_id"]]
+        assert row["base_sha256"] == hashlib.sha256(",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in found).encode()).hexdigest()
+
+
 def test_other_spellings_and_redaction(spark):
     rows = [(1, "call 555-123-4567 or mail jo [at] example [dot] com now"), (2, "mail a@b.com"), (3, "plain"), (4, None), (5, "my ssn 123-45-6789, phone (212) 555-0100")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'clash' AS pii")
